@@ -5,21 +5,67 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from votealloc.llm import language_id
+from votealloc.llm.exact_dedup import exact_duplicates
+from votealloc.llm.mixing import MIX_SQL, mix
 from votealloc.llm.near_dedup import near_duplicates
+from votealloc.llm.suffix_dedup import remove_repeats
+from votealloc.llm.token_counts import count_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("row_key")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = language_id.held_out(F.col("doc_id"))
+    dictionaries = language_id.fit(docs.where(~out))
+    found = language_id.classify(docs, dictionaries).withColumnRenamed("row_key", "doc_id")
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_mixing": op3_mixing,
+    "op4_token_counts": op4_token_counts,
+    "op5_language_id": op5_language_id,
+    "op6_exact_dedup": op6_exact_dedup,
     "op8_near_duplicates": op8_near_duplicates,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mixing": MIX_SQL,
+    "op6_exact_dedup": r"""
+WITH normal AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM normal WINDOW w AS (PARTITION BY norm)
+""",
+}
