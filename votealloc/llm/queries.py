@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from votealloc.llm import language_id
+from votealloc.llm.chat import CHAT_SQL, maximal_conversations
+from votealloc.llm.decontaminate import contaminated
 from votealloc.llm.exact_dedup import exact_duplicates
 from votealloc.llm.mixing import MIX_SQL, mix
 from votealloc.llm.near_dedup import near_duplicates
+from votealloc.llm.secret_scan import scan_secrets
+from votealloc.llm.sentence_dedup import remove_repeated_sentences
 from votealloc.llm.suffix_dedup import remove_repeats
 from votealloc.llm.token_counts import count_tokens
 
@@ -23,6 +27,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maximal_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -46,21 +54,38 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op10_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_sentences(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_sentence_dedup": op10_sentence_dedup,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op2_chat_formatting": CHAT_SQL,
     "op3_mixing": MIX_SQL,
     "op6_exact_dedup": r"""
 WITH normal AS (
