@@ -230,14 +230,14 @@ def prefix_join(spark, sf_dir):
     return hits.groupBy("county", "short").agg(F.count("*").alias("n"), F.min("precinct_id").alias("precinct_id")).where("n = 1").drop("n")
 
 
-@register("j11_lookup_precedence", B.oracle(B.RES, select="SELECT year, county, coalesce(CASE WHEN year = 1996 THEN 'year:' || county END, CASE WHEN county < 'F' THEN 'any:' || county END, county) AS name, sum(votes) AS votes FROM res GROUP BY 1, 2, 3"))
+@register("j11_lookup_precedence", B.oracle(B.RES, select="SELECT year, county, coalesce(CASE WHEN year = 1996 THEN 'year:' || county END, CASE WHEN county < 'NATION_15' THEN 'any:' || county END, county) AS name, sum(votes) AS votes FROM res GROUP BY 1, 2, 3"))
 def lookup_precedence(spark, sf_dir):
     from votealloc.operators.resolve import apply_overrides
 
     rows = A.sum_by(B.results(spark, sf_dir), ["year", "county"], "votes").withColumn("precinct_id", F.col("county"))
     names = rows.select("county").distinct()
     rules = names.select(F.lit("1996").alias("year"), F.col("county").alias("raw"), F.concat(F.lit("year:"), "county").alias("canonical"))
-    rules = rules.unionByName(names.where("county < 'F'").select(F.lit("*").alias("year"), F.col("county").alias("raw"), F.concat(F.lit("any:"), "county").alias("canonical")))
+    rules = rules.unionByName(names.where("county < 'NATION_15'").select(F.lit("*").alias("year"), F.col("county").alias("raw"), F.concat(F.lit("any:"), "county").alias("canonical")))
     return apply_overrides(rows, rules).select("year", "county", F.col("precinct_id").alias("name"), "votes")
 
 
@@ -414,11 +414,11 @@ def vtd_non_geo_perf(spark, sf_dir):
     return _rounded(R.spread_to_vtds(*R.vtd_totals(B.results(spark, sf_dir))), "votes")
 
 
-_VP = "vp AS (SELECT county, split_part(precinct_id, ' - ', 2) AS vtd, sum(vap)::DOUBLE AS vap FROM blk WHERE county < 'M' GROUP BY 1, 2), vps AS (SELECT county, vtd, vap / sum(vap) OVER (PARTITION BY county) AS share FROM vp)"
+_VP = "vp AS (SELECT county, split_part(precinct_id, ' - ', 2) AS vtd, sum(vap)::DOUBLE AS vap FROM blk WHERE county < 'NATION_2' GROUP BY 1, 2), vps AS (SELECT county, vtd, vap / sum(vap) OVER (PARTITION BY county) AS share FROM vp)"
 
 
 def _people(spark, sf_dir):
-    rows = B.blocks(spark, sf_dir).where("county < 'M'").withColumn("vtd", F.split_part("precinct_id", F.lit(" - "), F.lit(2)))
+    rows = B.blocks(spark, sf_dir).where("county < 'NATION_2'").withColumn("vtd", F.split_part("precinct_id", F.lit(" - "), F.lit(2)))
     return A.sum_by(rows, ["county", "vtd"], "vap")
 
 
