@@ -6,6 +6,7 @@ driver can read it, so a lost executor costs a re-read and never a lost table.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -23,10 +24,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder as Parquet and read it again: cuts lineage, survives executors."""
+    """Write df to the shared folder as Parquet and read it again: cuts lineage, survives executors.
+
+    Nothing needs the shuffle files of the plan any more once it is written, so the driver is
+    asked to collect its garbage, upon which Spark deletes them: disk holds one step's shuffles
+    at a time, not all.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._shared_path = path
     return out

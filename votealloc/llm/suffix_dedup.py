@@ -18,41 +18,67 @@ from votealloc.llm.shared import discard, keyed, materialise
 SLICE_BYTES = 1 << 20
 
 
+def _owned(gram: np.ndarray, least: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions that are the first least q-gram of some window, and the first and last start of these windows.
+
+    least: of each window of reach + 1 q-grams, by start; 0 where there is no window. Every
+    window has one owner, whatever stands around it. The windows of an owner follow each other.
+    """
+    edge = np.zeros(reach, np.uint64)
+    chosen = np.flatnonzero((kernels.sliding(np.concatenate([edge, least, edge]), reach + 1, np.maximum, 0) == gram) & (gram > 0))
+    run = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    run_end = np.concatenate([run[1:], [len(least)]]) - 1
+    run_end, run = run_end[least[run] > 0], run[least[run] > 0]
+    if not len(run):
+        return (np.zeros(0, np.int64),) * 3
+    values, rank = np.unique(least[run], return_inverse=True)
+    size = len(gram) + 1
+    by_value = np.argsort(rank * size + run)
+    chosen_rank = np.searchsorted(values, gram[chosen])
+    key = chosen_rank * size + chosen
+    at = by_value[np.searchsorted((rank * size + run)[by_value], key, "right") - 1]
+    order = np.argsort(key)
+    before = np.full(len(chosen), -1)
+    same = chosen_rank[order][1:] == chosen_rank[order][:-1]
+    before[order[1:][same]] = chosen[order[:-1][same]]
+    first = np.maximum(np.maximum(run[at], before + 1), chosen - reach)
+    last = np.minimum(run_end[at], chosen)
+    some = first <= last
+    return chosen[some], first[some], last[some]
+
+
 def _sampler(length: int, q: int):
-    """Arrow function: the sampled suffixes (row_key, pos) with their q-gram bucket and their bucket at full context.
+    """Arrow function: the sampled suffixes (row_key, pos, a, b) with their q-gram bucket and their bucket at full context.
 
-    A position is sampled if its q-gram has the least hash of some window of length bytes that
-    holds it, so that every string of that length, wherever it stands, has a sampled suffix at
-    the same place in it: about two in length - q positions.
+    Of every string of length bytes, the first of the least hashes of its q-grams is sampled, so
+    that the string has a sampled suffix at the same place wherever it stands: about two in
+    length - q positions. a to b: how far before pos the strings start that pos is sampled for.
     """
-    width, reach = length - q + 1, length - q
+    reach = length - q
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in kernels.text_slices(batch.column("text"), SLICE_BYTES):
                 hasher = kernels.SpanHasher(data)
                 gram = hasher.grams(q)
-                least = kernels.sliding(gram, width, np.minimum, (1 << 64) - 1)
+                least = kernels.sliding(gram, reach + 1, np.minimum, (1 << 64) - 1)
                 if not len(least):
                     continue
                 row_of = np.searchsorted(offs, np.arange(len(least)), "right") - 1
                 least[np.arange(len(least)) + length > offs[row_of + 1]] = 0
-                edge = np.zeros(reach, np.uint64)
-                chosen = np.flatnonzero(kernels.sliding(np.concatenate([edge, least, edge]), width, np.maximum, 0) == gram)
-                chosen = chosen[gram[chosen] > 0]
-                row = np.searchsorted(offs, chosen, "right") - 1
-                low, high = np.maximum(offs[row], chosen - reach), np.minimum(offs[row + 1], chosen + length)
-                shape = (chosen - low).astype(np.uint64) * np.uint64(1 << 32) + (high - chosen).astype(np.uint64)
-                full = kernels.mix(hasher.spans(low, high) ^ kernels.mix(shape))
+                pos, first, last = _owned(gram, least, reach)
+                row = np.searchsorted(offs, pos, "right") - 1
+                shape = (pos - first).astype(np.uint64) * np.uint64(1 << 32) + (pos - last).astype(np.uint64)
+                full = kernels.mix(hasher.spans(first, last + length) ^ kernels.mix(shape))
                 keys = batch.column("row_key").slice(i, j - i).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([keys, pa.array((chosen - offs[row]).astype(np.int64)), pa.array(gram[chosen].view(np.int64)), pa.array(full.view(np.int64))], ["row_key", "pos", "bucket", "full"])
+                columns = [pos - offs[row], pos - last, pos - first, gram[pos].view(np.int64), full.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([keys, *[pa.array(c.astype(np.int64)) for c in columns]], ["row_key", "pos", "a", "b", "bucket", "full"])
 
     return sample
 
 
-def _contexts(length: int, q: int):
-    """Arrow function: for each wanted suffix of a text, the bytes up to reach before and after its q-gram."""
-    reach = length - q
+def _contexts(length: int):
+    """Arrow function: for each wanted suffix of a text, the bytes of the strings that it is sampled for."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,19 +87,18 @@ def _contexts(length: int, q: int):
             for key, text, wanted in zip(batch.column("row_key").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
                 data = text.as_py().encode()
                 for w in wanted.as_py():
-                    low = max(0, w["pos"] - reach)
-                    out.append((key, w["pos"], w["bucket"], w["full"], w["done"], w["pos"] - low, data[low : w["pos"] + length]))
+                    out.append((key, w["pos"], w["bucket"], w["done"], w["b"], data[w["pos"] - w["b"] : w["pos"] - w["a"] + length]))
                     held += 2 * length
                 if held > SLICE_BYTES:
                     yield _rows(out)
                     out, held = [], 0
             yield _rows(out)
 
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
 
     def _rows(out: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["row_key", "pos", "bucket", "full", "done", "before", "context"])
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["row_key", "pos", "bucket", "done", "before", "context"])
 
     return cut
 
@@ -82,44 +107,46 @@ def _refine(suffixes: DataFrame, length: int, q: int, parts: int = 5) -> DataFra
     """(row_key, pos, a, b): the strings of length bytes that start a to b bytes before pos occur elsewhere.
 
     suffixes: one for each distinct full context (done: there are several of it) in buckets with
-    several. A node [a, b] stands for the starts a to b before the q-gram. All of them share the
-    bytes from a before it to length - b after its start: a bucket's suffixes are refined by the
-    bucket identifiers of these later (and earlier) offsets, and one that is alone in its
-    refined bucket is settled. One that has company as far as b before and length - a after
-    settles the whole node. What is left open is split and refined again, with the buckets just
-    made; suffixes that are settled stay only while another of their bucket is open.
+    several, with their contexts. A node [a, b] stands for the starts a to b before the q-gram.
+    All of them share the bytes from a before it to length - b after its start: a bucket's
+    suffixes are refined by the bucket identifiers of these later (and earlier) offsets, and one
+    that is alone in its refined bucket is settled. One that has company as far as b before and
+    length - a after settles the whole node. What is left open is split and refined again within
+    the buckets just made. Of suffixes that agree over the whole node one goes on, as company
+    for the others; so each round holds few more than the places where repeats end.
     """
     reach = length - q
-    open_nodes = suffixes.withColumns({"a": F.lit(0), "b": F.lit(reach)})
+    opened = suffixes.withColumns({"a": F.lit(0), "b": F.lit(reach)})
     found = None
     width = reach + 1
     while width > 1:
         width = -(-width // parts) if width > 2 * parts else 1
-        low = F.col("a") + F.lit(width) * F.col("i")
-        split = open_nodes.withColumn("i", F.explode(F.sequence(F.lit(0), F.floor((F.col("b") - F.col("a")) / width).cast("int"))))
-        split = split.withColumn("a2", low).withColumn("b", F.least(F.col("b"), low + width - 1)).withColumn("a", F.col("a2")).drop("i", "a2")
         after = F.length("context") - F.col("before")
-        split = split.where((F.col("before") >= F.col("a")) & (after >= length - F.col("b")))
-        shared = F.substring("context", F.col("before") - F.col("a") + 1, length - (F.col("b") - F.col("a")))
-        wide = F.when((F.col("before") >= F.col("b")) & (after >= length - F.col("a")), F.xxhash64(F.substring("context", F.col("before") - F.col("b") + 1, length + (F.col("b") - F.col("a")))))
-        split = materialise(split.withColumn("shared", F.xxhash64(shared)).withColumn("wide", F.coalesce(wide, F.lit(0))), "suffix-nodes")
-        node = ["bucket", "a", "shared"]
-        each = split.groupBy(*node, "wide").agg(F.count("*").alias("n"), F.min("done").alias("all_done"))
-        settles = F.col("all_done") | ((F.col("wide") != 0) & (F.col("n") > 1)) if width > 1 else F.lit(True)
-        groups = each.groupBy(*node).agg(F.sum("n").alias("total"), F.min(settles).alias("closed")).where("total > 1").drop("total")
-        state = split.join(groups, node).join(each.drop("all_done"), [*node, "wide"])
-        settled = ((F.col("wide") != 0) & (F.col("n") > 1)) if width > 1 else F.lit(True)
-        state = materialise(state.withColumn("settled", settled), "suffix-state")
-        hits = state.where("settled and not done").select("row_key", "pos", "a", "b")
+        kids = opened.withColumn("low", F.explode(F.sequence(F.col("a"), F.col("b"), F.lit(width)))).withColumn("high", F.least(F.col("b"), F.col("low") + width - 1))
+        kids = kids.where((F.col("before") >= F.col("low")) & (after >= length - F.col("high")))
+        shared = F.xxhash64("bucket", F.substring("context", F.col("before") - F.col("low") + 1, length - (F.col("high") - F.col("low"))))
+        fits = (F.col("before") >= F.col("high")) & (after >= length - F.col("low"))
+        wide = F.when(fits, F.xxhash64(F.substring("context", F.col("before") - F.col("high") + 1, length + (F.col("high") - F.col("low")))))
+        kids = kids.select("sid", "done", F.col("a").alias("parent"), "low", "high", shared.alias("shared"), F.coalesce(wide, F.lit(0)).alias("wide"))
+        node = ["low", "shared"]
+        agree = (F.col("wide") != 0) & (F.col("n") > 1) if width > 1 else F.lit(True)
+        each = kids.groupBy(*node, "wide").agg(F.count("*").alias("n"), F.min("sid").alias("goes_on"), F.min("done").alias("all_done"))
+        each = each.withColumn("agree", agree)
+        groups = each.groupBy(node).agg(F.sum("n").alias("total"), F.min(F.col("agree") | F.col("all_done")).alias("closed")).where("total > 1").drop("total")
+        state = kids.join(each.drop("all_done", "n").join(groups, node), [*node, "wide"])
+        state = materialise(state.select("sid", "done", "parent", "low", "high", "agree", "closed", (~F.col("agree") | (F.col("sid") == F.col("goes_on"))).alias("stays")), "suffix-state")
+        hits = state.where("agree and not done").select("sid", F.col("low").alias("a"), F.col("high").alias("b"))
         found = hits if found is None else found.unionByName(hits)
-        open_nodes = state.where("not closed").withColumn("done", F.col("done") | F.col("settled")).drop("shared", "wide", "closed", "n", "settled")
-        discard(split)
-    return found
+        if width > 1:
+            further = state.where("stays and not closed").select("sid", "parent", "low", "high", (F.col("done") | F.col("agree")).alias("done"))
+            carried = opened.select("sid", F.col("a").alias("parent"), "bucket", "before", "context")
+            onward = further.join(carried, ["sid", "parent"]).select("sid", "bucket", "before", "context", "done", F.col("low").alias("a"), F.col("high").alias("b"))
+            opened = materialise(onward, "suffix-open")
+    return found.join(suffixes.select("sid", "row_key", "pos"), "sid").select("row_key", "pos", "a", "b")
 
 
-def _remover(length: int, q: int):
+def _remover(length: int):
     """Arrow function: the figures of each text after its covered bytes are removed."""
-    reach = length - q
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +154,7 @@ def _remover(length: int, q: int):
             for text, cuts in zip(pc.fill_null(batch.column("text"), ""), batch.column("cuts"), strict=True):
                 data = text.as_py().encode()
                 runs: list[list[int]] = []
-                for c in sorted((max(0, c["pos"] - reach), min(len(data), c["pos"] + length)) if c["a"] < 0 else (c["pos"] - c["b"], c["pos"] - c["a"] + length) for c in cuts.as_py() or []):
+                for c in sorted((c["pos"] - c["b"], c["pos"] - c["a"] + length) for c in cuts.as_py() or []):
                     if runs and c[0] <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], c[1])
                     else:
@@ -147,21 +174,19 @@ def _remover(length: int, q: int):
 
 
 def repeated_ranges(table: DataFrame, length: int = 200, q: int = 40) -> DataFrame:
-    """(row_key, pos, a, b) of table (row_key, text): strings of length bytes that start a to b bytes before pos occur elsewhere too.
-
-    a = -1 stands for all strings of that length that hold the q-gram at pos and fit the text.
-    """
-    samples = materialise(table.mapInArrow(_sampler(length, q), "row_key long, pos long, bucket long, full long"), "suffix-samples")
+    """(row_key, pos, a, b) of table (row_key, text): strings of length bytes that start a to b bytes before pos occur elsewhere too."""
+    samples = materialise(table.mapInArrow(_sampler(length, q), "row_key long, pos long, a long, b long, bucket long, full long"), "suffix-samples")
     crowded = samples.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = materialise(samples.join(crowded, "bucket"), "suffix-members")
     discard(samples)
-    contexts = members.groupBy("bucket", "full").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "pos")).alias("first"))
-    contexts = materialise(contexts.select("bucket", "full", "n", "first.row_key", "first.pos"), "suffix-contexts")
-    whole = members.join(contexts.where("n > 1").select("bucket", "full"), ["bucket", "full"]).select("row_key", "pos", F.lit(-1).alias("a"), F.lit(-1).alias("b"))
+    contexts = members.groupBy("bucket", "full").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "pos", "a", "b")).alias("first"))
+    contexts = materialise(contexts.select("bucket", "full", "n", "first.*"), "suffix-contexts")
+    whole = members.join(contexts.where("n > 1").select("bucket", "full"), ["bucket", "full"]).select("row_key", "pos", "a", "b")
     mixed = contexts.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
-    wanted = contexts.join(mixed, "bucket").groupBy("row_key").agg(F.collect_list(F.struct("pos", "bucket", "full", (F.col("n") > 1).alias("done"))).alias("wanted"))
-    suffixes = table.join(wanted, "row_key").mapInArrow(_contexts(length, q), "row_key long, pos long, bucket long, full long, done boolean, before int, context binary")
-    return whole.unionByName(_refine(materialise(suffixes, "suffix-rows"), length, q))
+    wanted = contexts.join(mixed, "bucket").groupBy("row_key").agg(F.collect_list(F.struct("pos", "bucket", "a", "b", (F.col("n") > 1).alias("done"))).alias("wanted"))
+    suffixes = table.join(wanted, "row_key").mapInArrow(_contexts(length), "row_key long, pos long, bucket long, done boolean, before int, context binary")
+    suffixes = materialise(suffixes.withColumn("sid", F.xxhash64("row_key", "pos")), "suffix-rows")
+    return whole.unionByName(_refine(suffixes, length, q))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 200, q: int = 40) -> DataFrame:
@@ -174,8 +199,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Method: bucket-pointer refinement. Initial buckets are q-grams; suffixes of a bucket are
     refined by the bucket identifiers of their later and earlier offsets until each is alone or
     agrees with another over length bytes; refined buckets are reused by the next round. Only
-    sampled suffixes are sorted into buckets: a position is sampled by the bytes around it, so
-    that every string of length bytes has one, at the same place wherever it occurs. Copies are
+    sampled suffixes are put into buckets: every string of length bytes chooses one by its own
+    bytes, so at the same place wherever it occurs. Copies are
     settled at once as a bucket of equal full contexts, of which one goes on.
 
     Null text is empty; texts under length bytes lose nothing. Repeated rows are separate texts
@@ -186,4 +211,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = repeated_ranges(table.select("row_key", F.coalesce("text", F.lit("")).alias("text")), length, q)
     cuts = ranges.groupBy("row_key").agg(F.collect_list(F.struct("pos", "a", "b")).alias("cuts"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return table.join(cuts, "row_key", "left").mapInArrow(_remover(length, q), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, row_key long")
+    return table.join(cuts, "row_key", "left").mapInArrow(_remover(length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, row_key long")
