@@ -59,13 +59,12 @@ def lookup(index: DataFrame, texts: list[str]) -> DataFrame:
 def _unequal(table: DataFrame, runs: DataFrame, index: DataFrame) -> DataFrame:
     """Digests of which some row's bytes differ from its keeper's, by comparison of the whole normalised texts."""
     many = index.where("group_size > 1").select("digest", "keep_row", F.ceil(F.col("group_size") / HITS_PER_COPY).alias("copies"))
-    hits = runs.select("row_key", "digest").join(many, "digest").where("row_key <> keep_row")
-    hits = hits.select("row_key", "digest", "keep_row", F.pmod(F.xxhash64("row_key"), "copies").alias("copy"))
-    texts = table.select("row_key", normalised(F.col("text")).alias("norm"))
-    found = hits.join(texts, "row_key")
-    keeper = many.join(texts.withColumnsRenamed({"row_key": "keep_row", "norm": "keep_norm"}), "keep_row")
-    keeper = keeper.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).select("keep_row", "copy", "keep_norm")
-    return found.join(keeper, ["keep_row", "copy"]).where("norm <> keep_norm").select("digest").distinct()
+    members = runs.select("row_key", "digest").join(many, "digest")
+    texts = table.select("row_key", "text").join(members, "row_key").select("row_key", "digest", "keep_row", "copies", normalised(F.col("text")).alias("norm"))
+    texts = materialise(texts, "dedup-texts")
+    hits = texts.where("row_key <> keep_row").withColumn("copy", F.pmod(F.xxhash64("row_key"), "copies"))
+    keeper = texts.where("row_key = keep_row").select("keep_row", F.col("norm").alias("keep_norm"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    return hits.join(keeper, ["keep_row", "copy"]).where("norm <> keep_norm").select("digest").distinct()
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, row_col: str | None = None, digest=F.xxhash64, memtable_rows: int = 1 << 20) -> DataFrame:
