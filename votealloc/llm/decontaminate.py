@@ -16,7 +16,7 @@ SLICE_BYTES = 2 << 20
 GRAM = 3
 #: Benchmarks with this many distinct n-grams at most are sent to every task as one sorted array (8 bytes each); larger ones are joined by shuffle.
 BROADCAST_GRAMS = 1 << 20
-#: Seeds are the rarer share of an item's n-grams, and so many at least.
+#: Seeds are the rarer share of an item's n-grams that texts have, and so many at least.
 RARE_SHARE, LEAST_SEEDS = 0.5, 8
 #: Alignment scores, and the share of a full match that counts as contamination.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -114,8 +114,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the smallest item), contaminated (n_items > 0); and text_hash.
 
     Method: the n-grams of words (case of A-Z aside) that texts share with items are found in
-    one scan and counted by text; an item's seeds are the rarer RARE_SHARE of its n-grams (at
-    least LEAST_SEEDS; ties by hash), so that an item which leaks into very many texts still has
+    one scan and counted; an item's seeds are the rarer RARE_SHARE of those of its n-grams that
+    occur (at least LEAST_SEEDS; ties by hash), so that an item which leaks into very many texts still has
     seeds. Each window of a text around seeds of an item, with room for the item on both sides,
     is aligned to it word by word (Smith-Waterman: match 2, mismatch and gap -1); the score is
     that of the best window over that of a full match.
@@ -141,9 +141,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = materialise(hits, "leak-hits")
     texts_with = hits.groupBy("gram").agg(F.count("*").alias("found"))
     rank = Window.partitionBy("item_id").orderBy("found", "gram")
-    counted = of_items.groupBy("item_id", "gram").agg(F.min("place").alias("at")).join(texts_with, "gram", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    counted = of_items.groupBy("item_id", "gram").agg(F.min("place").alias("at")).join(texts_with, "gram")
     seeds = counted.withColumns({"rank": F.row_number().over(rank), "all": F.count("*").over(Window.partitionBy("item_id"))})
-    seeds = seeds.where((F.col("rank") <= LEAST_SEEDS) | (F.col("rank") <= F.ceil(F.col("all") * RARE_SHARE))).where("found > 0")
+    seeds = seeds.where((F.col("rank") <= LEAST_SEEDS) | (F.col("rank") <= F.ceil(F.col("all") * RARE_SHARE)))
     words = of_items.groupBy("item_id").agg((F.max("place") + n).alias("n_words"))
     seeds = materialise(seeds.join(words, "item_id").select("item_id", "gram", "n_words"), "leak-seeds")
 
