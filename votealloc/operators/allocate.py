@@ -94,12 +94,12 @@ def shatter(precincts: DataFrame, crosswalk: DataFrame, columns: list[str] = VOT
     people = crosswalk.groupBy("precinct_id").agg(F.sum("vap").alias("people"), F.min_by("block", F.struct(-F.col("vap"), "block")).alias("largest"))
     rows = precincts.join(crosswalk.select("precinct_id", "block", "vap").join(people, "precinct_id"), "precinct_id")
     exact = {c: F.col(c).cast("decimal(18,6)") for c in columns}
-    cut = {c: F.coalesce(F.try_divide(exact[c] * F.col("vap").cast("decimal(12,0)"), F.col("people").cast("decimal(12,0)")).cast("decimal(34,12)"), F.lit(0).cast("decimal(34,12)")) for c in columns}
+    cut = {c: F.coalesce(F.try_divide(exact[c] * F.col("vap").cast("decimal(12,0)"), F.col("people").cast("decimal(12,0)")).cast("decimal(26,12)"), F.lit(0).cast("decimal(26,12)")) for c in columns}
     rows = rows.withColumns({f"__{c}": cut[c] for c in columns})
     sums = rows.groupBy(*contest, "precinct_id").agg(*[F.sum(f"__{c}").alias(f"__sum_{c}") for c in columns])
     rows = rows.join(sums, [*contest, "precinct_id"])
     is_largest = F.col("block") == F.col("largest")
-    blocks = rows.select(*contest, "precinct_id", "block", *[(F.col(f"__{c}") + F.when(is_largest, exact[c] - F.col(f"__sum_{c}")).otherwise(F.lit(0))).cast("decimal(34,12)").alias(c) for c in columns])
+    blocks = rows.select(*contest, "precinct_id", "block", *[(F.col(f"__{c}") + F.when(is_largest, exact[c] - F.col(f"__sum_{c}")).otherwise(F.lit(0))).cast("decimal(26,12)").alias(c) for c in columns])
     whole = blocks.groupBy(*contest, "precinct_id").agg(*[F.sum(c).alias(f"block_{c}") for c in columns])
     audit = precincts.join(whole, [*contest, "precinct_id"]).select(*contest, "precinct_id", *columns, *[F.col(f"block_{c}").cast("double").alias(f"block_{c}") for c in columns], *[(F.col(f"block_{c}") - exact[c]).cast("double").alias(f"delta_{c}") for c in columns])
     return blocks, audit

@@ -13,8 +13,9 @@ ROW = ["dem_votes", "rep_votes", "other_votes", "total_votes", "dem_candidate",
 
 
 def district_slices(rows: DataFrame) -> DataFrame:
-    """One document a slice: general.results by district, with candidates and colour where rows have them."""
-    row = F.struct(*[F.col(c) for c in ROW if c in rows.columns], F.struct(F.col("color")).alias("competitiveness"))
+    """One document a slice: general.results by district, with candidates and colour where rows have them; votes are whole numbers."""
+    whole = ("dem_votes", "rep_votes", "other_votes", "total_votes", "margin")
+    row = F.struct(*[F.col(c).cast("long").alias(c) if c in whole else F.col(c) for c in ROW if c in rows.columns], F.struct(F.col("color")).alias("competitiveness"))
     results = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("district"), row))))
     return rows.groupBy(*SLICE_KEYS).agg(F.struct(results.alias("results")).alias("general"))
 
