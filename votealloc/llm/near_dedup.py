@@ -15,6 +15,8 @@ from votealloc.llm.shared import discard, keyed, materialise
 
 #: Copies of one row of sets that a join spreads the links of a hot document over, by so many links each.
 LINKS_PER_COPY = 256
+#: So many hot documents at most (16 bytes each) are broadcast as a table of their numbers of copies.
+BROADCAST_HOT = 10_000
 
 
 def _permutations(n: int, seed: int) -> np.ndarray:
@@ -80,52 +82,74 @@ def _setter(k: int):
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow function: the size of the intersection of two sorted sets in each row."""
+    """Arrow function: of two sorted sets in each row, the size of the intersection, both sizes, and what a has beside it."""
     for batch in batches:
-        sides = []
-        for name in ("set_a", "set_b"):
-            column = batch.column(name)
-            offs = column.offsets.to_numpy()
-            sides.append((offs, column.values.to_numpy(zero_copy_only=False)))
-        (oa, va), (ob, vb) = sides
-        sizes = [len(np.intersect1d(va[oa[r] : oa[r + 1]], vb[ob[r] : ob[r + 1]], assume_unique=True)) for r in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sizes, pa.int64())], ["a", "b", "common"])
-
-
-class _Links:
-    """Confirms candidate pairs of set representatives on their full sets."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, k: int, percent: int):
-        self._docs, self._sizes = docs, classes.select("node", "n_shingles")
-        self._k, self._percent = k, percent
-
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("row_key")).distinct()
-        text = self._docs.select("row_key", "text").join(nodes, "row_key", "left_semi")
-        return materialise(text.mapInArrow(_setter(self._k), "row_key long, shingles array<long>"), "near-sets")
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) with 100 * |A and B| >= percent * |A or B|.
-
-        b is the side that may stand in very many pairs: its set is copied once for every
-        LINKS_PER_COPY of them, so that no task gets all links of a hot document.
-        """
-        for side in ("a", "b"):
-            pairs = pairs.join(self._sizes.withColumnsRenamed({"node": side, "n_shingles": f"n_{side}"}), side)
-        pairs = materialise(pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self._percent), "near-pairs")
-        copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / LINKS_PER_COPY).alias("copies"))
-        sets = self._sets(pairs)
-        right = sets.withColumnsRenamed({"row_key": "b", "shingles": "set_b"}).join(copies, "b").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-        left = pairs.join(copies, "b").withColumn("copy", F.pmod(F.xxhash64("a"), "copies")).drop("copies").join(sets.withColumnsRenamed({"row_key": "a", "shingles": "set_a"}), "a")
-        both = left.join(right, ["b", "copy"]).select("a", "b", "set_a", "set_b").mapInArrow(_common, "a long, b long, common long")
-        links = both.join(pairs, ["a", "b"]).where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * self._percent).select("a", "b")
-        links = materialise(links, "near-links")
-        discard(sets)
-        discard(pairs)
-        return links
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, row_col: str | None = None, k: int = 5, percent: int = 75, permutations: int = 64, rows_per_band: int = 4, seed: int = 20240229, star_rounds: int = 3) -> DataFrame:
+        (oa, va), (ob, vb) = ((batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy(zero_copy_only=False)) for c in ("set_a", "set_b"))
+        rests = [np.setdiff1d(va[oa[r] : oa[r + 1]], vb[ob[r] : ob[r + 1]], assume_unique=True) for r in range(batch.num_rows)]
+        left = np.array([len(x) for x in rests], np.int64)
+        n_a, n_b = np.diff(oa).astype(np.int64), np.diff(ob).astype(np.int64)
+        rest = _list_array(np.concatenate(rests) if rests else np.zeros(0, np.int64), left)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(n_a - left), pa.array(n_a), pa.array(n_b), rest], ["a", "b", "common", "n_a", "n_b", "rest"])
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with the size common of their intersection, the rest of A, and linked: 100 * common >= percent * |A or B|.
+
+    b is the side that may stand in very many pairs: its set is copied once for every
+    LINKS_PER_COPY of them, so that no task gets all links of a hot document.
+    """
+    copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / LINKS_PER_COPY).alias("copies"))
+    right = sets.withColumnsRenamed({"row_key": "b", "shingles": "set_b"}).join(copies, "b")
+    right = right.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    most = F.broadcast(copies.where("copies > 1").select("b", "copies")) if copies.where("copies > 1").limit(BROADCAST_HOT + 1).count() <= BROADCAST_HOT else copies
+    left = pairs.join(most, "b", "left").withColumn("copy", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1)))).drop("copies")
+    left = left.join(sets.withColumnsRenamed({"row_key": "a", "shingles": "set_a"}), "a")
+    both = left.join(right, ["b", "copy"]).select("a", "b", "set_a", "set_b").mapInArrow(_common, "a long, b long, common long, n_a long, n_b long, rest array<long>")
+    linked = F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
+    return materialise(both.select("a", "b", "common", "rest", linked.alias("linked")), "near-links")
+
+
+def _open_pairs(member: DataFrame, hubs: DataFrame, seen: DataFrame, alone: DataFrame, bucket: list[str], percent: int) -> DataFrame:
+    """The pairs (a, b) of members of a bucket in different components that may be alike.
+
+    All members have been compared with their bucket's hub. The core of a hub is its set and
+    every shingle that a fifth of its members have beside it. |A and B| is what A and B share in
+    the core, at most min(|A and core|, |B and core|), and what they share outside. So either that
+    minimum is enough for a link by itself, or they share shingles outside the core (that neither
+    has alone): those pairs are found by an equi-join on such shingles. Members of a hub's
+    largest component aren't paired among each other.
+    """
+    compared = seen.select(F.col("a").alias("node"), F.col("b").alias("hub"), "common", "rest")
+    known = member.join(hubs, bucket).select("node", "hub", "n", "label").distinct().join(compared, ["node", "hub"])
+    lists = alone.join(known.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.collect_list("shingle").alias("own_set"))
+    known = known.join(lists, "node", "left").withColumn("rest", F.array_except("rest", F.coalesce("own_set", F.array().cast("array<long>")))).drop("own_set")
+    largest = known.groupBy("hub", "label").agg(F.count("*").alias("size")).groupBy("hub").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.sum("size").alias("members"))
+    least = known.groupBy("hub").agg(F.min("n").alias("least"))
+    known = materialise(known.join(largest.join(least, "hub"), "hub"), "near-known")
+
+    outside = known.select("hub", "node", "members", F.explode("rest").alias("shingle"))
+    shingles = outside.groupBy("hub", "shingle").agg(F.count("*").alias("holders"), F.max("members").alias("members"))
+    core = shingles.where("holders * 5 >= members and holders > 2").select("hub", "shingle")
+    in_core = outside.join(core, ["hub", "shingle"]).groupBy("hub", "node").agg(F.count("*").alias("more"))
+    known = materialise(known.drop("rest").join(in_core, ["hub", "node"], "left").withColumn("common", F.col("common") + F.coalesce("more", F.lit(0))).drop("more"), "near-core")
+    rests = outside.join(shingles.where("holders > 1 and not (holders * 5 >= members and holders > 2)").select("hub", "shingle"), ["hub", "shingle"]).select("hub", "node", "shingle")
+
+    columns = ("node", "n", "label", "common")
+    x, y = ({c: F.col(f"{side}.{c}") for c in columns} for side in "xy")
+    pair = [F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")]
+    stray = known.where("label <> largest")
+    smallest = F.greatest(F.col("least").cast("double"), F.col("n") * percent / 100)
+    sides = [stray.where(F.col("common") * (100 + percent) >= (F.col("n") + smallest) * percent).select("hub", F.struct(*columns).alias("x")), known.select(F.col("hub").alias("hub_y"), F.struct(*columns).alias("y"))]
+    enough = F.least(x["common"], y["common"]) * (100 + percent) >= (x["n"] + y["n"]) * percent
+    by_hub = sides[0].join(sides[1], (F.col("hub") == F.col("hub_y")) & (x["label"] != y["label"]) & enough).select(pair)
+
+    found = [rests.join(side.select("hub", "node", F.struct(*columns).alias(name)), ["hub", "node"]).drop("node") for side, name in ((stray, "x"), (known, "y"))]
+    shared = found[0].join(found[1], ["hub", "shingle"]).where(x["label"] != y["label"]).groupBy("x", "y", "hub").agg(F.count("*").alias("beside"))
+    by_rest = shared.where((F.least(x["common"], y["common"]) + F.col("beside")) * (100 + percent) >= (x["n"] + y["n"]) * percent).select(pair)
+    return by_hub.unionByName(by_rest).distinct()
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, row_col: str | None = None, k: int = 5, percent: int = 75, permutations: int = 64, rows_per_band: int = 4, seed: int = 20240229, star_rounds: int = 1) -> DataFrame:
     """Groups of documents whose sets of k-word shingles are alike by percent or more (Jaccard).
 
     Returns a row for each row of docs: doc_id, n_shingles, component_id (the smallest doc_id
@@ -134,12 +158,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Method: min-max hashing. permutations evaluations a shingle give 2 * permutations signature
     values (least and greatest image), cut into bands of rows_per_band. Texts with equal sets
-    become one node. Documents that share a band's key are candidates; every link is confirmed
-    on the full sets. Inside a bucket not all pairs are formed: star_rounds times, one member of
-    each component so far is compared with a centre (another in each round), and confirmed links
-    merge components; then every pair of members that still lie in different components and
-    haven't been compared is. So no link between components is lost that any band proposes: at
-    the threshold of 0.75 the 32 default bands of 4 miss a pair with probability 0.0000054.
+    become one node. Nodes that share a band's key are candidates; every link is confirmed on
+    the full sets. A pair can only be alike if the shingles of either that any candidate shares
+    would make it so; nodes with too many shingles of their own for their bucket drop out, so
+    the many edited copies of one text don't meet each other in vain. Nor are all pairs of a
+    bucket formed: star_rounds times, one member of each bucket (first the one with the least
+    share of own shingles, then by hash) is compared with the members of other components so
+    far, and confirmed links merge components; then every pair of members that still lie in
+    different components and may be alike, by bounds from their comparison with that first one,
+    is compared too. So no link between components is lost that any band proposes: at 0.75 the 32 default bands of 4 miss a
+    pair with probability 0.0000054.
 
     A text with fewer than k words has one shingle, all its words; a null text or one without
     words has none and links with nothing. A null doc_id is never the smallest unless all of the
@@ -157,32 +185,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowded = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     buckets = materialise(banded.join(crowded, ["band", "key"]), "near-buckets")
     nodes = classes.select("node")
-
-    links_of = _Links(table, classes, k, percent)
-    links, seen = None, None
-    member = buckets.withColumn("label", F.col("node"))
+    candidates = buckets.select(F.col("node").alias("row_key")).distinct()
+    sets = materialise(table.select("row_key", "text").join(candidates, "row_key", "left_semi").mapInArrow(_setter(k), "row_key long, shingles array<long>"), "near-sets")
+
+    # Shingles that no other candidate has can't be in an intersection: |A and B| <= n - own.
+    places = sets.select("row_key", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"), F.min("row_key").alias("node"))
+    alone = materialise(places.where("n = 1").select("node", "shingle"), "near-own")
+    own = alone.groupBy("node").agg(F.count("*").alias("own"))
+    figures = sets.select(F.col("row_key").alias("node"), F.size("shingles").cast("long").alias("n")).join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+
+    def may_link(n, own, n_other):
+        return (n - own) * (100 + percent) >= (n + n_other) * percent
+
+    member = buckets.join(figures, "node")
+    sizes = member.groupBy("band", "key").agg(F.min("n").alias("least"))
+    smallest = F.greatest(F.col("least").cast("double"), F.col("n") * percent / 100)
+    member = member.join(sizes, ["band", "key"]).where(may_link(F.col("n"), F.col("own"), smallest)).drop("least")
+    member = materialise(member, "near-members")
+    discard(buckets)
+
+    links, seen, hubs = None, None, None
+    bucket = ["band", "key"]
+    every = member
+    member = every.withColumn("label", F.col("node"))
     for turn in range(star_rounds + 1):
         if turn:
             labels = connected_components(links)
-            member = buckets.join(labels, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("label"))
-            split = member.groupBy("band", "key").agg((F.min("label") < F.max("label")).alias("open")).where("open").select("band", "key")
-            member = materialise(member.join(split, ["band", "key"]), "near-open")
+            member = every.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+            split = member.groupBy(bucket).agg((F.min("label") < F.max("label")).alias("open")).where("open").select(bucket)
+            member = materialise(member.join(split, bucket), "near-open")
             if member.isEmpty():
                 break
         if turn < star_rounds:
-            order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            centre = member.groupBy("band", "key").agg(F.min_by(F.struct("node", "label"), order).alias("centre"))
-            pairs = member.join(centre, ["band", "key"]).where("label <> centre.label").select(F.col("node").alias("a"), F.col("centre.node").alias("b"))
+            order = F.struct(F.col("own") / F.col("n"), "node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+            hub = member.groupBy(bucket).agg(F.min_by(F.struct("node", "n", "own", "label"), order).alias("hub"))
+            pairs = member.join(hub, bucket).where(F.col("label") != F.col("hub.label"))
+            pairs = pairs.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+            if turn == 0:
+                hubs = hub.select(*bucket, F.col("hub.node").alias("hub"))
         else:
-            other = member.withColumnsRenamed({"node": "b", "label": "label_b"})
-            pairs = member.withColumnRenamed("node", "a").join(other, ["band", "key"]).where("a < b and label <> label_b").select("a", "b")
-        pairs = pairs.distinct()
+            pairs = _open_pairs(member, hubs, seen, alone, bucket, percent)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti").join(seen.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         pairs = materialise(pairs, "near-candidates")
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        found = links_of.confirm(pairs)
-        links = found if links is None else links.unionByName(found)
+        found = _confirm(pairs, sets, percent)
+        seen = found if seen is None else seen.unionByName(found)
+        links = seen.where("linked").select("a", "b")
     labels = nodes.join(connected_components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     placed = slim.join(classes, same, "left").join(labels, "node", "left").select("row_key", "n_shingles", "component")
     placed = materialise(placed.join(table.select("row_key", "doc_id"), "row_key"), "near-placed")
