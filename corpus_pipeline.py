@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,28 @@ from votealloc.llm.decontaminate import contaminated
 from votealloc.llm.exact_dedup import exact_duplicates
 from votealloc.llm.mixing import mix
 from votealloc.llm.near_dedup import near_duplicates
-from votealloc.llm.shared import free_name, materialise
+from votealloc.llm.shared import collecting, free_name, materialise, remove
+
+
+_tables: list[str] = []
+
+
+def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that first deletes the tables behind the stage before it.
+
+    Each stage's result is written before the next one begins, so nothing reads them any more;
+    disk holds one stage's tables at a time. A result must be written before another stage is
+    called.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _tables:
+            remove(spark, _tables.pop())
+        with collecting(_tables):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -27,6 +49,7 @@ def _without(docs: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, docs[number] == F.col("__gone"), "left_anti").drop(number)
 
 
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told clearly; those without a letter or with a narrow margin go."""
     table, number = _numbered(docs)
@@ -35,18 +58,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _without(table, number, found.where("not accepted"))
 
 
+@_stage
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     table, number = _numbered(docs)
     return _without(table, number, exact_duplicates(table, row_col=number).where("not kept"))
 
 
+@_stage
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id."""
     table, number = _numbered(docs)
     return _without(table, number, near_duplicates(table, row_col=number).where("not kept"))
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -54,6 +80,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target and taken."""
     mixed = mix(docs)

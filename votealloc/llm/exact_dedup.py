@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from votealloc.llm.shared import discard, keyed, materialise, shared_dir
+from votealloc.llm.shared import discard, keyed, materialise, note, shared_dir
 
 #: Whitespace runs that count as one space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -23,6 +23,7 @@ def _write_run(rows: DataFrame, label: str, memtable_rows: int) -> DataFrame:
     """Sorted runs of at most memtable_rows entries, each with min/max statistics and a Bloom filter on the digest."""
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    note(path)
     writer = rows.sortWithinPartitions("digest", "doc_id").write.option("maxRecordsPerFile", memtable_rows)
     writer.option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.expected.ndv#digest", min(memtable_rows, 1 << 20)).parquet(path)
     out = spark.read.schema(rows.schema).parquet(path)

@@ -9,11 +9,37 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
+
+
+@contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Notes the paths of all tables that are made inside, for remove() once their reader's result is written."""
+    token = _collected.set(paths)
+    try:
+        yield
+    finally:
+        _collected.reset(token)
+
+
+def note(path: str) -> None:
+    if (paths := _collected.get()) is not None:
+        paths.append(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a new local one only where none is set (tests)."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -32,6 +58,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    note(path)
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark._jvm.System.gc()
@@ -42,11 +69,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table made by materialise() that nothing will read again."""
-    path = getattr(df, "_shared_path", None)
-    if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path := getattr(df, "_shared_path", None):
+        remove(df.sparkSession, path)
 
 
 def keyed(docs: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
