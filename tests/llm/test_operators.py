@@ -6,12 +6,13 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from votealloc.llm import language_id
 from votealloc.llm.chat import maximal_conversations
-from votealloc.llm.decontaminate import contaminated
+from votealloc.llm.decontaminate import align, contaminated
 from votealloc.llm.exact_dedup import exact_duplicates
 from votealloc.llm.mixing import mix
 from votealloc.llm.near_dedup import near_duplicates
@@ -269,6 +270,36 @@ def test_decontamination(spark, corpus, broadcast):
     assert not any(r.contaminated for r in contaminated(frame(spark, clean), benchmark.limit(0)).collect())
 
 
+def test_decontamination_of_many_equal_edited_copies(spark):
+    rng = random.Random(14)
+    item = sentence(rng, 42)
+    edited = " ".join(w if k % 5 != 2 else f"other{k}" for k, w in enumerate(item.split(" ")))
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(i, f"Before {i} it. {edited} After.") for i in range(300)] + [(900, item), (901, sentence(rng, 60))]
+    got = {r.doc_id: r for r in contaminated(frame(spark, rows), benchmark).collect()}
+    assert {i for i, r in got.items() if r.contaminated} == {*range(300), 900}
+    assert all(0.5 < got[i].best_score < 1 for i in range(300)) and got[900].best_score == 1.0
+
+
+def _align(item, passage):
+    best, before = 0, [0] * (len(passage) + 1)
+    for a in item:
+        here = [0]
+        for k, b in enumerate(passage):
+            here.append(max(0, before[k] + (2 if a == b else -1), before[k + 1] - 1, here[k] - 1))
+        best, before = max(best, *here), here
+    return best
+
+
+def test_alignment_equals_the_plain_one():
+    rng = random.Random(15)
+    for size in (0, 1, 7, 20):
+        item = [rng.randrange(9) for _ in range(size)]
+        passages = [[rng.randrange(12) for _ in range(rng.randrange(40))] for _ in range(30)]
+        got = align(np.array(item, np.uint64), [np.array(p, np.uint64) for p in passages])
+        assert got.tolist() == [_align(item, p) for p in passages]
+
+
 def _base_spans(text):
     out = []
     for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text or ""):

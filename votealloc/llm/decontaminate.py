@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
@@ -16,8 +16,8 @@ SLICE_BYTES = 2 << 20
 GRAM = 3
 #: Benchmarks with this many distinct n-grams at most are sent to every task as one sorted array (8 bytes each); larger ones are joined by shuffle.
 BROADCAST_GRAMS = 1 << 20
-#: Seeds are the rarer share of an item's n-grams that texts have, and so many at least.
-RARE_SHARE, LEAST_SEEDS = 0.5, 8
+#: Passages are aligned to an item in tables of so many words.
+ALIGN_WORDS = 1 << 16
 #: Alignment scores, and the share of a full match that counts as contamination.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
@@ -55,55 +55,83 @@ def _gram_rows(n: int, ids: list[str], only: np.ndarray | None = None):
 
 
 def _passages():
-    """Arrow function: the words from low to high of a text, for each wanted window."""
+    """Arrow function: the words from low to high of a text, for each wanted window; in batches of about SLICE_BYTES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            kinds = [batch.column("wanted").type.value_type.field("doc_id").type, pa.int64(), batch.column("wanted").type.value_type.field("item_id").type, pa.string()]
+
+            def made(out: list[tuple]) -> pa.RecordBatch:
+                columns = list(zip(*out, strict=True)) if out else [[]] * 4
+                return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "text_hash", "item_id", "passage"])
+
+            out, held = [], 0
             for key, text, wanted in zip(batch.column("text_hash").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
                 raw = text.as_py().encode()
                 starts, ends, _ = kernels.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
                 for w in wanted.as_py():
                     low, high = max(0, w["low"]), min(len(starts), w["high"])
                     out.append((w["doc_id"], key, w["item_id"], raw[starts[low] : ends[high - 1]].decode()))
-            kinds = [batch.column("wanted").type.value_type.field("doc_id").type, pa.int64(), batch.column("wanted").type.value_type.field("item_id").type, pa.string()]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "text_hash", "item_id", "passage"])
+                    held += int(ends[high - 1] - starts[low])
+                    if held > SLICE_BYTES:
+                        yield made(out)
+                        out, held = [], 0
+            yield made(out)
 
     return run
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> int:
-    """Best Smith-Waterman local alignment score of two sequences of word hashes."""
-    if not len(item) or not len(passage):
-        return 0
-    before = np.zeros(len(passage) + 1, np.int64)
-    slope = np.arange(1, len(passage) + 1) * GAP
-    best = 0
-    for word in item:
-        here = np.where(passage == word, MATCH, MISMATCH)
-        score = np.maximum(np.maximum(before[:-1] + here, before[1:] + GAP), 0)
-        # A gap along the passage carries a score on, less GAP a word: a running maximum.
-        score = np.maximum.accumulate(score - slope) + slope
-        best = max(best, int(score.max()))
-        before[1:] = score
+def align(item: np.ndarray, passages: list[np.ndarray]) -> np.ndarray:
+    """Best Smith-Waterman local alignment score of an item and each passage, as sequences of word hashes."""
+    sizes = np.array([len(p) for p in passages], np.int64)
+    best = np.zeros(len(passages), np.int64)
+    if not len(item):
+        return best
+    known, codes = np.unique(item, return_inverse=True)
+    order = np.argsort(-sizes, kind="stable")
+    i = 0
+    while i < len(order) and (width := int(sizes[order[i]])):
+        rows = order[i : i + max(1, ALIGN_WORDS // width)]
+        i += len(rows)
+        words = np.concatenate([passages[r] for r in rows])
+        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+        grid = np.full((len(rows), width), -1, np.int32)
+        grid[np.arange(width) < sizes[rows][:, None]] = np.where(known[at] == words, at, -1)
+        before = np.zeros((len(rows), width + 1), np.int32)
+        slope = np.arange(1, width + 1, dtype=np.int32) * np.int32(GAP)
+        for code in codes:
+            score = np.where(grid == code, np.int32(MATCH), np.int32(MISMATCH))
+            score += before[:, :-1]
+            np.maximum(score, before[:, 1:] + np.int32(GAP), out=score)
+            np.maximum(score, 0, out=score)
+            # A gap along the passage carries a score on, less GAP a word: a running maximum.
+            score -= slope
+            score = np.maximum.accumulate(score, axis=1)
+            score += slope
+            best[rows] = np.maximum(best[rows], score.max(axis=1))
+            before[:, 1:] = score
     return best
 
 
-def _hashes(column: pa.Array) -> list[np.ndarray]:
-    out = []
-    for i, j, data, offs in kernels.text_slices(column, SLICE_BYTES):
-        _, _, row, word = kernels.word_hashes(data, offs)
-        out += np.split(word, np.searchsorted(row, np.arange(1, j - i)))
-    return out
+def _hashes(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
+    _, _, row, word = kernels.word_hashes(data, offs)
+    return np.split(word, np.searchsorted(row, np.arange(1, len(offs) - 1)))
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow function: the share of a full match that an item and a passage reach."""
     for batch in batches:
-        pairs = zip(_hashes(batch.column("item_text")), _hashes(batch.column("passage")), strict=True)
-        scores = [align(a, b) / (MATCH * len(a)) if len(a) else 0.0 for a, b in pairs]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), batch.column("item_id"), pa.array(scores, pa.float64())], ["doc_id", "text_hash", "item_id", "score"])
+        texts = batch.column("item_text").dictionary_encode()
+        items = [h for _, _, data, offs in kernels.text_slices(texts.dictionary, SLICE_BYTES) for h in _hashes(data, offs)]
+        of = texts.indices.to_numpy(zero_copy_only=False)
+        for i, j, data, offs in kernels.text_slices(batch.column("passage"), SLICE_BYTES):
+            passages, here = _hashes(data, offs), of[i:j]
+            scores = np.zeros(j - i)
+            for k in np.unique(here):
+                at = np.flatnonzero(here == k)
+                if len(items[k]):
+                    scores[at] = align(items[k], [passages[x] for x in at]) / (MATCH * len(items[k]))
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash", "item_id")] + [pa.array(scores, pa.float64())], ["doc_id", "text_hash", "item_id", "score"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, item_col: str = "item_id", item_text_col: str = "text", n: int = GRAM, least_score: float = LEAST_SCORE, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
@@ -114,11 +142,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the smallest item), contaminated (n_items > 0); and text_hash.
 
     Method: the n-grams of words (case of A-Z aside) that texts share with items are found in
-    one scan and counted; an item's seeds are the rarer RARE_SHARE of those of its n-grams that
-    occur (at least LEAST_SEEDS; ties by hash), so that an item which leaks into very many texts still has
-    seeds. Each window of a text around seeds of an item, with room for the item on both sides,
-    is aligned to it word by word (Smith-Waterman: match 2, mismatch and gap -1); the score is
-    that of the best window over that of a full match.
+    one scan; every one of them is a seed, however frequent, since edits may leave a text only
+    the frequent ones. Each window of a text around seeds of an item, with room for the item on
+    both sides, is aligned to it word by word (Smith-Waterman: match 2, mismatch and gap -1); the
+    score is that of the best window over that of a full match. A text that shares no n-gram
+    with an item (at n = 3: every third word changed) is not aligned to it.
 
     Every text and item is read whole. Items or texts of fewer than n words, null and empty ones
     match nothing. Rows are known by (doc_id, hash of text); repeated rows get the same figures.
@@ -138,14 +166,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     else:
         hits = table.mapInArrow(_gram_rows(n, ["doc_id", "text_hash"]), found).join(known, "gram", "left_semi")
 
-    hits = materialise(hits, "leak-hits")
-    texts_with = hits.groupBy("gram").agg(F.count("*").alias("found"))
-    rank = Window.partitionBy("item_id").orderBy("found", "gram")
-    counted = of_items.groupBy("item_id", "gram").agg(F.min("place").alias("at")).join(texts_with, "gram")
-    seeds = counted.withColumns({"rank": F.row_number().over(rank), "all": F.count("*").over(Window.partitionBy("item_id"))})
-    seeds = seeds.where((F.col("rank") <= LEAST_SEEDS) | (F.col("rank") <= F.ceil(F.col("all") * RARE_SHARE)))
     words = of_items.groupBy("item_id").agg((F.max("place") + n).alias("n_words"))
-    seeds = materialise(seeds.join(words, "item_id").select("item_id", "gram", "n_words"), "leak-seeds")
+    seeds = materialise(of_items.select("item_id", "gram").distinct().join(words, "item_id"), "leak-seeds")
 
     # One window for each stretch of a text in which the seeds of an item follow within its length.
     near = hits.join(seeds, "gram")
