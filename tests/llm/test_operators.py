@@ -381,6 +381,50 @@ def test_sentence_dedup(spark, corpus):
     assert remove_repeated_sentences(frame(spark, [])).count() == 0
 
 
+def test_sentence_dedup_of_short_lines(spark):
+    rng = random.Random(12)
+    verse = "\n".join(f"v{i}a v{i}b v{i}c" for i in range(20))
+    rows = [(i, f"Alone {i} here\n{verse}\nThe end {i}") for i in range(4)]
+    # Lines are known by their words, so runs can be compared by the numbers of their lines.
+    line = {k: " ".join(f"w{k}x{j}" for j in range(rng.choice([1, 1, 2, 3, 6, 13, 26]))) for k in range(400)}
+    docs = {}
+    for i in range(10, 50):
+        docs[i] = []
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(60)
+            docs[i] += [*range(at, at + rng.randint(1, 14)), rng.randrange(60, 400)]
+        rows.append((i, "\n".join(line[k] for k in docs[i])))
+    seen, want = set(), {}
+    for i, lines in docs.items():
+        here = []
+        gone = set()
+        for s in range(len(lines)):
+            for e in range(s + 1, len(lines) + 1):
+                if sum(len(line[k].split(" ")) for k in lines[s:e]) >= (25 if e - s == 1 else 12):
+                    run = tuple(lines[s:e])
+                    if run in seen or run in here:
+                        gone.update(range(s, e))
+                    here.append(run)
+        seen.update(here)
+        want[i] = len(gone)
+    got = {r.doc_id: r for r in remove_repeated_sentences(frame(spark, rows), grow=True).collect()}
+    assert [got[i].n_removed for i in range(4)] == [0, 20, 20, 20] and got[1].kept_text == "Alone 1 here\nThe end 1"
+    assert {i: got[i].n_removed for i in docs} == want and sum(want.values()) > 100
+
+
+def test_sentence_dedup_without_spaces(spark):
+    rng = random.Random(13)
+    text = lambda first, last, n: "".join(chr(rng.randint(first, last)) for _ in range(n))
+    han = "".join(text(0x4E00, 0x9FA0, 30) + "。" for _ in range(4))
+    thai = text(0x0E01, 0x0E2E, 240)
+    rows = [(i, f"{text(0x4E00, 0x9FA0, 12)}。{han}{text(0x4E00, 0x9FA0, 12)}") for i in range(3)]
+    rows += [(10 + i, f"{text(0x0E01, 0x0E2E, 60)}\n{thai}\n{text(0x0E01, 0x0E2E, 60)}") for i in range(3)]
+    rows += [(20 + i, f"你好。\n{text(0x4E00, 0x9FA0, 20)}") for i in range(3)]
+    got = {r.doc_id: r for r in remove_repeated_sentences(frame(spark, rows), grow=True).collect()}
+    assert [got[i].n_removed for i in (0, 1, 2)] == [0, 4, 4] and got[1].kept_text == rows[1][1].replace(han, "")
+    assert [got[i].n_removed for i in (10, 11, 12)] == [0, 1, 1] and [got[i].n_removed for i in (20, 21, 22)] == [0, 0, 0]
+
+
 def test_pipeline_stages(spark, corpus, tmp_path):
     import corpus_pipeline
 

@@ -67,7 +67,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_sentences(_table(spark, sf_dir, "documents")).drop("kept_text")
+    return remove_repeated_sentences(_table(spark, sf_dir, "documents"), grow=True).drop("kept_text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
