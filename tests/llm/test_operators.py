@@ -281,6 +281,15 @@ def test_decontamination_of_many_equal_edited_copies(spark):
     assert all(0.5 < got[i].best_score < 1 for i in range(300)) and got[900].best_score == 1.0
 
 
+def test_decontamination_by_items_that_repeat_an_id(spark):
+    rng = random.Random(16)
+    texts = [sentence(rng, 30) for _ in range(4)]
+    benchmark = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2]), (None, texts[3])], "item_id long, text string")
+    rows = [(i, f"Before it. {t} After.") for i, t in enumerate(texts)] + [(9, sentence(rng, 60))]
+    got = sorted((r.doc_id, r.n_items, r.best_score, r.contaminated) for r in contaminated(frame(spark, rows), benchmark).collect())
+    assert got == [(i, 1, 1.0, True) for i in range(4)] + [(9, 0, 0.0, False)]
+
+
 def _align(item, passage):
     best, before = 0, [0] * (len(passage) + 1)
     for a in item:

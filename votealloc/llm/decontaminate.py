@@ -59,11 +59,11 @@ def _passages():
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds = [batch.column("wanted").type.value_type.field("doc_id").type, pa.int64(), batch.column("wanted").type.value_type.field("item_id").type, pa.string()]
+            kinds = [batch.column("wanted").type.value_type.field("doc_id").type, pa.int64(), batch.column("wanted").type.value_type.field("item").type, pa.string()]
 
             def made(out: list[tuple]) -> pa.RecordBatch:
                 columns = list(zip(*out, strict=True)) if out else [[]] * 4
-                return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "text_hash", "item_id", "passage"])
+                return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "text_hash", "item", "passage"])
 
             out, held = [], 0
             for key, text, wanted in zip(batch.column("text_hash").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
@@ -71,7 +71,7 @@ def _passages():
                 starts, ends, _ = kernels.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
                 for w in wanted.as_py():
                     low, high = max(0, w["low"]), min(len(starts), w["high"])
-                    out.append((w["doc_id"], key, w["item_id"], raw[starts[low] : ends[high - 1]].decode()))
+                    out.append((w["doc_id"], key, w["item"], raw[starts[low] : ends[high - 1]].decode()))
                     held += int(ends[high - 1] - starts[low])
                     if held > SLICE_BYTES:
                         yield made(out)
@@ -131,7 +131,7 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.flatnonzero(here == k)
                 if len(items[k]):
                     scores[at] = align(items[k], [passages[x] for x in at]) / (MATCH * len(items[k]))
-            yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash", "item_id")] + [pa.array(scores, pa.float64())], ["doc_id", "text_hash", "item_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash", "item")] + [pa.array(scores, pa.float64())], ["doc_id", "text_hash", "item", "score"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, item_col: str = "item_id", item_text_col: str = "text", n: int = GRAM, least_score: float = LEAST_SCORE, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
@@ -139,7 +139,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Returns a row for each row of docs: doc_id, n_items (items that the text holds with a score
     of least_score or more), best_item, best_score (0 to 1; 0 where nothing was aligned; ties:
-    the smallest item), contaminated (n_items > 0); and text_hash.
+    the smallest item_id, null last), contaminated (n_items > 0); and text_hash.
 
     Method: the n-grams of words (case of A-Z aside) that texts share with items are found in
     one scan; every one of them is a seed, however frequent, since edits may leave a text only
@@ -150,13 +150,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Every text and item is read whole. Items or texts of fewer than n words, null and empty ones
     match nothing. Rows are known by (doc_id, hash of text); repeated rows get the same figures.
-    Null ids are passed through; items with a null id, and other columns, are not read. An empty
-    benchmark leaves every text clean.
+    Null ids are passed through. Items are the distinct (item_id, text) pairs: an id may repeat
+    or be null, and each of its texts is an item. Other columns are not read. An empty benchmark
+    leaves every text clean.
     """
-    id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    id_kind = docs.schema[id_col].dataType.simpleString()
     table = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    items = benchmark.select(benchmark[item_col].alias("item_id"), F.coalesce(benchmark[item_text_col], F.lit("")).alias("text")).where("item_id is not null").dropDuplicates(["item_id"])
-    of_items = items.mapInArrow(_gram_rows(n, ["item_id"]), f"item_id {item_kind}, gram long, place long")
+    items = benchmark.select(benchmark[item_col].alias("item_id"), F.coalesce(benchmark[item_text_col], F.lit("")).alias("text")).distinct()
+    items = materialise(items.withColumn("item", F.monotonically_increasing_id()), "leak-items")
+    of_items = items.select("item", "text").mapInArrow(_gram_rows(n, ["item"]), "item long, gram long, place long")
     known = of_items.select("gram").distinct()
     found = f"doc_id {id_kind}, text_hash long, gram long, place long"
     few = known.limit(broadcast_grams + 1).collect()
@@ -166,26 +168,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     else:
         hits = table.mapInArrow(_gram_rows(n, ["doc_id", "text_hash"]), found).join(known, "gram", "left_semi")
 
-    words = of_items.groupBy("item_id").agg((F.max("place") + n).alias("n_words"))
-    seeds = materialise(of_items.select("item_id", "gram").distinct().join(words, "item_id"), "leak-seeds")
+    words = of_items.groupBy("item").agg((F.max("place") + n).alias("n_words"))
+    seeds = materialise(of_items.select("item", "gram").distinct().join(words, "item"), "leak-seeds")
 
     # One window for each stretch of a text in which the seeds of an item follow within its length.
     near = hits.join(seeds, "gram")
-    along = Window.partitionBy("doc_id", "text_hash", "item_id").orderBy("place")
+    along = Window.partitionBy("doc_id", "text_hash", "item").orderBy("place")
     fresh = (F.col("place") - F.lag("place").over(along) <= F.col("n_words")).cast("int")
     run = F.sum(1 - F.coalesce(fresh, F.lit(0))).over(along)
-    windows = near.withColumn("stretch", run).groupBy("doc_id", "text_hash", "item_id", "stretch").agg((F.min("place") - F.max("n_words")).alias("low"), (F.max("place") + n + F.max("n_words")).alias("high"))
-    wanted = windows.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("doc_id", "item_id", "low", "high")).alias("wanted"))
+    windows = near.withColumn("stretch", run).groupBy("doc_id", "text_hash", "item", "stretch").agg((F.min("place") - F.max("n_words")).alias("low"), (F.max("place") + n + F.max("n_words")).alias("high"))
+    wanted = windows.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("doc_id", "item", "low", "high")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"})
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
-    passages = table.join(wanted, same).select("text_hash", "text", "wanted").mapInArrow(_passages(), f"doc_id {id_kind}, text_hash long, item_id {item_kind}, passage string")
-    pairs = passages.join(items.withColumnRenamed("text", "item_text"), "item_id").select("doc_id", "text_hash", "item_id", "item_text", "passage")
-    scores = pairs.mapInArrow(_scores, f"doc_id {id_kind}, text_hash long, item_id {item_kind}, score double")
-    best = scores.groupBy("doc_id", "text_hash", "item_id").agg(F.max("score").alias("score"))
+    passages = table.join(wanted, same).select("text_hash", "text", "wanted").mapInArrow(_passages(), f"doc_id {id_kind}, text_hash long, item long, passage string")
+    pairs = passages.join(items.select("item", F.col("text").alias("item_text")), "item").select("doc_id", "text_hash", "item", "item_text", "passage")
+    scores = pairs.mapInArrow(_scores, f"doc_id {id_kind}, text_hash long, item long, score double")
+    best = scores.groupBy("doc_id", "text_hash", "item").agg(F.max("score").alias("score")).join(items.select("item", "item_id"), "item")
     best = best.groupBy(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash")).agg(
         F.sum((F.col("score") >= least_score).cast("long")).alias("n_items"),
         F.max("score").alias("best_score"),
-        F.min_by("item_id", F.struct(-F.col("score"), "item_id")).alias("best_item"),
+        F.min_by("item_id", F.struct(-F.col("score"), F.col("item_id").isNull(), "item_id")).alias("best_item"),
     )
     out = table.select("doc_id", "text_hash").join(best, same, "left")
     return out.select("doc_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), "best_item", F.coalesce("best_score", F.lit(0.0)).alias("best_score"), (F.coalesce("n_items", F.lit(0)) > 0).alias("contaminated"), "text_hash")
