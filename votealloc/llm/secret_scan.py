@@ -10,10 +10,11 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 LEAST_ASSIGNED = 6
-#: Parts of credentials that are weak alone: account names, places to log in, strings that could be keys.
+#: Parts of credentials that are weak alone: account names, places to log in, strings that could be keys. Every pattern
+#: tries a run of its characters once, from the run's start, so that time grows with a text's length and no faster.
 NAME = r"""(?i)(?<![a-z0-9_])(?:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
-ENDPOINT = r"""[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"'<>]+|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]+)?(?![0-9.])"""
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}"
+ENDPOINT = r"""(?<![A-Za-z0-9+.-])[0-9+.-]*+[A-Za-z][A-Za-z0-9+.-]*+://[^\x20\x09-\x0D"'<>]+|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]+)?(?![0-9.])"""
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex", "name", "endpoint", "candidate")
 #: Code points between parts of one credential at most.
 SCOPE = 200

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,8 +14,10 @@ from pyspark.sql import DataFrame
 #: Bytes of one piece of a long text at most, where it has a safe boundary; and of the pieces encoded together.
 PIECE_BYTES = 32 << 10
 BATCH_BYTES = 1 << 20
-#: Runs without white space over this length are left to the tokenizers library, whose merges don't slow down with it.
+#: Texts with a run of white space, or without it, over this length are left to the tokenizers library: its merges don't
+#: slow down with the run, and its pattern engine doesn't overflow on it.
 LONG_RUN = 2048
+_LONG = re.compile(rf"(?<!\s)\s{{{LONG_RUN + 1}}}|(?<!\S)\S{{{LONG_RUN + 1}}}")
 #: Fixed value: the pre-tokenizer pattern of byte-level vocabularies in the .json format.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -72,7 +75,7 @@ def _json_counter(path: str) -> Callable[[list[str]], list[int]]:
     def count(texts: list[str]) -> list[int]:
         out = []
         for text in texts:
-            if any(s in text for s in strings) or max(map(len, text.split()), default=0) > LONG_RUN:
+            if any(s in text for s in strings) or _LONG.search(text):
                 out += slow([text])
             else:
                 out.append(len(fast.encode_ordinary(text)))
@@ -125,7 +128,8 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     Counts are those of the vocabulary's library without begin, end or added special tokens,
     truncation or padding; special strings inside a text count as the library's default has
     them. The encoders run in Arrow functions that return lengths only, over pieces balanced by
-    bytes; long texts are cut at safe boundaries and their pieces' counts added. Null text is
+    bytes; long texts are cut at safe boundaries and their pieces' counts added; a run of one
+    kind of characters, white space or not, may be as long as it likes. Null text is
     empty (0 tokens). Null or repeated doc_ids are passed through; other columns aren't read.
     No shuffle, and the vocabulary's path must exist on every executor.
     """
