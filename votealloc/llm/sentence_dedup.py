@@ -12,8 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from votealloc.llm import kernels
+from votealloc.llm.shared import materialise
 
 SLICE_BYTES = 2 << 20
+#: Texts that one task joins with the first place of one span, or more where else over BROADCAST_HOT spans (16 bytes each) would be joined in parts.
+TEXTS_A_PART = 4096
+BROADCAST_HOT = 10_000
 #: Spans of so many consecutive sentences, and the words that a span of that many must have to tell texts apart.
 LEAST_WORDS = {1: 25, 2: 12, 3: 12}
 #: In scripts without spaces, quarters of a word that a character counts, by its first byte and the range of its second:
@@ -87,9 +91,9 @@ def _grown(row: np.ndarray, sizes: np.ndarray, most: int, least: int) -> tuple[n
     return np.concatenate([head[on], start[back]]), np.concatenate([(end - head)[on], (head + 1 - start)[back]])
 
 
-def _spans(data: np.ndarray, offs: np.ndarray, least: dict[int, int], grow: bool) -> tuple[np.ndarray, ...]:
-    """Row, first sentence within the row, number of sentences, and hash of each span."""
-    first, stop, _, (sums, unshift), rows, total = _sentences(data, offs)
+def _spans(sentences: tuple[np.ndarray, ...], least: dict[int, int], grow: bool) -> tuple[np.ndarray, ...]:
+    """Row, first sentence within the row, number of sentences, and hash of each span of _sentences()."""
+    first, stop, _, (sums, unshift), rows, total = sentences
     n = len(first)
     if not n:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
@@ -121,7 +125,7 @@ def _hash_spans(least: dict[int, int], grow: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in kernels.text_slices(batch.column("text"), SLICE_BYTES):
-                row, place, k, h = _spans(data, offs, least, grow)
+                row, place, k, h = _spans(_sentences(data, offs), least, grow)
                 order = np.lexsort((place, h, row))
                 row, place, k, h = row[order], place[order], k[order], h[order]
                 fresh = np.ones(len(h), bool)
@@ -133,42 +137,58 @@ def _hash_spans(least: dict[int, int], grow: bool):
     return run
 
 
+def _cuts(sentences: tuple[np.ndarray, ...], spans: tuple[np.ndarray, ...], later_row: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """Which sentences go: those of spans that are later ones of their row, or not the first of their kind in it."""
+    row, place, k, h = spans
+    of_row = sentences[4][sentences[0]]
+    order = np.lexsort((place, h, row))
+    row, place, k, h = row[order], place[order], k[order], h[order]
+    gone = np.zeros(len(h), bool)
+    gone[1:] = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
+    if len(later):
+        known, code = np.unique(later, return_inverse=True)
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        gone |= (known[at] == h) & np.isin(row * len(known) + at, later_row * len(known) + code)
+    start = np.searchsorted(of_row, row[gone]) + place[gone]
+    n = len(of_row)
+    depth = np.bincount(start, minlength=n + 1) - np.bincount(start + k[gone], minlength=n + 1)
+    return np.cumsum(depth)[:n] > 0
+
+
 def _removed(least: dict[int, int], grow: bool):
     """Arrow function: each text without the sentences of its repeated spans.
 
     later: span hashes that an earlier document has. Within a text, a span's first place stays
-    unless it is one of those.
+    unless it is one of those. A sentence goes with the space after it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, later in zip(pc.fill_null(batch.column("text"), ""), batch.column("later"), strict=True):
-                raw = text.as_py().encode()
-                data, offs = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-                first, stop, starts, *_ = _sentences(data, offs)
-                n = len(first)
-                _, place, k, h = _spans(data, offs, least, grow)
-                order = np.lexsort((place, h))
-                place, k, h = place[order], k[order], h[order]
-                gone = np.isin(h.view(np.int64), np.array(later.as_py() or [], np.int64))
-                gone[1:] |= h[1:] == h[:-1]
-                depth = np.zeros(n + 1, np.int64)
-                np.add.at(depth, place[gone], 1)
-                np.add.at(depth, place[gone] + k[gone], -1)
-                cut = np.cumsum(depth)[:n] > 0
-                # A sentence goes with the space after it.
-                low = starts[first] if n else np.zeros(0, np.int64)
-                high = np.append(low[1:], len(raw))
-                keep, at = [], 0
-                for a, b in zip(low[cut].tolist(), high[cut].tolist(), strict=True):
-                    keep.append(raw[at:a])
-                    at = b
-                kept = b"".join([*keep, raw[at:]])
-                rows.append((n, int(cut.sum()), len(raw), len(raw) - len(kept), kept.decode(), hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)]], ["doc_id", "n_sentences", "n_removed", "n_bytes", "bytes_removed", "kept_text", "kept_sha256"])
+            lists = pc.fill_null(batch.column("later"), pa.scalar([], batch.column("later").type))
+            bounds, later = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            for i, j, data, offs in kernels.text_slices(batch.column("text"), SLICE_BYTES):
+                sentences = _sentences(data, offs)
+                first, _, starts, _, rows, _ = sentences
+                later_row = np.repeat(np.arange(j - i), np.diff(bounds[i : j + 1]))
+                cut = _cuts(sentences, _spans(sentences, least, grow), later_row, later[bounds[i] : bounds[j]])
+                of_row = rows[first]
+                low = starts[first]
+                high = np.append(low[1:], len(data))
+                ends_row = np.append(of_row[1:] != of_row[:-1], True)[: len(first)]
+                high = np.where(ends_row, offs[of_row + 1], high[: len(first)])
+                size = len(data)
+                stays = np.cumsum(np.bincount(low[cut], minlength=size + 1) - np.bincount(high[cut], minlength=size + 1))[:size] == 0
+                kept = data[stays]
+                ends = np.concatenate([[0], np.cumsum(stays)])[offs].astype(np.int32)
+                texts = pa.StringArray.from_buffers(j - i, pa.py_buffer(ends), pa.py_buffer(kept))
+                raw = memoryview(kept)
+                n_bytes = np.diff(offs)
+                columns = [np.bincount(of_row, minlength=j - i), np.bincount(of_row[cut], minlength=j - i), n_bytes, n_bytes - np.diff(ends)]
+                digests = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(i, j - i), *[pa.array(c.astype(np.int64)) for c in columns], texts, pa.array(digests, pa.string())],
+                    ["doc_id", "n_sentences", "n_removed", "n_bytes", "bytes_removed", "kept_text", "kept_sha256"],
+                )
 
     return run
 
@@ -194,8 +214,8 @@ def remove_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col:
 
     Method: every span is hashed (64 bits, of words of 64 bits) in Arrow functions; distinct
     spans of each text are pre-aggregated to (count, smallest id) before the shuffle and joined
-    back by hash, so a passage that a third of all documents share is one row there; texts are
-    cut where hits are. Rows are known by (doc_id, hash of text): no numbering is needed, and a
+    back by hash; a passage that a third of all documents share is one row there, and is joined
+    in parts. Texts are cut slice by slice, where hits are. Rows are known by (doc_id, hash of text): no numbering is needed, and a
     lost task is simply run again. Rows that repeat a doc_id are parts of one document, of which
     none is later than another; null doc_ids are one document, after all others. Null or empty
     texts have no sentences. Other columns aren't read.
@@ -204,8 +224,16 @@ def remove_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     table = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).withColumn("text_hash", F.xxhash64("text"))
     spans = table.mapInArrow(_hash_spans(least, grow), f"doc_id {kind}, text_hash long, span long")
-    firsts = spans.groupBy("span").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1").select("span", "first_id")
-    later = spans.join(firsts, "span").where(_after(F.col("doc_id"), F.col("first_id"))).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("later"))
+    firsts = materialise(spans.groupBy("span").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1"), "sentence-firsts")
+    # A span that very many texts hold is joined in parts. There are at most BROADCAST_HOT of them, whatever the input.
+    held = firsts.agg(F.sum("n")).first()[0] or 0
+    texts_a_part = max(TEXTS_A_PART, held // BROADCAST_HOT)
+    parted = firsts.withColumn("parts", F.ceil(F.col("n") / texts_a_part))
+    hot = F.broadcast(parted.where("parts > 1").select("span", "parts"))
+    part = F.pmod(F.xxhash64("doc_id", "text_hash"), F.coalesce("parts", F.lit(1)))
+    dealt = spans.join(hot, "span", "left").select("span", "doc_id", "text_hash", part.alias("part"))
+    firsts = parted.select("span", "first_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    later = dealt.join(firsts, ["span", "part"]).where(_after(F.col("doc_id"), F.col("first_id"))).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("later"))
     later = later.withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"})
     found = table.join(later, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left").select("doc_id", "text", "later")
     return found.mapInArrow(_removed(least, grow), f"doc_id {kind}, n_sentences long, n_removed long, n_bytes long, bytes_removed long, kept_text string, kept_sha256 string")
