@@ -253,8 +253,8 @@ def test_near_dedup_of_nothing(spark):
     assert near_duplicates(frame(spark, [(1, None), (2, "")])).where("kept").count() == 2
 
 
-@pytest.mark.parametrize("broadcast", [1 << 20, 0])
-def test_decontamination(spark, corpus, broadcast):
+@pytest.mark.parametrize("block_words", [1 << 20, 60])
+def test_decontamination(spark, corpus, block_words):
     rng = random.Random(4)
     items = [(i, sentence(rng, 40)) for i in range(6)] + [(20, None), (21, ""), (22, "two words"), (None, "null id item text here")]
     clean = [(i, t) for i, t in corpus if i != 400]
@@ -262,7 +262,7 @@ def test_decontamination(spark, corpus, broadcast):
     edited = [w if k % 6 else "other" for k, w in enumerate(words)]
     leaks = {700: "Before it. " + items[0][1] + " after.", 701: " ".join(edited), 702: sentence(rng, 30) + "\n" + items[1][1].upper().translate(LOW)}
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    got = contaminated(frame(spark, clean + list(leaks.items())), benchmark, broadcast_grams=broadcast).collect()
+    got = contaminated(frame(spark, clean + list(leaks.items())), benchmark, block_words=block_words).collect()
     assert len(got) == len(clean) + 3
     assert {r.doc_id for r in got if r.contaminated} == set(leaks)
     best = {r.doc_id: r for r in got if r.contaminated}
@@ -305,10 +305,51 @@ def test_alignment_equals_the_plain_one():
     for size in (0, 1, 7, 20):
         item = [rng.randrange(9) for _ in range(size)]
         passages = [[rng.randrange(12) for _ in range(rng.randrange(40))] for _ in range(30)]
-        got = align(np.array(item, np.uint64), [np.array(p, np.uint64) for p in passages])
+        got = align([np.array(item, np.uint64)] * 30, [np.array(p, np.uint64) for p in passages])
         assert got.tolist() == [_align(item, p) for p in passages]
 
 
+def _words(text):
+    return WORD.findall((text or "").translate(LOW))
+
+
+@pytest.mark.parametrize("block_words", [1 << 20, 60])
+def test_decontamination_finds_what_all_pairs_find(spark, block_words):
+    """Against alignment of every text with every item: short items, scores about 0.5, words edited in regular places, common words."""
+    rng = random.Random(21)
+    common = "a b c d e f g h".split()
+    word = lambda: rng.choice(common) if rng.random() < 0.5 else "".join(rng.choice("klmnop") for _ in range(4))
+    items = [(i // 2 if i % 5 else None, " ".join(word() for _ in range(rng.randint(5, 24)))) for i in range(24)]
+    rows = []
+    for i in range(400):
+        words = items[i % 24][1].split(" ")
+        every = rng.choice([2, 3, 3, 3, 4, 6])
+        kind = rng.choice(["sub", "cut", "put", "part", "mix"])
+        out = []
+        for k, w in enumerate(words):
+            hit = k % every == every - 1 if i % 2 else rng.random() < 1 / every
+            does = rng.choice(["sub", "cut", "put"]) if kind == "mix" else kind
+            if kind == "part":
+                out += [w] if k < len(words) * 0.6 else []
+            elif not hit:
+                out.append(w)
+            elif does != "cut":
+                out += [f"x{rng.randint(0, 99)}"] + ([w] if does == "put" else [])
+        rows.append((i, " ".join([word() for _ in range(rng.randint(0, 30))] + out + [word() for _ in range(rng.randint(0, 30))])))
+    rows += [(1000 + i, rows[7][1]) for i in range(100)] + [(2000, None), (2001, ""), (2002, "a")]
+    distinct = sorted(set(items), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    want = {}
+    for i, t in rows:
+        text = _words(t)
+        scores = [(_align(_words(x), text) / (2 * len(_words(x))), item) for item, x in distinct]
+        want[i] = (sum(s >= 0.5 for s, _ in scores), max((s for s, _ in scores if s >= 0.5), default=0.0))
+    got = {r.doc_id: (r.n_items, r.best_score) for r in contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), block_words=block_words).collect()}
+    links, found = sum(n for n, _ in want.values()), sum(n for n, _ in got.values())
+    assert all(got[i][0] <= want[i][0] for i in want) and found >= 0.97 * links and links > 300
+    assert sum(got[i][1] == want[i][1] for i in want) >= 0.98 * len(want)
+    assert [got[i] for i in (2000, 2001, 2002)] == [(0, 0.0)] * 3
+
+
 def _base_spans(text):
     out = []
     for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text or ""):
