@@ -110,14 +110,14 @@ def test_chat_collapses_snapshots(spark):
 
 def test_mixing_meets_targets(spark, corpus):
     rows = [(i, t, None if (i or 0) % 7 == 0 else f"s{(i or 0) % 4}") for i, t in corpus]
-    docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, source string, taken long")
+    docs = spark.createDataFrame([(*r, 9, 1, 2) for r in rows], "doc_id long, text string, source string, taken long, plan long, __plan long")
     got = mix(docs)
-    assert got.columns == ["doc_id", "text", "source", "taken", "size", "source_size", "target", "taken_"]
+    assert got.columns == ["doc_id", "text", "source", "taken", "plan", "__plan", "size", "source_size", "target", "taken_"]
     out = got.collect()
     size = lambda t: len(WORD.findall(t or ""))
     sums, taken, target = collections.Counter(), collections.Counter(), {}
     for r in out:
-        assert r["size"] == size(r.text) and r.taken_ in {0, r["size"], 2 * r["size"], 3 * r["size"]}
+        assert (r.plan, r["__plan"]) == (1, 2) and r["size"] == size(r.text) and r.taken_ in {0, r["size"], 2 * r["size"], 3 * r["size"]}
         sums[r.source] += r["size"]
         taken[r.source] += r.taken_
         target[r.source] = r.target
@@ -165,23 +165,47 @@ def test_safe_pieces_are_the_text():
     assert "".join(pieces) == text and len(pieces) > 10
 
 
+def _smallest(dictionaries, text):
+    """The languages by the compressed size of the text's distinct words, one text at a time and with coders of its own."""
+    import zstandard
+
+    seen, words = set(), []
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        words += [w] if w not in seen else []
+        seen.add(w)
+    data = f" {' '.join(words)} ".encode()
+    sizes = []
+    for lang, content in dictionaries.items():
+        coder = zstandard.ZstdCompressor(level=-1, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False)
+        sizes.append((sum(len(coder.compress(data[k : k + 2048])) for k in range(0, len(data), 2048)), lang))
+    return sorted(sizes)
+
+
 def test_language_id_is_accurate_and_rejects(spark):
     rng = random.Random(2)
     syllables = {"aa": "th er on an re he in ed nd ha".split(), "bb": "sch ung ver lich keit ein ich ge be zu".split(), "cc": "que eau ou ai ment tion le la re es".split()}
-    text = lambda lang: " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(1, 3))) for _ in range(60))
+    text = lambda lang, n=60: " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
     rows = [(i, text(lang), lang) for i in range(120) for lang in [("aa", "bb", "cc")[i % 3]]]
-    rows += [(500, None, "aa"), (501, "", None), (502, "123 ... !", "bb"), (503, text("aa").upper() * 100, None), (None, text("bb"), None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rows += [(500, None, "aa"), (501, "", None), (502, "123 ... !", "bb"), (503, text("aa").upper() * 100, None), (504, text("cc", 9000), "cc"), (505, "th sch", None), (None, text("bb"), None)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, found string")
     out = language_id.held_out(F.col("doc_id"))
     dictionaries = language_id.fit(docs.where(~out), rows=20)
     assert sorted(dictionaries) == ["aa", "bb", "cc"]
-    got = {r.row_key: r for r in language_id.classify(docs, dictionaries).collect()}
+    # Whole texts are learned from: every word of each sampled row is in the dictionary.
+    learned = collections.Counter(lang for i, t, lang in rows if lang and t and language_id.folded(t).strip() and all(w in set(dictionaries[lang].split()) for w in language_id.folded(t).split()))
+    assert all(learned[lang] >= 20 for lang in dictionaries)
+    classified = docs.select("doc_id", language_id.language_of(F.col("text"), dictionaries).alias("found")).select("doc_id", "found.*")
+    got = {r.doc_id: r for r in classified.collect()}
     held = [r for r in rows if r[0] is not None and r[0] < 120 and zlib.crc32(str(r[0]).encode()) % 4 == 2]
     assert sum(got[i].lang_pred == lang for i, _, lang in held) >= 0.95 * len(held)
     for i in (500, 501, 502):
         assert (got[i].lang_pred, got[i].score, got[i].accepted) == ("und", 0.0, False)
-    assert got[503].lang_pred == "aa" and got[None].lang_pred == "bb" and 0 <= got[503].score <= 1
-    assert {r.lang_pred for r in language_id.classify(docs, {}).collect()} == {"und"}
+    assert got[503].lang_pred == "aa" and got[None].lang_pred == "bb" and got[504].lang_pred == "cc"
+    for i, t, _ in rows:
+        if i not in (500, 501, 502):
+            (least, lang), (second, _), _ = _smallest(dictionaries, t)
+            assert got[i].lang_pred == lang and abs(got[i].score - (1 - least / second)) < 1e-12 and got[i].accepted == (got[i].score >= 0.01)
+    assert {r.lang_pred for r in docs.select(language_id.language_of(F.col("text"), {}).alias("found")).select("found.*").collect()} == {"und"}
     assert language_id.fit(docs.limit(0)) == {}
 
 
@@ -475,16 +499,26 @@ def test_sentence_dedup_without_spaces(spark):
     assert [got[i].n_removed for i in (10, 11, 12)] == [0, 1, 1] and [got[i].n_removed for i in (20, 21, 22)] == [0, 0, 0]
 
 
-def test_pipeline_stages(spark, corpus, tmp_path):
-    import corpus_pipeline
+def _write_corpus(spark, folder, rows, item, columns="doc_id long, text string, lang string, source string, n_chars long"):
+    spark.createDataFrame(rows, columns).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(0, item)] if item else [], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
 
+
+def _pipeline_rows():
     rng = random.Random(6)
     item = sentence(rng, 40)
     texts = [" ".join(sentence(rng) for _ in range(12)) for _ in range(30)]
     rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(texts)]
     rows += [(50, "1234 5678", "en", "s0", 9), (51, None, None, None, 0), (52, texts[0].replace(" ", "  "), "en", "s1", 1), (53, texts[1] + " More.", "en", "s1", 1), (54, texts[2][:300] + "\n" + item, "en", "s2", 1), (None, texts[3], None, None, 1)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return rows, item
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rows, item = _pipeline_rows()
+    clash = ["row_number", "gone", "of", "of_hash", "row_key", "__id", "__hash", "__gone", "__plan", "plan", "found"]
+    _write_corpus(spark, tmp_path, [(*r, *range(len(clash))) for r in rows], item, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in clash))
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     gone = [{50, 51}, {52, None}, {53}, {54}]
     left = {r[0] for r in rows}
@@ -494,5 +528,30 @@ def test_pipeline_stages(spark, corpus, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{name}")
         left -= dropped
         assert docs.columns == before and {r.doc_id for r in docs.collect()} == left, name
+        assert {tuple(r)[5:] for r in docs.collect()} == {tuple(range(len(clash)))}
     mixed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in mixed} <= left and all(0 < r.taken <= 3 * r["size"] for r in mixed)
+
+
+def test_two_pipelines_and_what_they_leave(spark, tmp_path):
+    import pathlib
+
+    import corpus_pipeline
+    from votealloc.llm.shared import shared_dir
+
+    rows, item = _pipeline_rows()
+    _write_corpus(spark, tmp_path / "a", rows, item)
+    _write_corpus(spark, tmp_path / "b", rows[:20], None)
+    _write_corpus(spark, tmp_path / "none", [], item)
+    shared = pathlib.Path(shared_dir(spark).removeprefix("file://").removeprefix("file:"))
+    before = set(shared.iterdir())
+    # Stages of two pipelines in turn, results read late.
+    a, b = (spark.read.parquet(f"{tmp_path}/{x}/documents.parquet") for x in "ab")
+    a1, b1 = corpus_pipeline.drop_exact(spark, a, str(tmp_path / "a")), corpus_pipeline.drop_exact(spark, b, str(tmp_path / "b"))
+    a2, b2 = corpus_pipeline.drop_near(spark, a1, str(tmp_path / "a")), corpus_pipeline.drop_near(spark, b1, str(tmp_path / "b"))
+    assert (a1.count(), b1.count(), a2.count(), b2.count()) == (len(rows) - 2, 20, len(rows) - 3, 20)
+    between = set(shared.iterdir())
+    first, second, none = (corpus_pipeline.run(spark, str(tmp_path / x)) for x in ("a", "b", "none"))
+    assert len(set(shared.iterdir()) - between) == 3  # the results themselves
+    assert first.count() > 0 and second.count() > 0 and none.count() == 0
+    assert len(between - before) == 8  # of each of four stages its numbered rows and the numbers that go

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from votealloc.llm.shared import materialise
+from votealloc.llm.shared import discard, free_name, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS = 60
@@ -106,18 +106,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     named = cuts.select(F.col("source").alias("of"), "cut")
     table = table.join(named, F.col("source").eqNullSafe(F.col("of")), "left").select("source", "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
     table = materialise(table, "mix-plan")
+    discard(sized)
 
     out, names = docs, {}
     for wanted in ("size", "source_size", "target", "taken"):
-        name = wanted
-        while name.lower() in {c.lower() for c in out.columns}:
-            name += "_"
-        names[wanted] = name
+        names[wanted] = name = free_name(out, wanted)
         out = out.withColumn(name, word_count(docs[text_col]) if wanted == "size" else F.lit(None).cast("double" if wanted == "target" else "long"))
-    plan = _small(table.select(F.struct("source", "source_size", "target", "whole", "cut").alias("__plan")))
-    out = out.join(plan, docs[source_col].cast("string").eqNullSafe(F.col("__plan.source")), "left")
-    copies = F.col("__plan.whole") + (unit_hash(docs[id_col]) < F.col("__plan.cut")).cast("long")
-    return out.withColumns({names["source_size"]: F.col("__plan.source_size"), names["target"]: F.col("__plan.target"), names["taken"]: F.col(f"`{names['size']}`") * copies}).drop("__plan")
+    plan = free_name(out, "plan")
+    of = {c: F.col(f"`{plan}`.{c}") for c in table.columns}
+    out = out.join(_small(table.select(F.struct(*table.columns).alias(plan))), docs[source_col].cast("string").eqNullSafe(of["source"]), "left")
+    copies = of["whole"] + (unit_hash(docs[id_col]) < of["cut"]).cast("long")
+    return out.withColumns({names["source_size"]: of["source_size"], names["target"]: of["target"], names["taken"]: F.col(f"`{names['size']}`") * copies}).drop(plan)
 
 
 #: The query's rows in DuckDB: the same targets; the cut is found by sorting hashes.

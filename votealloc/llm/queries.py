@@ -1,4 +1,7 @@
-"""The operators applied to whole tables, with production parameters: one query each."""
+"""The operators applied to whole tables, with production parameters: one query each.
+
+Queries that need tables on the way return a written one, with all others removed.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +18,7 @@ from votealloc.llm.mixing import MIX_SQL, mix
 from votealloc.llm.near_dedup import near_duplicates
 from votealloc.llm.secret_scan import scan_secrets
 from votealloc.llm.sentence_dedup import remove_repeated_sentences
+from votealloc.llm.shared import finished
 from votealloc.llm.suffix_dedup import remove_repeats
 from votealloc.llm.token_counts import count_tokens
 
@@ -24,7 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_table(spark, sf_dir, "documents")).drop("row_key")
+    return finished(lambda: remove_repeats(_table(spark, sf_dir, "documents")).drop("row_key"), "op1_suffix_dedup")
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +37,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return finished(lambda: mix(docs).select("doc_id", "size", "source_size", "target", "taken"), "op3_mixing")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,20 +50,20 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = language_id.held_out(F.col("doc_id"))
     dictionaries = language_id.fit(docs.where(~out))
-    found = language_id.classify(docs, dictionaries).withColumnRenamed("row_key", "doc_id")
-    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "accepted")
+    found = docs.select("doc_id", out.alias("held_out"), language_id.language_of(F.col("text"), dictionaries).alias("found"))
+    return found.select("doc_id", "held_out", "found.*")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(_table(spark, sf_dir, "documents")).drop("row_key")
+    return finished(lambda: exact_duplicates(_table(spark, sf_dir, "documents")).drop("row_key"), "op6_exact_dedup")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
+    return finished(lambda: contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash"), "op7_decontamination")
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents")).drop("row_key")
+    return finished(lambda: near_duplicates(_table(spark, sf_dir, "documents")).drop("row_key"), "op8_near_duplicates")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +71,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_sentences(_table(spark, sf_dir, "documents"), grow=True).drop("kept_text")
+    return finished(lambda: remove_repeated_sentences(_table(spark, sf_dir, "documents"), grow=True).drop("kept_text"), "op10_sentence_dedup")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

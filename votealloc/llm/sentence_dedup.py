@@ -12,12 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from votealloc.llm import kernels
-from votealloc.llm.shared import materialise
+from votealloc.llm.shared import join_parted, materialise
 
 SLICE_BYTES = 2 << 20
-#: Texts that one task joins with the first place of one span, or more where else over BROADCAST_HOT spans (16 bytes each) would be joined in parts.
-TEXTS_A_PART = 4096
-BROADCAST_HOT = 10_000
 #: Spans of so many consecutive sentences, and the words that a span of that many must have to tell texts apart.
 LEAST_WORDS = {1: 25, 2: 12, 3: 12}
 #: In scripts without spaces, quarters of a word that a character counts, by its first byte and the range of its second:
@@ -225,15 +222,8 @@ def remove_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col:
     table = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).withColumn("text_hash", F.xxhash64("text"))
     spans = table.mapInArrow(_hash_spans(least, grow), f"doc_id {kind}, text_hash long, span long")
     firsts = materialise(spans.groupBy("span").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1"), "sentence-firsts")
-    # A span that very many texts hold is joined in parts. There are at most BROADCAST_HOT of them, whatever the input.
-    held = firsts.agg(F.sum("n")).first()[0] or 0
-    texts_a_part = max(TEXTS_A_PART, held // BROADCAST_HOT)
-    parted = firsts.withColumn("parts", F.ceil(F.col("n") / texts_a_part))
-    hot = F.broadcast(parted.where("parts > 1").select("span", "parts"))
-    part = F.pmod(F.xxhash64("doc_id", "text_hash"), F.coalesce("parts", F.lit(1)))
-    dealt = spans.join(hot, "span", "left").select("span", "doc_id", "text_hash", part.alias("part"))
-    firsts = parted.select("span", "first_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    later = dealt.join(firsts, ["span", "part"]).where(_after(F.col("doc_id"), F.col("first_id"))).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("later"))
+    held = join_parted(spans, firsts, ["span"], "text_hash")
+    later = held.where(_after(F.col("doc_id"), F.col("first_id"))).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("later"))
     later = later.withColumnsRenamed({"doc_id": "of", "text_hash": "of_hash"})
     found = table.join(later, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left").select("doc_id", "text", "later")
     return found.mapInArrow(_removed(least, grow), f"doc_id {kind}, n_sentences long, n_removed long, n_bytes long, bytes_removed long, kept_text string, kept_sha256 string")

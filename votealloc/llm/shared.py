@@ -9,29 +9,22 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of one key that one task joins, or more where else over BROADCAST_HOT keys (some tens of bytes each) would be joined in parts.
+ROWS_A_PART = 4096
+BROADCAST_HOT = 10_000
 
-_collected: ContextVar[list[str] | None] = ContextVar("collected", default=None)
-
-
-@contextmanager
-def collecting(paths: list[str]) -> Iterator[None]:
-    """Notes the paths of all tables that are made inside, for remove() once their reader's result is written."""
-    token = _collected.set(paths)
-    try:
-        yield
-    finally:
-        _collected.reset(token)
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def note(path: str) -> None:
-    if (paths := _collected.get()) is not None:
+    """Tells finished(), if the caller runs in one, of a table that was made."""
+    if (paths := _made.get()) is not None:
         paths.append(path)
 
 
@@ -40,10 +33,27 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def finished(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """make()'s rows as a written table; every other table that was made for them is removed."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        out = materialise(make(), label)
+    finally:
+        _made.reset(token)
+    for path in made:
+        if path != out._shared_path:
+            remove(out.sparkSession, path)
+    note(out._shared_path)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a new local one only where none is set (tests)."""
+    """The folder named in spark.checkpoint.dir. Where none is set, a local master (tests) gets a new one; a cluster is an error."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         set_dir = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(set_dir)
     return set_dir.rstrip("/")
@@ -73,6 +83,26 @@ def discard(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def join_parted(left: DataFrame, right: DataFrame, keys: list[str], spread: str, n: str = "n", how: str = "inner") -> DataFrame:
+    """left joined with right on keys, in parts where very many rows of left have a key.
+
+    right is a written table with one row a key, and in n how many rows of left have it (or
+    more). Such a key's row is copied once for each part, and left's rows are dealt to parts by a hash of
+    spread, so that no task gets them all. There are at most BROADCAST_HOT such keys, whatever
+    the input: only they are broadcast. n isn't passed on.
+    """
+    total, most = right.agg(F.sum(n), F.max(n)).first()
+    a_part = max(ROWS_A_PART, (total or 0) // BROADCAST_HOT)
+    if (most or 0) <= a_part:
+        return left.join(right.drop(n), keys, how)
+    parts, part = free_name(left, "parts"), free_name(left, "part")
+    parted = right.withColumn(parts, F.ceil(F.col(n) / a_part)).drop(n)
+    hot = F.broadcast(parted.where(F.col(parts) > 1).select(*keys, parts))
+    dealt = left.join(hot, keys, "left").withColumn(part, F.pmod(F.xxhash64(spread), F.coalesce(parts, F.lit(1)))).drop(parts)
+    copied = parted.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))).drop(parts)
+    return dealt.join(copied, [*keys, part], how).drop(part)
+
+
 def keyed(docs: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
     """The given columns (new name -> column of docs) and a stable row_key, written and read again.
 
