@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,78 +12,49 @@ from votealloc.llm.decontaminate import contaminated
 from votealloc.llm.exact_dedup import exact_duplicates
 from votealloc.llm.mixing import mix
 from votealloc.llm.near_dedup import near_duplicates
-from votealloc.llm.shared import collecting, free_name, materialise, remove
+from votealloc.llm.shared import finished, free_name, materialise, remove
 
 
-_tables: list[str] = []
+def _without_rows(docs: DataFrame, find: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """docs but for the rows whose row_key is in find(docs, name of a column of row numbers).
 
-
-def _stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that first deletes the tables behind the stage before it.
-
-    Each stage's result is written before the next one begins, so nothing reads them any more;
-    disk holds one stage's tables at a time. A result must be written before another stage is
-    called.
+    Rows are numbered in a written table, so that numbers stay the same. It and the numbers of
+    the rows that go are what the result reads; all else is removed before it is returned.
     """
+    number, gone = free_name(docs, "row_number"), free_name(docs, "gone")
+    table = materialise(docs.withColumn(number, F.monotonically_increasing_id()), "pipeline-docs")
+    dropped = finished(lambda: find(table, number).select(F.col("row_key").alias(gone)), "pipeline-gone")
+    return table.join(dropped, F.col(f"`{number}`") == F.col(f"`{gone}`"), "left_anti").drop(number)
 
-    @wraps(function)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _tables:
-            remove(spark, _tables.pop())
-        with collecting(_tables):
-            return function(spark, docs, sf_dir)
-
-    return run_stage
-
-
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a row number of its own, written and read again so that it stays the same."""
-    name = free_name(docs, "row_number")
-    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-docs"), name
 
-
-def _without(docs: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
-    """docs but for the rows whose row_key is in dropped."""
-    gone = dropped.select(F.col("row_key").alias("__gone"))
-    return docs.join(gone, docs[number] == F.col("__gone"), "left_anti").drop(number)
-
-
-@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told clearly; those without a letter or with a narrow margin go."""
-    table, number = _numbered(docs)
-    dictionaries = language_id.fit(table.where(~language_id.held_out(F.col("doc_id"))))
-    found = language_id.classify(table, dictionaries, row_col=number)
-    return _without(table, number, found.where("not accepted"))
+    dictionaries = language_id.fit(docs.where(~language_id.held_out(docs["doc_id"])))
+    return docs.where(language_id.language_of(docs["text"], dictionaries)["accepted"])
 
 
-@_stage
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    table, number = _numbered(docs)
-    return _without(table, number, exact_duplicates(table, row_col=number).where("not kept"))
+    return _without_rows(docs, lambda table, number: exact_duplicates(table, row_col=number).where("not kept"))
 
 
-@_stage
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id."""
-    table, number = _numbered(docs)
-    return _without(table, number, near_duplicates(table, row_col=number).where("not kept"))
+    return _without_rows(docs, lambda table, number: near_duplicates(table, row_col=number).where("not kept"))
 
 
-@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    bad = contaminated(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left_anti")
+    of, of_hash = free_name(docs, "of"), free_name(docs, "of_hash")
+    bad = finished(lambda: contaminated(docs, benchmark).where("contaminated").select(F.col("doc_id").alias(of), F.col("text_hash").alias(of_hash)).distinct(), "pipeline-leaks")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(f"`{of}`")) & (F.xxhash64(docs["text"]) == F.col(f"`{of_hash}`")), "left_anti")
 
 
-@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target and taken."""
     mixed = mix(docs)
-    return mixed.where(F.col(mixed.columns[-1]) > 0)
+    return mixed.where(F.col(f"`{mixed.columns[-1]}`") > 0)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -100,8 +70,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and read again."""
+    """All stages over documents, each written as Parquet and read again.
+
+    A stage's tables, and the table that it read, are removed once it is written: the result is
+    a written table, and the only one that stays.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        before = docs
+        docs = finished(lambda docs=before, stage=stage: stage(spark, docs, sf_dir), f"stage-{name}")
+        if path := getattr(before, "_shared_path", None):
+            remove(spark, path)
+    return docs
