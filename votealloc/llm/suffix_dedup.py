@@ -10,9 +10,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from votealloc.llm import kernels
-from votealloc.llm.shared import discard, keyed, materialise
+from votealloc.llm.shared import discard, join_parted, keyed, materialise
 
 #: The kernels keep some dozen 8-byte numbers for each byte of a slice.
 SLICE_BYTES = 1 << 20
@@ -68,8 +69,10 @@ def _sampler(length: int, q: int):
                 least[np.arange(len(least)) + length > offs[row_of + 1]] = 0
                 pos, first, last = _owned(gram, least, reach)
                 row = np.searchsorted(offs, pos, "right") - 1
-                shape = (pos - first).astype(np.uint64) * np.uint64(1 << 32) + (pos - last).astype(np.uint64)
-                full = kernels.mix(hasher.spans(first, last + length) ^ kernels.mix(shape))
+                # The context is hashed by a function that has nothing to do with that of the q-grams.
+                raw = memoryview(data)
+                full = np.fromiter((xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)), np.uint64, len(pos))
+                full = kernels.mix(full ^ kernels.mix((pos - first).astype(np.uint64) * np.uint64(1 << 32) + (pos - last).astype(np.uint64)))
                 keys = batch.column("row_key").slice(i, j - i).take(pa.array(row))
                 columns = [pos - offs[row], pos - last, pos - first, gram[pos].view(np.int64), full.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([keys, *[pa.array(c.astype(np.int64)) for c in columns]], ["row_key", "pos", "a", "b", "bucket", "full"])
@@ -135,13 +138,15 @@ def _refine(suffixes: DataFrame, length: int, q: int, parts: int = 5) -> DataFra
         groups = each.groupBy(node).agg(F.sum("n").alias("total"), F.min(F.col("agree") | F.col("all_done")).alias("closed")).where("total > 1").drop("total")
         state = kids.join(each.drop("all_done", "n").join(groups, node), [*node, "wide"])
         state = materialise(state.select("sid", "done", "parent", "low", "high", "agree", "closed", (~F.col("agree") | (F.col("sid") == F.col("goes_on"))).alias("stays")), "suffix-state")
-        hits = state.where("agree and not done").select("sid", F.col("low").alias("a"), F.col("high").alias("b"))
+        hits = materialise(state.where("agree and not done").select("sid", F.col("low").alias("a"), F.col("high").alias("b")), "suffix-hits")
         found = hits if found is None else found.unionByName(hits)
         if width > 1:
             further = state.where("stays and not closed").select("sid", "parent", "low", "high", (F.col("done") | F.col("agree")).alias("done"))
             carried = opened.select("sid", F.col("a").alias("parent"), "bucket", "before", "context")
             onward = further.join(carried, ["sid", "parent"]).select("sid", "bucket", "before", "context", "done", F.col("low").alias("a"), F.col("high").alias("b"))
-            opened = materialise(onward, "suffix-open")
+            before, opened = opened, materialise(onward, "suffix-open")
+            discard(before)
+        discard(state)
     return found.join(suffixes.select("sid", "row_key", "pos"), "sid").select("row_key", "pos", "a", "b")
 
 
@@ -176,16 +181,20 @@ def _remover(length: int):
 def repeated_ranges(table: DataFrame, length: int = 200, q: int = 40) -> DataFrame:
     """(row_key, pos, a, b) of table (row_key, text): strings of length bytes that start a to b bytes before pos occur elsewhere too."""
     samples = materialise(table.mapInArrow(_sampler(length, q), "row_key long, pos long, a long, b long, bucket long, full long"), "suffix-samples")
-    crowded = samples.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = materialise(samples.join(crowded, "bucket"), "suffix-members")
+    crowded = materialise(samples.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "suffix-crowded")
+    members = materialise(join_parted(samples, crowded, ["bucket"], "row_key"), "suffix-members")
     discard(samples)
+    discard(crowded)
     contexts = members.groupBy("bucket", "full").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "pos", "a", "b")).alias("first"))
     contexts = materialise(contexts.select("bucket", "full", "n", "first.*"), "suffix-contexts")
-    whole = members.join(contexts.where("n > 1").select("bucket", "full"), ["bucket", "full"]).select("row_key", "pos", "a", "b")
+    whole = join_parted(members, contexts.where("n > 1").select("bucket", "full", "n"), ["bucket", "full"], "row_key").select("row_key", "pos", "a", "b")
+    whole = materialise(whole, "suffix-whole")
+    discard(members)
     mixed = contexts.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     wanted = contexts.join(mixed, "bucket").groupBy("row_key").agg(F.collect_list(F.struct("pos", "bucket", "a", "b", (F.col("n") > 1).alias("done"))).alias("wanted"))
     suffixes = table.join(wanted, "row_key").mapInArrow(_contexts(length), "row_key long, pos long, bucket long, done boolean, before int, context binary")
     suffixes = materialise(suffixes.withColumn("sid", F.xxhash64("row_key", "pos")), "suffix-rows")
+    discard(contexts)
     return whole.unionByName(_refine(suffixes, length, q))
 
 
