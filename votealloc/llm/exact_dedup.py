@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from votealloc.llm.shared import discard, keyed, materialise, note, shared_dir
+from votealloc.llm.shared import discard, join_parted, keyed, materialise, note, shared_dir
 
 #: Whitespace runs that count as one space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -50,21 +50,21 @@ def compact(runs: DataFrame, by: list[str], memtable_rows: int = 1 << 20) -> Dat
     return _write_run(merged, "dedup-level", memtable_rows)
 
 
-def lookup(index: DataFrame, texts: list[str]) -> DataFrame:
-    """Entries of a few given texts; statistics and Bloom filters rule out most runs before they are read."""
+def lookup(index: DataFrame, texts: list[str], digest=F.xxhash64) -> DataFrame:
+    """Entries of a few given texts' digests; statistics and Bloom filters rule out most runs before they are read."""
     spark = index.sparkSession
-    asked = spark.createDataFrame([(t,) for t in texts], "text string").select(F.xxhash64(normalised(F.col("text"))).alias("digest"))
+    asked = spark.createDataFrame([(t,) for t in texts], "text string").select(digest(normalised(F.col("text"))).alias("digest"))
     return index.where(F.col("digest").isin([r.digest for r in asked.collect()]))
 
 
 def _unequal(table: DataFrame, runs: DataFrame, index: DataFrame) -> DataFrame:
     """Digests of which some row's bytes differ from its keeper's, by comparison of the whole normalised texts."""
-    many = index.where("group_size > 1").select("digest", "keep_row", F.ceil(F.col("group_size") / HITS_PER_COPY).alias("copies"))
-    members = runs.select("row_key", "digest").join(many, "digest")
+    many = index.where("group_size > 1").select("digest", "keep_row", F.ceil(F.col("group_size") / HITS_PER_COPY).alias("copies"), F.col("group_size").alias("n"))
+    members = join_parted(runs.select("row_key", "digest"), many, ["digest"], "row_key")
     texts = table.select("row_key", "text").join(members, "row_key").select("row_key", "digest", "keep_row", "copies", normalised(F.col("text")).alias("norm"))
     texts = materialise(texts, "dedup-texts")
     hits = texts.where("row_key <> keep_row").withColumn("copy", F.pmod(F.xxhash64("row_key"), "copies"))
-    keeper = texts.where("row_key = keep_row").select("keep_row", F.col("norm").alias("keep_norm"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    keeper = texts.where("row_key = keep_row").select("keep_row", F.col("norm").alias("keep_norm"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
     return hits.join(keeper, ["keep_row", "copy"]).where("norm <> keep_norm").select("digest").distinct()
 
 
@@ -76,10 +76,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     and row_key, the row_col of docs or else a number of our own.
 
     Method: tasks flush memtables as sorted runs of (digest, id) with Bloom filters; compaction
-    merges runs and keeps the smallest identifier; every hit is verified byte for byte against
-    the text of the row that it would drop for. Verification spreads a large group over copies
-    of its keeper. Where a digest turns out to cover different texts, its rows are merged again
-    by SHA-256 as well.
+    merges all runs at once and keeps the smallest identifier; every hit is verified byte for byte against
+    the text of the row that it would drop for. The rows of a large group meet its entry, and
+    its keeper's text, in parts. Where a digest turns out to cover different texts, its rows are merged again
+    by SHA-256 as well. One merge over all runs finds every hit, so the runs' filters decide
+    nothing here; they serve lookup() in an index that is kept.
 
     Null text counts as empty, and all empty texts are one group. A null doc_id comes after all
     others; of rows with the same doc_id and text one stays. An empty table gives no rows.
@@ -88,13 +89,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     table = keyed(docs, {"doc_id": id_col, "text": text_col}, "dedup-docs") if row_col is None else docs.select(docs[row_col].alias("row_key"), docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     runs = flush(table, digest, memtable_rows)
     index = compact(runs, ["digest"], memtable_rows)
-    unequal = materialise(_unequal(table, runs, index), "dedup-unequal")
+    unequal = materialise(_unequal(table, runs, index), "dedup-unequal")  # few: only digests that collide
     if row_col is None:
         discard(table)
 
     def resolve(rows: DataFrame, entries: DataFrame, by: list[str]) -> DataFrame:
-        entries = entries.withColumnRenamed("doc_id", "keep_id")
-        return rows.join(entries, by).select("doc_id", "keep_id", "group_size", (F.col("row_key") == F.col("keep_row")).alias("kept"), "text_sha256", "row_key")
+        entries = entries.withColumnRenamed("doc_id", "keep_id").withColumn("n", F.col("group_size"))
+        return join_parted(rows, entries, by, "row_key").select("doc_id", "keep_id", "group_size", (F.col("row_key") == F.col("keep_row")).alias("kept"), "text_sha256", "row_key")
 
     if unequal.isEmpty():
         return resolve(runs, index, ["digest"])
