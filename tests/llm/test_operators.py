@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from votealloc.llm import language_id
 from votealloc.llm.chat import maximal_conversations
 from votealloc.llm.decontaminate import align, contaminated
-from votealloc.llm.exact_dedup import exact_duplicates
+from votealloc.llm.exact_dedup import compact, exact_duplicates, flush, lookup
 from votealloc.llm.mixing import mix
 from votealloc.llm.near_dedup import near_duplicates
 from votealloc.llm.secret_scan import scan_secrets
@@ -231,6 +231,28 @@ def test_exact_dedup(spark, corpus, bits):
     assert exact_duplicates(frame(spark, [])).count() == 0
 
 
+def test_exact_dedup_index_lookup(spark, corpus):
+    rows = [(k, i, t) for k, (i, t) in enumerate(corpus)]
+    table = spark.createDataFrame(rows, "row_key long, doc_id long, text string")
+    index = compact(flush(table, memtable_rows=16), ["digest"], memtable_rows=16)
+    asked = [corpus[0][1], " \n ", "not in any text"]
+    got = {(r.doc_id, r.group_size) for r in lookup(index, asked).collect()}
+    groups = [[i for i, t in corpus if _norm(t) == _norm(x)] for x in asked]
+    assert got == {(min(g), len(g)) for g in groups if g} and not groups[2]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_in_parts(spark, how):
+    from votealloc.llm import shared
+
+    left = [(k, i) for k, n in ((1, 9000), (2, 5000), (3, 10), (4, 1), (None, 3)) for i in range(n)]
+    right = spark.createDataFrame([(1, "a", 9000), (2, "b", 5000), (3, "c", 10), (9, "z", 7)], "k int, name string, n long")
+    rows = spark.createDataFrame(left, "k int, part int")
+    got = collections.Counter((r.k, r.part, r.name) for r in shared.join_parted(rows, shared.materialise(right, "parts"), ["k"], "part", how=how).collect())
+    names = {1: "a", 2: "b", 3: "c"}
+    assert got == collections.Counter((k, i, names.get(k)) for k, i in left if k in names or how == "left")
+
+
 def _shingles(text):
     w = WORD.findall((text or "").translate(LOW))
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 #: The bound of what is learned from: so many labelled rows a language, chosen among those of so many characters at most where there are enough.
-SAMPLE_ROWS = 64
-ROW_CHARS = 4000
+SAMPLE_ROWS = 96
+ROW_CHARS = 2500
 #: Parts of a language's hashes whose lowest are found apart.
 PARTS = 64
 #: Texts are compressed in pieces of this many bytes, each with the bare dictionary.

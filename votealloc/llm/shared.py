@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 from contextvars import ContextVar
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 ROWS_A_PART = 4096
 BROADCAST_HOT = 10_000
 
+COLLECT_S = 2.0
+_collected_at = 0.0
+
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
@@ -63,15 +67,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder as Parquet and read it again: cuts lineage, survives executors.
 
     Nothing needs the shuffle files of the plan any more once it is written, so the driver is
-    asked to collect its garbage, upon which Spark deletes them: disk holds one step's shuffles
-    at a time, not all.
+    asked to collect its garbage (every few seconds at most), upon which Spark deletes them: disk
+    holds the shuffles of a step or two at a time, not all.
     """
+    global _collected_at
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     note(path)
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark._jvm.System.gc()
+    if time.monotonic() - _collected_at > COLLECT_S:
+        gc.collect()
+        spark._jvm.System.gc()
+        _collected_at = time.monotonic()
     out = spark.read.schema(df.schema).parquet(path)
     out._shared_path = path
     return out
