@@ -20,15 +20,16 @@ def override_party(results: DataFrame, rules: DataFrame | None = None) -> DataFr
     rows = results.withColumn("party_group", party_group(F.col("party")))
     if rules is None:
         return rows
-    r = F.broadcast(rules.select(F.col("year").alias("rule_year"), "candidate_like", "office_like", "to_group"))
+    r = rules.select(F.col("year").alias("rule_year"), "candidate_like", "office_like", "to_group")
     fits = (F.col("year") == F.col("rule_year")) & F.expr("upper(candidate) rlike candidate_like") & F.expr("office rlike office_like")
     return rows.join(r, fits, "left").withColumn("party_group", F.coalesce("to_group", "party_group")).drop("rule_year", "candidate_like", "office_like", "to_group")
 
 
-def spread_non_geographic(results: DataFrame, contest: list[str] = CONTEST) -> tuple[DataFrame, DataFrame]:
+def spread_non_geographic(results: DataFrame, contest: list[str] = CONTEST, keep_candidate: bool = False) -> tuple[DataFrame, DataFrame]:
     """Absentee and early votes of each candidate over the candidate's precincts in the county.
 
-    A candidate without votes in any precinct of the county goes by the county's votes, and
+    A candidate without votes in any precinct of the county goes by the county's votes: with
+    keep_candidate to the candidate's own row of each precinct, else
     within each precinct by its candidates' shares. Returns (contest, county, precinct_id,
     candidate, votes) and the votes that have no precinct at all: (contest, county, candidate,
     unallocated).
@@ -49,6 +50,10 @@ def spread_non_geographic(results: DataFrame, contest: list[str] = CONTEST) -> t
     extra = by_precinct.join(by_county, county).join(pool, county).where("there > 0").select(*county, "precinct_id", (F.col("pool") * F.col("here") / F.col("there")).alias("extra"))
     total = plain.groupBy(*county, "precinct_id").agg(F.sum("votes").alias("all"))
     added = plain.join(total, [*county, "precinct_id"]).join(extra, [*county, "precinct_id"], "left")
+    if keep_candidate:
+        shares = by_precinct.join(by_county, county).where("there > 0").select(*county, "precinct_id", F.try_divide("here", "there").alias("share"))
+        own_rows = shares.join(homeless, county).select(*county, "precinct_id", "candidate", (F.col("loose") * F.col("share")).alias("votes"))
+        added = sum_by(plain.unionByName(own_rows), [*county, "precinct_id", "candidate"], "votes").withColumns({"extra": F.lit(0.0), "all": F.lit(None).cast("double")})
     placed = added.select(*county, "precinct_id", "candidate", (F.col("votes") + F.coalesce(F.col("extra") * F.try_divide("votes", "all"), F.lit(0.0))).alias("votes"))
     unplaced = homeless.join(by_county.where("there > 0"), county, "left_anti").select(*county, "candidate", F.col("loose").alias("unallocated"))
     return placed, unplaced
@@ -130,7 +135,7 @@ def override_shares(shares: DataFrame, manual: DataFrame, least: float = 0.01) -
     """
     kept = share_of_group(manual.where(F.col("share") >= least), ["scope", "county"], "share", "scaled").select("scope", "county", "district", F.col("scaled").alias("share"))
     listed = manual.select("scope", "county").distinct()
-    return shares.join(F.broadcast(listed), ["scope", "county"], "left_anti").unionByName(kept.where("share is not null"))
+    return shares.join(listed, ["scope", "county"], "left_anti").unionByName(kept.where("share is not null"))
 
 
 def bucket_of(precinct_id: Column) -> Column:
@@ -380,8 +385,3 @@ def batch_summary(precincts: DataFrame, weights: DataFrame, contest: list[str] =
     reached = rows.groupBy(*contest, "scope").agg(F.count_distinct("district").alias("districts"), F.round(F.sum(F.when(F.col("method") != "map", total * F.col("weight")).otherwise(0.0)), 4).alias("fallback_votes"))
     found = coverage(precincts, weights, contest)
     return found.join(reached, [*contest, "scope"]).withColumn("coverage_pct", F.round(100.0 * F.col("matched_precincts") / F.col("total_precincts"), 2))
-
-
-def last_of_window(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]))).where("__n = 1").drop("__n")

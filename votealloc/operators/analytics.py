@@ -27,7 +27,7 @@ def rollup(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def region_rollup(counties: DataFrame, regions: DataFrame) -> DataFrame:
     """By year and office: each region of (county, region) and the whole state (region null). A county may be in several regions."""
-    inside = counties.join(F.broadcast(regions), "county").groupBy("year", "office", "region").agg(*[F.sum(c).alias(c) for c in VOTES])
+    inside = counties.join(regions, "county").groupBy("year", "office", "region").agg(*[F.sum(c).alias(c) for c in VOTES])
     state = counties.groupBy("year", "office").agg(*[F.sum(c).alias(c) for c in VOTES]).withColumn("region", F.lit(None).cast("string"))
     return with_margin(inside.unionByName(state))
 

@@ -126,7 +126,7 @@ def crosswalk_by_county(crosswalk: DataFrame) -> DataFrame:
 
 def relabel_features(features: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features (fips, code, name) named COUNTY - code, and how many were fixed or skipped (unknown county)."""
-    rows = features.withColumn("fips", pad(F.col("fips").cast("string"), 3)).join(F.broadcast(names.select("fips", "county")), "fips", "left")
+    rows = features.withColumn("fips", pad(F.col("fips").cast("string"), 3)).join(names.select("fips", "county"), "fips", "left")
     rows = rows.withColumn("fixed", F.col("county").isNotNull()).withColumn("name", F.when(F.col("fixed"), F.concat_ws(" - ", F.upper("county"), "code")).otherwise(F.col("name")))
     counts = rows.agg(F.sum(F.col("fixed").cast("long")).alias("fixed"), F.sum((~F.col("fixed")).cast("long")).alias("skipped"))
     return rows.drop("county"), counts

@@ -58,7 +58,9 @@ def auto_overrides(raw: DataFrame, canonical: DataFrame, official: DataFrame | N
     tokens = known.select("id", part(F.col("id"), 1).alias("county"), K.compact(part(F.col("id"), 2)).alias("token")).where("token <> ''")
     short = keys.withColumn("token", K.compact(p)).where("token <> ''")
     same = short.join(tokens, ["county", "token"]).select("raw", F.lit(8).alias("rule"), "id")
-    begins = short.where(F.length("token") >= 3).join(tokens.withColumnRenamed("token", "longer"), "county").where(F.col("longer").startswith(F.col("token"))).select("raw", F.lit(9).alias("rule"), "id")
+    head = lambda c: F.substring(c, 1, 3).alias("head")
+    longer = tokens.select("county", head("token"), F.col("token").alias("longer"), "id")
+    begins = short.where(F.length("token") >= 3).select("*", head("token")).join(longer, ["county", "head"]).where(F.col("longer").startswith(F.col("token"))).select("raw", F.lit(9).alias("rule"), "id")
     found = direct.unionByName(same).unionByName(begins).distinct()
     alone = found.groupBy("raw", "rule").agg(F.count("*").alias("n"), F.min("id").alias("canonical_id")).where("rule < 7 or n = 1")
     return alone.groupBy(F.col("raw").alias("precinct_id")).agg(F.min_by("canonical_id", "rule").alias("canonical_id"), F.min("rule").alias("rule"))
@@ -90,14 +92,16 @@ def enrich_alias_index(index: DataFrame, more: DataFrame) -> DataFrame:
 def resolve_keys(keys: DataFrame, index: DataFrame) -> DataFrame:
     """(key, canonical, status) of distinct keys: bad_key, non_geographic, no_county, matched, ambiguous, unmatched."""
     rows = keys.select(F.col("key")).distinct().withColumn("county", K.norm(F.split_part("key", F.lit(" - "), F.lit(1)))).withColumn("p", K.norm(F.split_part("key", F.lit(" - "), F.lit(2))))
-    good = F.col("key").contains(" - ")
-    loose = K.is_non_geographic(F.col("p"), F.col("county"), "lines")
+    # As results of an aggregation the two tests stay here: pushed below distinct(), they would be spelled out in terms of what keys is made from.
+    tests = [F.bool_or(F.col("key").contains(" - ")).alias("good"), F.bool_or(K.is_non_geographic(F.col("p"), F.col("county"), "lines")).alias("loose")]
+    rows = rows.groupBy("key", "county", "p").agg(*tests)
+    good, loose = F.col("good"), F.col("loose")
     wake = F.when(F.col("county") == "WAKE", K.part(F.col("p"), r"\b(\d{2}-\d{2})\b"))
     rows = rows.withColumn("p", F.coalesce(wake, "p"))
     forms = rows.where(good & ~loose).select("key", "county", F.explode(K.alias_variants(F.col("p"))).alias("alias"))
     hits = forms.join(index, ["county", "alias"]).groupBy("key").agg(F.count_distinct("canonical").alias("n"), F.min("canonical").alias("one"))
     counties = index.select("county").distinct().withColumn("known", F.lit(True))
-    out = rows.withColumn("loose", loose).join(hits, "key", "left").join(counties, "county", "left")
+    out = rows.join(hits, "key", "left").join(counties, "county", "left")
     status: Column = F.when(~good, "bad_key").when(F.col("loose"), "non_geographic").when(F.col("known").isNull(), "no_county").when(F.col("n") == 1, "matched").when(F.col("n") > 1, "ambiguous").otherwise("unmatched")
     return out.select("key", F.when(status == "matched", F.col("one")).alias("canonical"), status.alias("status"))
 

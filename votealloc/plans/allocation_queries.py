@@ -288,6 +288,16 @@ def allocate_non_geo(spark, sf_dir):
     return _rounded(R.spread_non_geographic(B.results(spark, sf_dir))[0], "votes")
 
 
+_KEPT = """kept AS (SELECT year, office, county, precinct_id, candidate, sum(votes) AS votes FROM (
+  SELECT year, office, county, precinct_id, candidate, p AS votes FROM plain
+  UNION ALL SELECT year, office, county, precinct_id, h.candidate, l * here / there FROM homeless h JOIN (SELECT *, sum(here) OVER (PARTITION BY year, office, county) AS there FROM bp) USING (year, office, county) WHERE there > 0) GROUP BY ALL)"""
+
+
+@register("r3_keep_candidate", B.oracle(B.RES, _NG, _KEPT, select=f"SELECT year, office, county, precinct_id, candidate, {_r3('votes')} FROM kept"))
+def keep_candidate(spark, sf_dir):
+    return _rounded(R.spread_non_geographic(B.results(spark, sf_dir), keep_candidate=True)[0], "votes")
+
+
 _SHARES = "cs AS (SELECT county, scope, district, sum(vap)::DOUBLE AS people, sum(vap)::DOUBLE / nullif(sum(sum(vap)) OVER (PARTITION BY county, scope), 0)::DOUBLE AS share FROM blk JOIN dmap USING (block) GROUP BY 1, 2, 3)"
 
 
@@ -508,14 +518,14 @@ def blockfile_direct(spark, sf_dir):
     return R.block_file_districts(wide, B.district_map(spark, sf_dir))
 
 
-@register("r26_direct_district_contests", B.oracle(B.RES, f"s AS (SELECT office, county, {_THREE} FROM res WHERE year = 1996 GROUP BY 1, 2)", "c AS (SELECT office, county, party, candidate, row_number() OVER (PARTITION BY office, county, party ORDER BY sum(votes) DESC, candidate DESC) AS n FROM res WHERE year = 1996 GROUP BY 1, 2, 3, 4)", "m2 AS (SELECT s.*, dem_votes + rep_votes + other_votes AS total_votes, (rep_votes - dem_votes) / (dem_votes + rep_votes + other_votes) * 100 AS pct, d.candidate AS dc, r.candidate AS rc FROM s LEFT JOIN c d ON d.office = s.office AND d.county = s.county AND d.party = 'DEM' AND d.n = 1 LEFT JOIN c r ON r.office = s.office AND r.county = s.county AND r.party = 'REP' AND r.n = 1)", select=f"SELECT office, county, dem_votes, rep_votes, other_votes, coalesce(dc, 'No Democratic Candidate') AS dem_candidate, coalesce(rc, 'No Republican Candidate') AS rep_candidate, total_votes, rep_votes - dem_votes AS margin, round(pct, 2) AS margin_pct, CASE WHEN rep_votes > dem_votes THEN 'REP' WHEN dem_votes > rep_votes THEN 'DEM' ELSE 'TIE' END AS winner, {_COLOR} AS color FROM m2"))
+@register("r26_direct_district_contests", B.oracle(B.RES, f"s AS (SELECT year, office, county, {_THREE} FROM res GROUP BY 1, 2, 3)", "c AS (SELECT year, office, county, party, candidate, row_number() OVER (PARTITION BY year, office, county, party ORDER BY sum(votes) DESC, candidate DESC) AS n FROM res GROUP BY 1, 2, 3, 4, 5)", "m2 AS (SELECT s.*, dem_votes + rep_votes + other_votes AS total_votes, (rep_votes - dem_votes) / (dem_votes + rep_votes + other_votes) * 100 AS pct, d.candidate AS dc, r.candidate AS rc FROM s LEFT JOIN c d ON d.year = s.year AND d.office = s.office AND d.county = s.county AND d.party = 'DEM' AND d.n = 1 LEFT JOIN c r ON r.year = s.year AND r.office = s.office AND r.county = s.county AND r.party = 'REP' AND r.n = 1)", select=f"SELECT year, office, county, dem_votes, rep_votes, other_votes, coalesce(dc, 'No Democratic Candidate') AS dem_candidate, coalesce(rc, 'No Republican Candidate') AS rep_candidate, total_votes, rep_votes - dem_votes AS margin, round(pct, 2) AS margin_pct, CASE WHEN rep_votes > dem_votes THEN 'REP' WHEN dem_votes > rep_votes THEN 'DEM' ELSE 'TIE' END AS winner, {_COLOR} AS color FROM m2"))
 def direct_district_contests(spark, sf_dir):
-    return R.direct_contests(B.results(spark, sf_dir).where("year = 1996"), ["office", "county"])
+    return R.direct_contests(B.results(spark, sf_dir), ["year", "office", "county"])
 
 
-@register("r28_split_precinct", B.oracle(B.RES, select="SELECT year, office, county, party, candidate, 'MACHINERY' AS precinct_id, votes - round_even(votes * 0.25, 0) AS votes FROM res WHERE precinct = 'MACHINERY' UNION ALL SELECT year, office, county, party, candidate, 'MACHINERY-2', round_even(votes * 0.25, 0) FROM res WHERE precinct = 'MACHINERY'"))
+@register("r28_split_precinct", B.oracle(B.RES, select="SELECT year, office, county, party, candidate, 'MACHINERY' AS precinct_id, votes - round_even(votes * 0.25, 0) AS votes FROM res WHERE precinct = 'MACHINERY' UNION ALL SELECT year, office, county, party, candidate, 'MACHINERY-2', round_even(votes * 0.25, 0) FROM res WHERE precinct = 'MACHINERY' UNION ALL SELECT year, office, county, party, candidate, precinct, votes FROM res WHERE precinct <> 'MACHINERY'"))
 def split_precinct(spark, sf_dir):
-    rows = B.results(spark, sf_dir).where("precinct = 'MACHINERY'").withColumnRenamed("precinct", "precinct_id")
+    rows = B.results(spark, sf_dir).withColumnRenamed("precinct", "precinct_id")
     return R.split_precinct(rows, "MACHINERY", "MACHINERY-2", 0.25, ["year", "office"]).select("year", "office", "county", "party", "candidate", "precinct_id", "votes")
 
 

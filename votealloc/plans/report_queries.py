@@ -15,12 +15,12 @@ from votealloc.operators import resolve as X
 from votealloc.plans import binding as B
 from votealloc.plans.allocation_queries import _COLOR, _THREE, _WTS, _precincts, _rounded, _weights
 from votealloc.plans.key_queries import _TOKEN, _VARIANTS, P as LABEL
-from votealloc.plans.registry import register
+from votealloc.plans.registry import folder, register
 from votealloc.sources import readers as S
 from votealloc.sources import sinks as K
 
 # Key resolution.
-_FEAT = "feat AS (SELECT k, upper(trim(county)) AS county, upper(trim(label)) AS code, CASE WHEN k % 2 = 0 THEN 'OAK HILL' ELSE 'ELM' END AS description FROM lab WHERE k % 5 = 0)"
+_FEAT = "feat AS (SELECT k, upper(trim(county)) AS county, upper(trim(label)) AS code, CASE WHEN k % 2 = 0 THEN 'OAK HILL' ELSE 'ELM' END AS description FROM lab)"
 _TEXTS = """lab2 AS (SELECT k * 4 AS k, code AS label FROM feat UNION ALL SELECT k * 4 + 1, description FROM feat UNION ALL SELECT k * 4 + 2, concat(code, '_', description) FROM feat UNION ALL SELECT k * 4 + 3, concat(code, ' ', description) FROM feat)"""
 
 
@@ -38,7 +38,7 @@ _INDEX = "idx AS (SELECT DISTINCT f.county, v1.a AS alias, concat(f.county, ' -
 
 
 def _features(spark, sf_dir):
-    rows = B.labels(spark, sf_dir).where("k % 5 = 0")
+    rows = B.labels(spark, sf_dir)
     return rows.select("county", F.col("label").alias("code"), F.when(F.col("k") % 2 == 0, "OAK HILL").otherwise("ELM").alias("description"))
 
 
@@ -47,13 +47,13 @@ def alias_index(spark, sf_dir):
     return X.alias_index(_features(spark, sf_dir))
 
 
-_KEYS = f"keys AS (SELECT DISTINCT CASE WHEN k % 11 = 0 THEN label WHEN k % 13 = 0 THEN concat('NOWHERE - ', label) ELSE concat({'upper(trim(county))'}, ' - ', label) END AS key FROM lab)"
+_KEYS = "keys AS (SELECT DISTINCT CASE WHEN k % 11 = 0 THEN label WHEN k % 13 = 0 THEN concat('NOWHERE - ', label) WHEN k % 17 = 0 THEN concat(upper(trim(county)), ' - ', label, ' QQ') ELSE concat(upper(trim(county)), ' - ', label) END AS key FROM lab)"
 
 
 def _keys(spark, sf_dir):
     k = F.col("k")
     county = F.upper(F.trim("county"))
-    key = F.when(k % 11 == 0, F.col("label")).when(k % 13 == 0, F.concat(F.lit("NOWHERE - "), "label")).otherwise(F.concat(county, F.lit(" - "), "label"))
+    key = F.when(k % 11 == 0, F.col("label")).when(k % 13 == 0, F.concat(F.lit("NOWHERE - "), "label")).when(k % 17 == 0, F.concat(county, F.lit(" - "), "label", F.lit(" QQ"))).otherwise(F.concat(county, F.lit(" - "), "label"))
     return B.labels(spark, sf_dir).select("k", key.alias("key"))
 
 
@@ -76,7 +76,7 @@ def _resolved(spark, sf_dir):
     return keys.join(X.resolve_keys(keys, X.alias_index(_features(spark, sf_dir))), "key")
 
 
-_YEARS = "rows AS (SELECT 2000 + k % 4 * 2 AS year, CASE WHEN k % 11 = 0 THEN label WHEN k % 13 = 0 THEN concat('NOWHERE - ', label) ELSE concat(upper(trim(county)), ' - ', label) END AS key FROM lab), yr AS (SELECT year, key, status FROM rows JOIN solved USING (key))"
+_YEARS = "rows AS (SELECT 2000 + k % 4 * 2 AS year, CASE WHEN k % 11 = 0 THEN label WHEN k % 13 = 0 THEN concat('NOWHERE - ', label) WHEN k % 17 = 0 THEN concat(upper(trim(county)), ' - ', label, ' QQ') ELSE concat(upper(trim(county)), ' - ', label) END AS key FROM lab), yr AS (SELECT year, key, status FROM rows JOIN solved USING (key))"
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in Q.STATUSES)
 
 
@@ -116,9 +116,19 @@ def load_overrides(spark, sf_dir):
     return X.load_overrides(rules, 2020)
 
 
-@register("x5_enrich_alias_index")
+_MORE = (
+    "mf AS (SELECT row_number() OVER (ORDER BY county, code, name) AS k, * FROM (SELECT DISTINCT upper(trim(county)) AS county, label AS code, concat('NEW ', CAST(k % 97 AS VARCHAR)) AS name FROM lab))",
+    "mt AS (SELECT k * 3 AS k, upper(trim(code)) AS label FROM mf UNION ALL SELECT k * 3 + 1, upper(trim(name)) FROM mf UNION ALL SELECT k * 3 + 2, concat(upper(trim(code)), ' ', upper(trim(name))) FROM mf)",
+    _forms("mt", "3"),
+    """fm AS (SELECT DISTINCT m.county, m.k AS f, v3.a AS alias FROM v3 JOIN mf m ON m.k = v3.k // 3 WHERE v3.a <> ''),
+own AS (SELECT f, min(canonical) AS canonical FROM fm JOIN idx USING (county, alias) GROUP BY f HAVING count(DISTINCT canonical) = 1),
+fresh AS (SELECT DISTINCT county, alias, canonical FROM fm JOIN own USING (f))""",
+)
+
+
+@register("x5_enrich_alias_index", B.oracle(B.LAB, _FEAT, _TEXTS, _forms("lab2", "1"), _INDEX, *_MORE, select="SELECT county, alias, min(canonical) AS canonical FROM fresh WHERE (county, alias) NOT IN (SELECT (county, alias) FROM idx) GROUP BY 1, 2 HAVING count(*) = 1"))
 def enrich_alias_index(spark, sf_dir):
-    more = B.labels(spark, sf_dir).where("k % 5 = 1").select("county", F.col("label").alias("code"), F.concat(F.lit("NEW "), (F.col("k") % 97).cast("string")).alias("name"))
+    more = B.labels(spark, sf_dir).select("county", F.col("label").alias("code"), F.concat(F.lit("NEW "), (F.col("k") % 97).cast("string")).alias("name"))
     return X.enrich_alias_index(X.alias_index(_features(spark, sf_dir)), more)
 
 
@@ -307,7 +317,11 @@ def _slices(spark, sf_dir):
 _MAN = "man AS (SELECT year, contest_type, count(*) AS rows, sum(dem_votes) AS dem_total, sum(rep_votes) AS rep_total, sum(other_votes) AS other_total, sum(dem_votes) > 0 AND sum(rep_votes) > 0 AS major_party_contested FROM sl GROUP BY 1, 2)"
 
 
-@register("k_s1_district_slices")
+_GENERAL = f"""concat('{{"results":{{', string_agg(concat('"', district, '":', CAST(json_object('dem_votes', dem_votes::BIGINT, 'rep_votes', rep_votes::BIGINT, 'other_votes', other_votes::BIGINT, 'total_votes', total_votes::BIGINT, 'margin', margin::BIGINT,
+  'margin_pct', round(pct, 2), 'winner', CASE WHEN rep_votes > dem_votes THEN 'REP' WHEN dem_votes > rep_votes THEN 'DEM' ELSE 'TIE' END, 'competitiveness', json_object('color', {_COLOR})) AS VARCHAR)), ',' ORDER BY district), '}}}}')"""
+
+
+@register("k_s1_district_slices", B.oracle(B.RES, B.CTY, _SL, select=f"SELECT year, scope, contest_type, {_GENERAL} AS general FROM sl GROUP BY 1, 2, 3"))
 def district_slices(spark, sf_dir):
     return K.district_slices(_slices(spark, sf_dir)).select("year", "scope", "contest_type", F.to_json("general").alias("general"))
 
@@ -330,12 +344,16 @@ def upsert_manifest(spark, sf_dir):
 
 @register("k_s5_rebuild_manifest", B.oracle(B.RES, B.CTY, _SL, select="SELECT year, scope, contest_type, count(*) AS districts FROM sl GROUP BY 1, 2, 3"))
 def rebuild_manifest(spark, sf_dir):
-    return _slices(spark, sf_dir).groupBy("year", "scope", "contest_type").agg(F.count("*").alias("districts"))
+    path = folder(spark)
+    K.write_district_slices(_slices(spark, sf_dir), path)
+    return S.scan_slices(spark, path).groupBy("year", "scope", "contest_type").agg(F.count("*").alias("districts"))
 
 
 @register("k_s6_split_by_contest_year", B.oracle(B.RES, B.CTY, _SL, select="SELECT DISTINCT concat(scope, '_', contest_type, '_', CAST(year AS VARCHAR), '.json') AS name FROM sl WHERE total_votes > 0"))
 def split_by_contest_year(spark, sf_dir):
-    return _slices(spark, sf_dir).where("total_votes > 0").select(F.concat("scope", F.lit("_"), "contest_type", F.lit("_"), F.col("year").cast("string"), F.lit(".json")).alias("name")).distinct()
+    path = folder(spark)
+    K.write_district_slices(_slices(spark, sf_dir).where("total_votes > 0"), path)
+    return spark.read.text(path).select(F.concat("scope", F.lit("_"), "contest_type", F.lit("_"), F.col("year").cast("string"), F.lit(".json")).alias("name")).distinct()
 
 
 @register("k_s7_merge_contest_files", B.oracle(B.RES, select="SELECT year, office, CASE WHEN year >= 1998 THEN sum(votes) * 2 ELSE sum(votes) END AS votes FROM res GROUP BY 1, 2"))
@@ -372,7 +390,9 @@ def tileset_properties(spark, sf_dir):
 @register("k_s12_write_block_votes", B.oracle(B.RES, B.BLK, B.PRE, select="SELECT year, office, round(sum(dem_votes), 4) AS dem_votes FROM pre WHERE precinct_id IN (SELECT precinct_id FROM blk) GROUP BY 1, 2"))
 def write_block_votes(spark, sf_dir):
     blocks, _ = R.shatter(_precincts(spark, sf_dir), B.blocks(spark, sf_dir), ["dem_votes"])
-    return blocks.groupBy("year", "office").agg(F.round(F.sum("dem_votes").cast("double"), 4).alias("dem_votes"))
+    path = folder(spark)
+    K.write_block_votes(blocks, path)
+    return spark.read.parquet(path).groupBy("year", "office").agg(F.round(F.sum("dem_votes").cast("double"), 4).alias("dem_votes"))
 
 
 # Sources that are transformations of what is read.
@@ -391,13 +411,13 @@ def year_from_path(spark, sf_dir):
     return B.table(spark, sf_dir, "customer").select(k.alias("k"), S.year_of_path(path).alias("year"))
 
 
-@register("s6_scan_block_vap", "SELECT lpad(CAST(c_custkey AS VARCHAR), 15, '0') AS block, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey % 1000 END AS vap FROM customer")
+@register("s6_scan_block_vap", "SELECT concat('37', lpad(CAST(c_custkey AS VARCHAR), 13, '0')) AS block, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey % 1000 END AS vap FROM customer WHERE c_custkey % 3 > 0")
 def scan_block_vap(spark, sf_dir):
-    from votealloc.functions.keys import pad
-
     k = F.col("c_custkey")
-    text = F.when(k % 5 == 0, "n/a").otherwise((k % 1000).cast("string"))
-    return B.table(spark, sf_dir, "customer").select(pad(k.cast("string"), 15).alias("block"), F.coalesce(text.try_cast("bigint"), F.lit(0)).alias("vap"))
+    path = folder(spark)
+    code = F.concat(F.when(k % 3 > 0, "37").otherwise("45"), F.lpad(k.cast("string"), 13, "0"))
+    B.table(spark, sf_dir, "customer").select(code.alias("GEOCODE"), F.when(k % 5 == 0, "n/a").otherwise((k % 1000).cast("string")).alias("P1")).write.csv(path, header=True)
+    return S.scan_block_vap(spark, path, "GEOCODE", "P1", "37")
 
 
 @register("s7_scan_crosswalk", "SELECT lpad(CAST(c_custkey AS VARCHAR), 15, '0') AS block, upper(c_mktsegment) AS precinct_id FROM customer WHERE c_custkey % 4 <> 0")

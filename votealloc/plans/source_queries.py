@@ -2,30 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from votealloc.operators import aggregate as A
 from votealloc.operators import geometry as G
 from votealloc.plans import binding as B
-from votealloc.plans.registry import register
+from votealloc.plans.registry import folder, register
 from votealloc.plans.report_queries import _pieces, _points, _rings
 from votealloc.sources import readers as S
 
 
-def _folder(spark) -> str:
-    """A new folder in the shared one that spark.checkpoint.dir names, else a local one (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-@register("s1_scan_results_csv", B.oracle(B.RES, select="SELECT county, precinct, office, party, candidate, votes, 2020 AS year FROM res WHERE year = 1996"))
+@register("s1_scan_results_csv", B.oracle(B.RES, select="SELECT county, precinct, office, party, candidate, votes, year FROM res"))
 def scan_results_csv(spark, sf_dir):
-    path = f"{_folder(spark)}/2020"
-    rows = B.results(spark, sf_dir).where("year = 1996").select("county", "precinct", "office", F.lit("").alias("district"), "party", "candidate", F.col("votes").cast("string").alias("votes"))
-    rows.write.csv(path, header=True)
+    path = folder(spark)
+    rows = B.results(spark, sf_dir).select("county", "precinct", "office", F.lit("").alias("district"), "party", "candidate", F.col("votes").cast("string").alias("votes"), F.col("year").alias("cycle"))
+    rows.write.partitionBy("cycle").csv(path, header=True)
     return S.scan_results_csv(spark, path).drop("district")
 
 
@@ -34,7 +25,7 @@ _BOARD = "CASE WHEN c_custkey % 3 = 0 THEN 'C' ELSE 'S' END"
 
 @register("s2_scan_board_tsv", f"SELECT n_name AS county, c_mktsegment AS precinct, CAST(c_custkey AS VARCHAR) AS votes FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE {_BOARD} = 'S' AND c_custkey % 2 = 0")
 def scan_board_tsv(spark, sf_dir):
-    path = _folder(spark)
+    path = folder(spark)
     k = F.col("c_custkey")
     rows = B.table(spark, sf_dir, "customer").join(B.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     names = ("County", "Precinct", "Contest Type", "Contest Name", "Choice", "Choice Party", "Total Votes", "Election Date")
@@ -44,12 +35,10 @@ def scan_board_tsv(spark, sf_dir):
     return found.select(F.col("County").alias("county"), F.col("Precinct").alias("precinct"), F.col("`Total Votes`").alias("votes"))
 
 
-@register("s4_discover_year_files", "SELECT DISTINCT CAST(1990 + c_nationkey AS INT) AS year, 1 AS files FROM customer WHERE c_nationkey < 10")
+@register("s4_discover_year_files", "SELECT DISTINCT CAST(1990 + c_nationkey AS INT) AS year, 1 AS files FROM customer")
 def discover_year_files(spark, sf_dir):
-    root = _folder(spark)
-    rows = B.table(spark, sf_dir, "customer").where("c_nationkey < 10").select((1990 + F.col("c_nationkey")).cast("int").alias("y"), "c_mktsegment")
-    for year in range(1990, 2000):
-        rows.where(F.col("y") == year).select("c_mktsegment").write.csv(f"{root}/{year}")
+    root = folder(spark)
+    B.table(spark, sf_dir, "customer").select((1990 + F.col("c_nationkey")).cast("int").alias("cycle"), "c_mktsegment").write.partitionBy("cycle").csv(root)
     return S.discover_year_files(spark, root, "*.csv").groupBy("year").agg(F.count("*").cast("int").alias("files"))
 
 
@@ -57,7 +46,7 @@ def discover_year_files(spark, sf_dir):
 def scan_block_votes_wide(spark, sf_dir):
     from votealloc.operators.allocate import block_file_districts
 
-    path = _folder(spark)
+    path = folder(spark)
     v = F.col("vap")
     B.blocks(spark, sf_dir).select("block", v.alias("E_16_PRES_Total"), F.floor(v * 2 / 5).alias("E_16_PRES_Dem"), F.floor(v / 2).alias("E_16_PRES_Rep"), v.alias("E_20_AUD_Total")).write.csv(path, header=True)
     wide = spark.read.csv(path, header=True)
@@ -66,7 +55,7 @@ def scan_block_votes_wide(spark, sf_dir):
 
 @register("s11_scan_nested_results", B.oracle(B.RES, select="SELECT year, office, county AS key, sum(CASE WHEN party = 'DEM' THEN votes ELSE 0 END)::BIGINT AS dem_votes, sum(CASE WHEN party = 'REP' THEN votes ELSE 0 END)::BIGINT AS rep_votes FROM res GROUP BY 1, 2, 3"))
 def scan_nested_results(spark, sf_dir):
-    path = _folder(spark)
+    path = folder(spark)
     rows = A.party_columns(B.results(spark, sf_dir), ["year", "office", "county"])
     row = F.struct(F.col("dem_votes").cast("long").alias("dem_votes"), F.col("rep_votes").cast("long").alias("rep_votes"))
     general = F.struct(F.map_from_entries(F.collect_list(F.struct("county", row))).alias("results")).alias("general")
@@ -77,7 +66,7 @@ def scan_nested_results(spark, sf_dir):
 
 @register("s13_scan_geojson_features", "SELECT upper(n_name) AS name, 'Polygon' AS shape, 4 AS corners FROM nation")
 def scan_geojson_features(spark, sf_dir):
-    path = _folder(spark)
+    path = folder(spark)
     ring = F.transform("ring", lambda p: F.array(p["x"], p["y"]))
     feature = F.struct(F.struct(F.col("district").alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     _rings(spark, sf_dir).select(F.to_json(F.struct(F.array(feature).alias("features"))).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
@@ -105,7 +94,7 @@ def order_output(spark, sf_dir):
     return rows.withColumn("place", F.row_number().over(Window.partitionBy("scope").orderBy(F.col("district").cast("int")))).orderBy("scope", "place")
 
 
-@register("u4_except_keys", B.oracle(B.RES, B.BLK, select="SELECT county FROM (SELECT DISTINCT county FROM res WHERE year = 1996) EXCEPT SELECT county FROM blk WHERE vap > 9900"))
+@register("u4_except_keys", B.oracle(B.RES, B.BLK, select="SELECT county FROM (SELECT DISTINCT county FROM res) EXCEPT SELECT county FROM blk WHERE vap > 9900"))
 def except_keys(spark, sf_dir):
-    rows = A.require(B.results(spark, sf_dir), "year", "county").where("year = 1996").select("county").distinct()
+    rows = A.require(B.results(spark, sf_dir), "year", "county").select("county").distinct()
     return rows.exceptAll(B.blocks(spark, sf_dir).where("vap > 9900").select("county").distinct())

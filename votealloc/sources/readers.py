@@ -19,8 +19,8 @@ def scan_results_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def year_of_path(path):
-    """The year in a path: a folder of four digits, else the first four of the name; null if there is none."""
-    folder, name = K.some(F.regexp_extract(path, r"/(\d{4})/[^/]*$", 1)), K.some(F.regexp_extract(path, r"/(\d{4})[^/]*$", 1))
+    """The year in a path: a folder of four digits (or name=four digits), else the first four of the name; null if there is none."""
+    folder, name = K.some(F.regexp_extract(path, r"/(?:\w+=)?(\d{4})/[^/]*$", 1)), K.some(F.regexp_extract(path, r"/(\d{4})[^/]*$", 1))
     return F.coalesce(folder, name).cast("int")
 
 
@@ -114,7 +114,7 @@ def parse_log_totals(lines: DataFrame) -> DataFrame:
 def official_codes(features: DataFrame) -> DataFrame:
     """(county, label, code) of the board's precinct list, with underscore, space and prefix-less forms; ties: the last code."""
     county, code, label = K.norm(F.col("county")), K.norm(F.col("code")), K.norm_spaces(F.col("label"))
-    forms = F.array(label, K.norm_spaces(F.replace(label, F.lit("_"), F.lit(" "))), K.norm_spaces(F.replace(label, F.lit(" "), F.lit("_"))), F.when(label.contains("_"), K.norm_spaces(F.substring(label, F.instr(label, "_") + 1, 10_000))))
+    forms = F.array(label, K.norm_spaces(F.replace(label, F.lit("_"), F.lit(" "))), K.norm_spaces(F.replace(label, F.lit(" "), F.lit("_"))), F.when(label.contains("_"), K.norm_spaces(F.substring(label, F.instr(label, "_") + 1, F.length(label)))))
     rows = features.select(county.alias("county"), code.alias("code"), F.explode(forms).alias("label")).where("county <> '' and code <> '' and label <> ''")
     return rows.groupBy("county", "label").agg(F.max("code").alias("code"))
 
