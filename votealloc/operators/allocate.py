@@ -207,13 +207,14 @@ def fallback_diagnostic(precincts: DataFrame, matched: DataFrame, county_shares:
     return rows.select(*contest, "county", "unmatched_votes", *[F.round(F.col("unmatched_votes") * F.coalesce(s, F.lit(0.0)), 4).alias(f"{s}_allocated") for s in ("congressional", "state_house", "state_senate")], *[F.round(F.col("unmatched_votes") * (1 - F.coalesce(s, F.lit(0.0))), 4).alias(f"{s}_left") for s in ("congressional", "state_house", "state_senate")])
 
 
-def ladder_allocate(rows: DataFrame, splits: DataFrame, fixed: DataFrame | None = None, bucket_before: int = 2016, contest: list[str] = CONTEST, legacy_until: int = 2020) -> DataFrame:
+def ladder_allocate(rows: DataFrame, splits: DataFrame, fixed: DataFrame | None = None, bucket_before: int = 2016, contest: list[str] = CONTEST, legacy_until: int = 2020, legacy_overwrite: bool = False) -> DataFrame:
     """Key-resolved rows to districts by area weights, with a declared ladder for rows without a split.
 
     rows: contest, county, key, status and three vote columns. splits: (key, district,
     area_weight). In order: own split; share of the bucket's matched votes (years before
     bucket_before, placed statuses only); share of the county's matched votes; fixed county
     shares (kind non_geo for such rows, then county, then legacy for years up to legacy_until).
+    With legacy_overwrite a county's matched votes come before the bucket's, as in files made so.
     Candidates carry a priority and the least one of a row counts: no step looks at another's
     outcome, and both figures of coverage are given.
     """
@@ -231,11 +232,11 @@ def ladder_allocate(rows: DataFrame, splits: DataFrame, fixed: DataFrame | None
     out = ["row_id", *contest, "status", "district", "weight", "priority"]
     steps = [
         own.select(out),
-        lost.where(late & (F.col("year") < bucket_before) & (F.col("bucket") != "")).join(shares(["county", "bucket"]), [*contest, "county", "bucket"]).withColumn("priority", F.lit(1)).select(out),
+        lost.where(late & (F.col("year") < bucket_before) & (F.col("bucket") != "")).join(shares(["county", "bucket"]), [*contest, "county", "bucket"]).withColumn("priority", F.lit(3 if legacy_overwrite else 1)).select(out),
         lost.where(late | (F.col("status") == "non_geographic")).join(shares(["county"]), [*contest, "county"]).withColumn("priority", F.lit(2)).select(out),
     ]
     if fixed is not None:
-        limits = {"non_geo": (F.col("status") == "non_geographic", 3), "county": (F.lit(True), 4), "legacy": (late & (F.col("year") <= legacy_until), 5)}
+        limits = {"non_geo": (F.col("status") == "non_geographic", 4), "county": (F.lit(True), 5), "legacy": (late & (F.col("year") <= legacy_until), 6)}
         for kind, (when, priority) in limits.items():
             steps.append(lost.where(when).join(fixed.where(F.col("kind") == kind).select("county", "district", F.col("share").alias("weight")), "county").withColumn("priority", F.lit(priority)).select(out))
     every = steps[0]

@@ -69,16 +69,13 @@ _BARE = f"trim(replace(replace({P}, 'PRECINCT', ' '), 'VTD', ' '))"
 _CODE = f"coalesce(nullif(trim(split_part({_BARE}, '_', 1)), ''), {_BARE})"
 _PCT = r"^PCT\s*0*([0-9]{1,3})(\.[0-9]+)?$"
 _PN = f"CAST(CAST(nullif(regexp_extract({_BARE}, '{_PCT}', 1), '') AS INT) AS VARCHAR)"
-_labelled(
-    "k5_clean_precinct",
-    f"""coalesce(
-      CASE WHEN {CT} = 'ROBESON' AND {P} = 'LUM 1' THEN '14' END,
-      CASE WHEN regexp_matches({_BARE}, '{_PCT}') THEN concat(CASE WHEN {CT} = 'MECKLENBURG' AND length({_PN}) < 3 THEN lpad({_PN}, 3, '0') ELSE {_PN} END, regexp_extract({_BARE}, '{_PCT}', 2)) END,
-      {_pair(_CODE, chr(92) + "b([0-9]{1,3})-([0-9]{1,3})[A-Z]?" + chr(92) + "b")},
-      CASE WHEN regexp_matches({_CODE}, '^[0-9]+$') THEN CASE WHEN {CT} = 'ROBESON' AND length(CAST(CAST({_CODE} AS BIGINT) AS VARCHAR)) < 2 THEN lpad(CAST(CAST({_CODE} AS BIGINT) AS VARCHAR), 2, '0') ELSE CAST(CAST({_CODE} AS BIGINT) AS VARCHAR) END END,
-      nullif(regexp_extract({_CODE}, '^([0-9A-Z-]*[0-9][0-9A-Z-]*)(?:\\s|$)', 1), ''), {_CODE}) AS cleaned""",
-    cleaned=lambda: K.clean_precinct(F.col("label"), F.col("county")),
-)
+_CLEANED = f"""coalesce(
+  CASE WHEN {CT} = 'ROBESON' AND {P} = 'LUM 1' THEN '14' END,
+  CASE WHEN regexp_matches({_BARE}, '{_PCT}') THEN concat(CASE WHEN {CT} = 'MECKLENBURG' AND length({_PN}) < 3 THEN lpad({_PN}, 3, '0') ELSE {_PN} END, regexp_extract({_BARE}, '{_PCT}', 2)) END,
+  {_pair(_CODE, chr(92) + "b([0-9]{1,3})-([0-9]{1,3})[A-Z]?" + chr(92) + "b")},
+  CASE WHEN regexp_matches({_CODE}, '^[0-9]+$') THEN CASE WHEN {CT} = 'ROBESON' AND length(CAST(CAST({_CODE} AS BIGINT) AS VARCHAR)) < 2 THEN lpad(CAST(CAST({_CODE} AS BIGINT) AS VARCHAR), 2, '0') ELSE CAST(CAST({_CODE} AS BIGINT) AS VARCHAR) END END,
+  nullif(regexp_extract({_CODE}, '^([0-9A-Z-]*[0-9][0-9A-Z-]*)(?:\\s|$)', 1), ''), {_CODE})"""
+_labelled("k5_clean_precinct", f"{_CLEANED} AS cleaned", cleaned=lambda: K.clean_precinct(F.col("label"), F.col("county")))
 _labelled("k6_vtd_code", f"coalesce(nullif(regexp_extract({P}, '\\b([0-9]{{2}}-[0-9]{{2}})[A-Z]?\\b', 1), ''), trim(replace({P}, 'PRECINCT', ' '))) AS vtd", vtd=lambda: K.vtd_code(F.col("label")))
 _TOKEN = f"trim(regexp_replace(translate(replace(replace(replace(replace(replace({P}, 'PRECINCT', ' '), 'PCT', ' '), 'PRCT', ' '), 'VTD', ' '), 'WARD', ' '), '-_.', '   '), '\\s+', ' ', 'g'))"
 _labelled("k7_normalize_precinct_token", f"{_TOKEN} AS token", token=lambda: K.precinct_token(F.col("label")))

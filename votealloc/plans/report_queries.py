@@ -14,7 +14,7 @@ from votealloc.operators import reports as Q
 from votealloc.operators import resolve as X
 from votealloc.plans import binding as B
 from votealloc.plans.allocation_queries import _COLOR, _THREE, _WTS, _precincts, _rounded, _weights
-from votealloc.plans.key_queries import _TOKEN, _VARIANTS, P as LABEL
+from votealloc.plans.key_queries import _CLEANED, _TOKEN, _VARIANTS, CT as COUNTY, P as LABEL
 from votealloc.plans.registry import folder, register
 from votealloc.sources import readers as S
 from votealloc.sources import sinks as K
@@ -95,7 +95,28 @@ def unmatched_examples(spark, sf_dir):
     return Q.unmatched_examples(_resolved(spark, sf_dir), 20)
 
 
-@register("x1_auto_overrides")
+_ID = "concat(upper(trim(county)), ' - ', upper(trim(label)))"
+_RULES = f"""known AS (SELECT DISTINCT {_ID} AS id FROM lab WHERE k % 2 = 0),
+token AS (SELECT id, trim(split_part(id, ' - ', 1)) AS county, regexp_replace(split_part(id, ' - ', 2), '[^A-Z0-9]', '', 'g') AS t FROM known),
+kx AS (SELECT DISTINCT upper(trim(concat(upper(trim(county)), ' - ', label))) AS raw FROM lab WHERE k % 2 = 1),
+ky AS (SELECT raw, trim(split_part(raw, ' - ', 1)) AS county, trim(split_part(raw, ' - ', 2)) AS p FROM kx WHERE contains(raw, ' - ') AND raw NOT IN (SELECT id FROM known)),
+kz AS (SELECT *, {_CLEANED.replace(LABEL, "p").replace(COUNTY, "county")} AS cleaned, regexp_replace(p, '[^A-Z0-9]', '', 'g') AS t,
+  try_cast(nullif(regexp_extract(p, '^0*([0-9]{{1,4}})([A-Z]?)$', 1), '') AS INT)::VARCHAR AS n, regexp_extract(p, '^0*([0-9]{{1,4}})([A-Z]?)$', 2) AS suffix FROM ky),
+guess AS (
+  SELECT raw, county, 2 AS rule, '14' AS code FROM kz WHERE county = 'ROBESON' AND p = 'LUM 1'
+  UNION ALL SELECT raw, county, 3, cleaned FROM kz WHERE cleaned <> p
+  UNION ALL SELECT raw, county, 4, left(p, length(p) - 1) FROM kz WHERE ends_with(p, 'A')
+  UNION ALL SELECT raw, county, 5, CAST(regexp_extract(p, '^0*([0-9]+)(?:-1)?$', 1) AS BIGINT)::VARCHAR || 'A' FROM kz WHERE regexp_matches(p, '^0*([0-9]+)(?:-1)?$')
+  UNION ALL SELECT raw, county, 6, p || '-1' FROM kz WHERE regexp_matches(p, '^[A-Z0-9]+$')
+  UNION ALL SELECT raw, county, 7, CASE WHEN length(n) < w THEN lpad(n, w, '0') ELSE n END || suffix FROM kz CROSS JOIN (VALUES (1), (2), (3), (4)) AS widths(w) WHERE n IS NOT NULL),
+fits AS (
+  SELECT raw, rule, id FROM guess JOIN known ON id = concat(county, ' - ', code)
+  UNION SELECT raw, 8, id FROM kz JOIN token USING (county, t) WHERE t <> ''
+  UNION SELECT raw, 9, id FROM kz JOIN token ON kz.county = token.county AND starts_with(token.t, kz.t) WHERE length(kz.t) >= 3),
+lone AS (SELECT raw, rule, min(id) AS id FROM fits GROUP BY 1, 2 HAVING rule < 7 OR count(*) = 1)"""
+
+
+@register("x1_auto_overrides", B.oracle(B.LAB, _RULES, select="SELECT raw AS precinct_id, arg_min(id, rule) AS canonical_id, min(rule) AS rule FROM lone GROUP BY 1"))
 def auto_overrides(spark, sf_dir):
     canonical = B.labels(spark, sf_dir).where("k % 2 = 0").select(F.concat_ws(" - ", F.upper(F.trim("county")), F.upper(F.trim("label"))).alias("precinct_id"))
     raw = B.labels(spark, sf_dir).where("k % 2 = 1").select(F.concat_ws(" - ", F.upper(F.trim("county")), "label").alias("precinct_id"))
@@ -173,14 +194,57 @@ def dataset_profile(spark, sf_dir):
 
 
 # R13 needs resolved keys: counties' precincts with a status.
-@register("r13_area_weight_allocate", B.oracle(B.RES, B.BLK, B.DMAP, B.PRE, _WTS, "sp AS (SELECT precinct_id AS key, district, weight AS w FROM wts WHERE scope = 'state_senate')", "al AS (SELECT year, office, county, concat(county, ' - ', precinct) AS key, CASE WHEN precinct = 'ABSENTEE' THEN 'non_geographic' WHEN concat(county, ' - ', precinct) IN (SELECT key FROM sp) THEN 'matched' ELSE 'unmatched' END AS status, " + _THREE + " FROM res GROUP BY 1, 2, 3, 4, 5)", "ow AS (SELECT year, office, county, key, district, w FROM al JOIN sp USING (key) WHERE status = 'matched')", "dy AS (SELECT year, office, county, district, sum((dem_votes + rep_votes + other_votes) * w) AS v FROM ow JOIN al USING (year, office, county, key) GROUP BY 1, 2, 3, 4)", "ds AS (SELECT year, office, county, district, v / sum(v) OVER (PARTITION BY year, office, county) AS w FROM dy)", "fin AS (SELECT year, office, key, district, w, 0 AS p FROM ow UNION ALL SELECT al.year, al.office, al.key, ds.district, ds.w, 2 FROM al JOIN ds USING (year, office, county) WHERE status <> 'matched')", select="SELECT year, office, district, round(sum(dem_votes * w), 3) AS dem_votes, round(sum(rep_votes * w), 3) AS rep_votes, round(sum(other_votes * w), 3) AS other_votes, count(DISTINCT CASE WHEN p = 0 THEN key END) AS direct_rows, count(DISTINCT key) AS placed_rows FROM fin JOIN al USING (year, office, key) GROUP BY 1, 2, 3"))
-def area_weight_allocate(spark, sf_dir):
+_LADDER = (
+    B.RES, B.BLK, B.DMAP, B.PRE, _WTS, "sp AS (SELECT precinct_id AS key, district, weight AS w FROM wts WHERE scope = 'state_senate')",
+    "al AS (SELECT year, office, county, concat(county, ' - ', precinct) AS key, CASE WHEN precinct = 'ABSENTEE' THEN 'non_geographic' WHEN concat(county, ' - ', precinct) IN (SELECT key FROM sp) THEN 'matched' ELSE 'unmatched' END AS status, " + _THREE + " FROM {rows} GROUP BY 1, 2, 3, 4, 5)",
+    "ow AS (SELECT year, office, county, key, district, w FROM al JOIN sp USING (key) WHERE status = 'matched')",
+    "dy AS (SELECT year, office, county, district, sum((dem_votes + rep_votes + other_votes) * w) AS v FROM ow JOIN al USING (year, office, county, key) GROUP BY 1, 2, 3, 4)",
+    "ds AS (SELECT year, office, county, district, v / sum(v) OVER (PARTITION BY year, office, county) AS w FROM dy)",
+)
+_COUNTY_STEP = "SELECT al.year, al.office, al.key, ds.district, ds.w, 2 FROM al JOIN ds USING (year, office, county) WHERE status <> 'matched'"
+_LADDER_SUMS = "SELECT year, office, district, round(sum(dem_votes * w), 3) AS dem_votes, round(sum(rep_votes * w), 3) AS rep_votes, round(sum(other_votes * w), 3) AS other_votes, count(DISTINCT CASE WHEN p = 0 THEN key END) AS direct_rows, count(DISTINCT key) AS placed_rows FROM fin JOIN al USING (year, office, key) GROUP BY 1, 2, 3"
+
+
+def _ladder_sql(rows: str, steps: str, *tables: str) -> str:
+    parts = [part.replace("{rows}", rows) for part in _LADDER]
+    return B.oracle(*parts, *tables, f"fin AS (SELECT year, office, key, district, w, 0 AS p FROM ow UNION ALL {steps})", select=_LADDER_SUMS)
+
+
+def _ladder(spark, sf_dir, results, **options):
     splits = _weights(spark, sf_dir).where("scope = 'state_senate'").select(F.col("precinct_id").alias("key"), "district", F.col("weight").alias("area_weight"))
-    rows = A.party_columns(B.results(spark, sf_dir).withColumn("key", F.concat_ws(" - ", "county", "precinct")), ["year", "office", "county", "key"])
+    rows = A.party_columns(results.withColumn("key", F.concat_ws(" - ", "county", "precinct")), ["year", "office", "county", "key"])
     hit = splits.select("key").distinct().withColumn("hit", F.lit(True))
     status = F.when(F.col("key").endswith(" - ABSENTEE"), "non_geographic").when(F.col("hit"), "matched").otherwise("unmatched")
     rows = rows.join(hit, "key", "left").withColumn("status", status).drop("hit")
-    return _rounded(R.ladder_allocate(rows, splits, bucket_before=1900), *A.VOTES, digits=3)
+    return _rounded(R.ladder_allocate(rows, splits, **options), *A.VOTES, digits=3)
+
+
+@register("r13_area_weight_allocate", _ladder_sql("res", _COUNTY_STEP))
+def area_weight_allocate(spark, sf_dir):
+    return _ladder(spark, sf_dir, B.results(spark, sf_dir), bucket_before=1900)
+
+
+# A precinct that the map lacks, in the bucket of one that it has.
+_NEW = "(SELECT * REPLACE (CASE WHEN precinct = 'BUILDING' THEN 'MACHINERY-9' ELSE precinct END AS precinct) FROM res)"
+_BUCKET_SHARES = (
+    "bkt AS (SELECT year, office, county, district, sum((dem_votes + rep_votes + other_votes) * w) AS v FROM ow JOIN al USING (year, office, county, key) WHERE ends_with(key, ' - MACHINERY') GROUP BY 1, 2, 3, 4)",
+    "bb AS (SELECT year, office, county, district, v / sum(v) OVER (PARTITION BY year, office, county) AS w FROM bkt)",
+)
+_BUCKET_STEP = f"SELECT al.year, al.office, al.key, bb.district, bb.w, 1 FROM al JOIN bb USING (year, office, county) WHERE ends_with(key, '-9') UNION ALL {_COUNTY_STEP} AND (NOT ends_with(key, '-9') OR (al.year, al.office, al.county) NOT IN (SELECT (year, office, county) FROM bb))"
+
+
+def _renamed(spark, sf_dir):
+    return B.results(spark, sf_dir).withColumn("precinct", F.when(F.col("precinct") == "BUILDING", "MACHINERY-9").otherwise(F.col("precinct")))
+
+
+@register("r13_bucket_before_county", _ladder_sql(_NEW, _BUCKET_STEP, *_BUCKET_SHARES))
+def bucket_before_county(spark, sf_dir):
+    return _ladder(spark, sf_dir, _renamed(spark, sf_dir))
+
+
+@register("r13_legacy_overwrite", _ladder_sql(_NEW, _COUNTY_STEP))
+def legacy_overwrite(spark, sf_dir):
+    return _ladder(spark, sf_dir, _renamed(spark, sf_dir), legacy_overwrite=True)
 
 
 # Geometry: districts are unit squares of nations, points are customers.
@@ -346,7 +410,7 @@ def upsert_manifest(spark, sf_dir):
 def rebuild_manifest(spark, sf_dir):
     path = folder(spark)
     K.write_district_slices(_slices(spark, sf_dir), path)
-    return S.scan_slices(spark, path).groupBy("year", "scope", "contest_type").agg(F.count("*").alias("districts"))
+    return S.rebuild_manifest(spark, path)
 
 
 @register("k_s6_split_by_contest_year", B.oracle(B.RES, B.CTY, _SL, select="SELECT DISTINCT concat(scope, '_', contest_type, '_', CAST(year AS VARCHAR), '.json') AS name FROM sl WHERE total_votes > 0"))

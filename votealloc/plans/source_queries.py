@@ -8,7 +8,7 @@ from votealloc.operators import aggregate as A
 from votealloc.operators import geometry as G
 from votealloc.plans import binding as B
 from votealloc.plans.registry import folder, register
-from votealloc.plans.report_queries import _pieces, _points, _rings
+from votealloc.plans.report_queries import _points, _rings
 from votealloc.sources import readers as S
 
 
@@ -81,9 +81,28 @@ def spatial_within(spark, sf_dir):
     return G.points_in_districts(_points(spark, sf_dir), _rings(spark, sf_dir), 0.25).where("district is not null").groupBy("district").agg(F.count("*").alias("points"))
 
 
-@register("j10_spatial_overlay", B.oracle(B.BLK, B.DMAP, select="SELECT precinct_id, district, sum(vap)::DOUBLE AS area FROM blk JOIN dmap USING (block) WHERE scope = 'congressional' GROUP BY 1, 2"))
+#: Precincts as rectangles beside their customer's point, cut by the squares of districts.
+_CUT = """prc AS (SELECT c_custkey AS id, c_custkey % 611 / 100.0 + 0.005 AS x, c_custkey * 7 % 503 / 100.0 + 0.005 AS y, 0.3 + c_custkey % 4 / 10.0 AS w FROM customer),
+cut AS (SELECT id, district, round((least(x + w, x0 + 1) - greatest(x, x0)) * (least(y + 0.2, y0 + 1) - greatest(y, y0)), 9)::DOUBLE AS area FROM prc JOIN rect ON x < x0 + 1 AND x + w > x0 AND y < y0 + 1 AND y + 0.2 > y0)"""
+
+
+@register("j10_spatial_overlay", f"WITH {_RECT}, {_CUT} SELECT * FROM cut")
 def spatial_overlay(spark, sf_dir):
-    return A.sum_by(_pieces(spark, sf_dir), ["precinct_id", "district"], "area")
+    width = F.lit(0.3) + F.col("id") % 4 / 10.0
+    corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    precincts = _points(spark, sf_dir).select("id", F.array(corner(0.0, 0.0), corner(width, 0.0), corner(width, 0.2), corner(0.0, 0.2)).alias("ring"))
+    return G.overlay(precincts, _rings(spark, sf_dir), ["id"], 0.5).withColumn("area", F.round("area", 9))
+
+
+@register("g5_overlay_max", f"WITH {_RECT}, {_CUT} SELECT id, min_by(district, struct_pack(a := -round(area, 6), d := district)) AS district FROM cut GROUP BY id")
+def overlay_max(spark, sf_dir):
+    pieces = spatial_overlay(spark, sf_dir).withColumn("area", F.round("area", 6))
+    return G.max_overlap(pieces, ["id"])
+
+
+@register("g4_overlay_crosswalk", f"WITH {_RECT}, {_CUT} SELECT id, district, round(area / sum(area) OVER (PARTITION BY id), 9) AS area_weight FROM cut")
+def overlay_crosswalk(spark, sf_dir):
+    return G.area_crosswalk(spatial_overlay(spark, sf_dir), ["id"], least=None).select("id", "district", F.round("area_weight", 9).alias("area_weight"))
 
 
 @register("t1_order_output", B.oracle(B.BLK, B.DMAP, select="SELECT scope, district, row_number() OVER (PARTITION BY scope ORDER BY CAST(district AS INT)) AS place FROM (SELECT DISTINCT scope, district FROM dmap)"))

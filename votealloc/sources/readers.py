@@ -97,6 +97,22 @@ def scan_slices(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("year", "scope", "contest_type", "district", "row.*")
 
 
+def rebuild_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(year, scope, contest_type, districts) of the slices in a folder, each recounted from its file.
+
+    Scope, contest and year come from the file's own keys, its folders, or its name; files that
+    have them nowhere are left out. A file without readable results counts 0 districts.
+    """
+    files = spark.read.option("pathGlobFilter", "*.*").text(path, wholetext=True)
+    doc = F.from_json("value", SLICE)
+    name = parse_slice_name(F.element_at(F.split("_metadata.file_path", "/"), -1))
+    folders = [c for c in ("year", "scope", "contest_type") if c in files.columns]
+    found = [F.coalesce(doc[c], *[F.col(x).cast("int" if x == "year" else "string") for x in folders if x == c], name[c]).alias(c) for c in ("year", "scope", "contest_type")]
+    rows = files.select(*found, F.coalesce(F.size(F.map_keys(doc["general"]["results"])), F.lit(-1)).alias("n"))
+    rows = rows.where("year is not null and scope is not null and contest_type is not null")
+    return rows.groupBy("year", "scope", "contest_type").agg(F.sum(F.greatest("n", F.lit(0))).cast("long").alias("districts"))
+
+
 def scan_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
     """Features of GeoJSON files as rows: their properties (a DDL list) and rings of (x, y) numbers for polygons."""
     schema = f"features array<struct<properties: struct<{properties}>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>>"
