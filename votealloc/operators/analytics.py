@@ -191,7 +191,7 @@ def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int,
     """A contest that wasn't held: two past ones blended by county, turnout scaled, margins kept.
 
     weight is the first's part of the two-party share; bonus in points goes to DEM. Both, and
-    the blend itself, are parameters of ours.
+    the blend itself, are parameters of ours. A county without two-party votes in either gets no row.
     """
     def share(which: tuple[int, str], name: str) -> DataFrame:
         picked = rows.where((F.col("year") == which[0]) & (F.col("office") == which[1]))
@@ -199,7 +199,8 @@ def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int,
         return picked.select("county", F.try_divide("dem_votes", two).alias(f"{name}_share"), two.alias(f"{name}_two"))
 
     both = share(first, "a").join(share(second, "b"), "county")
-    dem = F.least(F.greatest(F.col("a_share") * weight + F.col("b_share") * (1 - weight) + bonus / 100, F.lit(0.0)), F.lit(1.0))
+    blend = F.col("a_share") * weight + F.col("b_share") * (1 - weight) + bonus / 100
+    dem = F.when(blend.isNotNull(), F.least(F.greatest(blend, F.lit(0.0)), F.lit(1.0)))
     size = half_even(F.greatest("a_two", "b_two") * turnout)
     out = both.select("county", half_even(size * dem).alias("dem_votes"), (size - half_even(size * dem)).alias("rep_votes"), F.lit(0.0).alias("other_votes")).where("dem_votes is not null")
     return with_margin(out)

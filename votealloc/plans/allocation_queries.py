@@ -96,7 +96,7 @@ def _weights(spark, sf_dir):
 def rollup_counts(spark, sf_dir):
     districts = B.district_map(spark, sf_dir).select("scope", "district").distinct()
     contests = B.results(spark, sf_dir).select("year", F.col("office").alias("contest_type")).distinct()
-    return A.rollup_counts(contests.crossJoin(F.broadcast(districts)))
+    return A.rollup_counts(contests.crossJoin(districts))
 
 
 @register("w1_share_of_group", B.oracle(B.RES, select="SELECT year, office, county, votes, round(votes / sum(votes) OVER (PARTITION BY year, office), 9) AS share FROM (SELECT year, office, county, sum(votes) AS votes FROM res GROUP BY 1, 2, 3)"))
