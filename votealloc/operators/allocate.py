@@ -187,7 +187,9 @@ def district_results(results: DataFrame, crosswalk: DataFrame, district_map: Dat
     scopes = district_map.select("scope").distinct()
     county = area_shares(crosswalk, district_map, ["county"])
     bucket = area_shares(crosswalk.withColumn("bucket", bucket_of(F.col("precinct_id"))), district_map, ["county", "bucket"])
-    weights = direct.unionByName(fallback_weights(precincts, direct, county, bucket, scopes))
+    # The precincts' keys come from the rows themselves: their votes aren't needed to tell which the map lacks.
+    named = results.where(~is_non_geographic(F.col("precinct"), F.col("county"))).select("county", F.concat_ws(" - ", "county", "precinct").alias("precinct_id"))
+    weights = direct.unionByName(fallback_weights(named, direct, county, bucket, scopes))
     sums = allocate(precincts, weights, contest=contest)
     return with_measures(sums.withColumns({c: half_even(F.col(c)) for c in VOTES}))
 
