@@ -154,8 +154,9 @@ def test_labels_of_a_single_cycle(spark):
 
 def test_modelled_contest_without_two_party_votes(spark):
     df = margins(spark, [row("a", 2020, 60, 40), row("a", 2016, 50, 50), row("z", 2020, 0, 0), row("z", 2016, 0, 0), row("y", 2020, 0, 0), row("y", 2016, 9, 1), row("once", 2020, 1, 1)])
-    got = {r.county: (r.dem_votes, r.rep_votes) for r in Y.modeled_contest(df, (2020, "gov"), (2016, "gov"), turnout=1.0).collect()}
-    assert got == {"a": (55.0, 45.0)}
+    model = lambda need_both: {r.county: (r.dem_votes, r.rep_votes) for r in Y.modeled_contest(df, (2020, "gov"), (2016, "gov"), turnout=1.0, need_both=need_both).collect()}
+    assert model(True) == {"a": (55.0, 45.0)}
+    assert model(False) == {"a": (55.0, 45.0), "y": (0.0, 10.0), "z": (0.0, 0.0)}
 
 
 def test_ghosts_and_series(spark):

@@ -187,11 +187,12 @@ def backfill(rows: DataFrame, shapes: DataFrame, counties: DataFrame, until: int
 TURNOUT = 0.575
 
 
-def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int, str], weight: float = 0.5, bonus: float = 0.0, turnout: float = TURNOUT) -> DataFrame:
+def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int, str], weight: float = 0.5, bonus: float = 0.0, turnout: float = TURNOUT, need_both: bool = False) -> DataFrame:
     """A contest that wasn't held: two past ones blended by county, turnout scaled, margins kept.
 
     weight is the first's part of the two-party share; bonus in points goes to DEM. Both, and
-    the blend itself, are parameters of ours. A county without two-party votes in either gets no row.
+    the blend itself, are parameters of ours. Where a county has no two-party votes in one of
+    the two, the blend counts as 0 for DEM; with need_both the county gets no row.
     """
     def share(which: tuple[int, str], name: str) -> DataFrame:
         picked = rows.where((F.col("year") == which[0]) & (F.col("office") == which[1]))
@@ -200,7 +201,9 @@ def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int,
 
     both = share(first, "a").join(share(second, "b"), "county")
     blend = F.col("a_share") * weight + F.col("b_share") * (1 - weight) + bonus / 100
-    dem = F.when(blend.isNotNull(), F.least(F.greatest(blend, F.lit(0.0)), F.lit(1.0)))
+    dem = F.least(F.greatest(blend, F.lit(0.0)), F.lit(1.0))  # greatest skips nulls
+    if need_both:
+        both = both.where(blend.isNotNull())
     size = half_even(F.greatest("a_two", "b_two") * turnout)
     out = both.select("county", half_even(size * dem).alias("dem_votes"), (size - half_even(size * dem)).alias("rep_votes"), F.lit(0.0).alias("other_votes")).where("dem_votes is not null")
     return with_margin(out)
