@@ -78,6 +78,13 @@ def test_crosswalk_of_an_overlay(spark):
     assert got == pytest.approx({(1, "W"): 1.0, (2, "W"): 0.25, (2, "E"): 0.75})
 
 
+def test_two_way_share(spark):
+    pieces = spark.createDataFrame([("A", "1", 3.0), ("A", "2", 1.0), ("A", "3", 4.0), ("B", "1", 0.0)], "key string, district string, area double")
+    share = lambda key, *two: G.two_way_share(pieces, key, *two).first().share
+    assert [share("A", "1", "2"), share("A", "3", "1"), share("A", "2", "9")] == [0.25, 3 / 7, 0.0]
+    assert [share("C", "1", "2"), share("A", "8", "9"), share("B", "1", "2")] == [None] * 3
+
+
 @pytest.mark.parametrize("legacy,first", [(False, 15.0), (True, 12.5)])
 def test_legacy_overwrite(spark, legacy, first):
     rows = spark.createDataFrame([(2014, "gov", "A", k, s, v, 0.0, 0.0) for k, s, v in (("A - 01-01", "matched", 10.0), ("A - 02-01", "matched", 10.0), ("A - 01-01B", "unmatched", 5.0))], f"year int, office string, county string, key string, status string, {VOTES}")

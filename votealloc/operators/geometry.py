@@ -165,9 +165,9 @@ def assign_blocks(points: DataFrame, districts: DataFrame, pieces: DataFrame, ce
 
 
 def two_way_share(pieces: DataFrame, source: str, first: str, second: str) -> DataFrame:
-    """The share of precinct source that lies in second, of what lies in first or second."""
+    """The share of precinct source that lies in second, of what lies in first or second; null where it lies in neither."""
     rows = pieces.where((F.col("key") == source) & F.col("district").isin(first, second))
-    return rows.agg(F.sum(F.when(F.col("district") == second, F.col("area")).otherwise(0.0)).alias("inside"), F.sum("area").alias("both")).select(F.coalesce(F.try_divide("inside", "both"), F.lit(0.0)).alias("share"))
+    return rows.agg(F.sum(F.when(F.col("district") == second, F.col("area")).otherwise(0.0)).alias("inside"), F.sum("area").alias("both")).select(F.try_divide("inside", "both").alias("share"))
 
 
 def crosswalk_by_county(crosswalk: DataFrame) -> DataFrame:
