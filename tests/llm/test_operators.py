@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from votealloc.llm import language_id
+from votealloc.llm import language_id, near_dedup
 from votealloc.llm.chat import maximal_conversations
 from votealloc.llm.decontaminate import align, contaminated
 from votealloc.llm.exact_dedup import compact, exact_duplicates, flush, lookup
@@ -294,6 +294,33 @@ def test_near_dedup(spark, corpus):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_dedup_of_templates_with_few_variants(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for _ in range(160):  # each slot's variants are held by a third of all: links lead from one to the next
+        words = [f"t{i}" for i in range(100)]
+        for slot in range(8, 100, 16):
+            words[slot] = f"v{slot}x{rng.randrange(3)}"
+        rows.append((len(rows), " ".join(words)))
+    for i in range(40):  # any two differ in four places of six: none links
+        digits = [i % 7, i // 7, (i % 7 + i // 7) % 7, (i % 7 + 2 * (i // 7)) % 7, (i % 7 + 3 * (i // 7)) % 7, (i % 7 + 4 * (i // 7)) % 7]
+        words = [f"s{j}" for j in range(70)]
+        for slot, digit in enumerate(digits):
+            words[slot * 11 + 5] = f"d{slot}x{digit}"
+        rows.append((len(rows), " ".join(words)))
+    want = sorted(_components(rows))
+    assert len({c for _, _, c in want}) > 40
+    rounds = []
+    found = near_dedup.connected_components
+    monkeypatch.setattr(near_dedup, "connected_components", lambda edges: rounds.append(1) or found(edges))
+    for side, least in ((4096, 2), (2, 3)):
+        monkeypatch.setattr(near_dedup, "SIDE", side)
+        rounds.clear()
+        got = near_duplicates(frame(spark, rows)).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+        assert len(rounds) >= least
+
+
 def test_near_dedup_of_nothing(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
     assert near_duplicates(frame(spark, [(1, None), (2, "")])).where("kept").count() == 2

@@ -197,9 +197,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the many edited copies of one text don't meet each other in vain. Nor are all pairs of a
     bucket formed: star_rounds times, one member of each bucket (first the one with the least
     share of own shingles, then by hash) is compared with the members of other components so
-    far, and confirmed links merge components; then every pair of members that still lie in
-    different components and may be alike, by bounds from their comparison with that first one,
-    is compared too. So no link between components is lost that any band proposes: at 0.75 the
+    far, and confirmed links merge components, and again as long as a bucket has more than SIDE
+    members outside its largest component and a round at least halves the pairs that are open;
+    then every pair of members that still lie in different components and may be alike, by bounds
+    from their comparison with that first one, is compared too. So no link between components is lost that any band proposes: at 0.75 the
     32 default bands of 4 miss a pair with a probability under 0.00001. Where the smaller set has
     24 shingles or fewer, the pair is a candidate by its least shingles in any case.
 
@@ -241,17 +242,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = materialise(every, "near-members")
     discard(member)
 
-    links, seen, hubs = None, None, None
-    member = every.withColumn("label", F.col("node"))
-    for turn in range(star_rounds + 1):
+    links, seen, hubs, open_pairs, turn = None, None, None, None, 0
+    member, star = every.withColumn("label", F.col("node")), True
+    while True:
         if turn:
             labels = connected_components(links)
             member = every.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-            split = member.groupBy(bucket).agg((F.min("label") < F.max("label")).alias("open"), F.count("*").alias("rows")).where("open").drop("open")
-            member = materialise(join_parted(member, materialise(split, "near-split"), bucket, "node", "rows"), "near-open")
-            if member.isEmpty():
+            sizes = member.groupBy(*bucket, "label").agg(F.count("*").alias("size")).groupBy(bucket).agg(F.sum("size").alias("rows"), (F.sum("size") - F.max("size")).alias("strays"))
+            split = materialise(sizes.where("strays > 0"), "near-split")
+            most, left = split.agg(F.max("strays"), F.sum(F.col("strays").cast("double") * F.col("rows"))).first()
+            if most is None:
                 break
-        if turn < star_rounds:
+            member = materialise(join_parted(member, split.drop("strays"), bucket, "node", "rows"), "near-open")
+            star = turn < star_rounds or (most > SIDE and (open_pairs is None or left * 2 <= open_pairs))
+            open_pairs = left
+        if star:
             order = F.struct(F.col("own") / F.col("n"), "node") if turn == 0 else F.xxhash64("node", F.lit(turn))
             hub = member.groupBy(bucket).agg(F.min_by(F.struct("node", "n", "own", "label"), order).alias("hub"), F.count("*").alias("rows"))
             hub = materialise(hub, "near-hub")
@@ -267,6 +272,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = _confirm(pairs, sets, percent)
         seen = found if seen is None else seen.unionByName(found)
         links = seen.where("linked").select("a", "b")
+        if not star:
+            break
+        turn += 1
     # Components of rows in the order of their ids: the least is the component's id, so that no join by component is needed.
     names = classes.select("node", "first")
     named = links.join(names.withColumnsRenamed({"node": "a", "first": "first_a"}), "a").join(names.withColumnsRenamed({"node": "b", "first": "first_b"}), "b")
