@@ -16,9 +16,12 @@ from votealloc.llm.decontaminate import contaminated
 from votealloc.llm.exact_dedup import exact_duplicates
 from votealloc.llm.mixing import MIX_SQL, mix
 from votealloc.llm.near_dedup import near_duplicates
+from votealloc.llm.resampling import RESAMPLE_SQL, importance_ranks
+from votealloc.llm.runs import periodic_runs
 from votealloc.llm.secret_scan import scan_secrets
 from votealloc.llm.sentence_dedup import remove_repeated_sentences
 from votealloc.llm.shared import finished
+from votealloc.llm.sharding import SHARD_SQL, assign_shards
 from votealloc.llm.suffix_dedup import remove_repeats
 from votealloc.llm.token_counts import count_tokens
 
@@ -74,6 +77,18 @@ def op10_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(lambda: remove_repeated_sentences(_table(spark, sf_dir, "documents"), grow=True).drop("kept_text"), "op10_sentence_dedup")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finished(lambda: importance_ranks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")), "op11_importance_resampling")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(_table(spark, sf_dir, "documents"), repeat=True, texts=False)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finished(lambda: assign_shards(_table(spark, sf_dir, "documents")), "op13_sharding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -85,12 +100,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_sentence_dedup": op10_sentence_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_sharding": op13_sharding,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": CHAT_SQL,
     "op3_mixing": MIX_SQL,
+    "op11_importance_resampling": RESAMPLE_SQL,
+    "op13_sharding": SHARD_SQL,
     "op6_exact_dedup": r"""
 WITH normal AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one key that one task joins, or more where else over BROADCAST_HOT keys (some tens of bytes each) would be joined in parts.
@@ -126,3 +126,21 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def numbered(rows: DataFrame, group: str, order: list[Column], label: str) -> DataFrame:
+    """rows with position (long): 0, 1, 2... of each row among those of its group, by order; rows that tie in all of it in any order.
+
+    One sort by ranges numbers the rows of each part, and a row's position is that number plus
+    the rows of its group in earlier parts. A row's own number is the last sort key, so neither
+    a group nor very many rows of one key are one task's; windows run over one row for each
+    part and group. The sorted table is written once: its ranges stay as they were found.
+    """
+    rows = materialise(rows.withColumn("row_key", F.monotonically_increasing_id()), f"{label}-rows")
+    lined = materialise(rows.orderBy(group, *order, "row_key").drop("row_key").withColumn("at", F.monotonically_increasing_id()), f"{label}-lined")
+    discard(rows)
+    parts = lined.groupBy(F.shiftright("at", 33).alias("part"), F.col(group).alias("of")).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.select("part", "of", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    found = lined.join(starts, (F.shiftright("at", 33) == F.col("part")) & F.col(group).eqNullSafe(F.col("of")))
+    return found.withColumn("position", F.col("at") + F.col("shift")).drop("at", "part", "of", "shift")
