@@ -1,4 +1,8 @@
-"""Areas, points and overlays as Columns and equi-joins; rings are arrays of (x, y)."""
+"""Areas, points and overlays as Columns and equi-joins.
+
+A ring is an array of (x, y). A shape is an array of parts, a part an array of rings: its outline,
+then its holes. Tables have a shape in `parts`, or one ring in `ring`.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +15,18 @@ from votealloc.functions.keys import district_label, pad
 from votealloc.operators.aggregate import renormalize, share_of_group
 
 
+def shape_of(rows: DataFrame) -> Column:
+    """The shapes of a table: its parts, or its rings as parts without holes."""
+    return F.col("parts") if "parts" in rows.columns else F.when(F.col("ring").isNotNull(), F.array(F.array("ring")))
+
+
+def points_of(parts: Column) -> Column:
+    """All points of a shape, for its box."""
+    return F.flatten(F.flatten(parts))
+
+
 def bbox_point(ring: Column, digits: int = 6) -> Column:
-    """The middle of a ring's bounding box."""
+    """The middle of the bounding box of a ring, or of any array of points; nulls where there is no point."""
     def mid(axis: str) -> Column:
         values = F.transform(ring, lambda p: p[axis])
         return F.round((F.array_min(values) + F.array_max(values)) / 2, digits)
@@ -36,6 +50,14 @@ def ring_area(ring: Column) -> Column:
     return F.when(F.size(ring) >= 3, F.abs(_turn(ring)) / 2).otherwise(0.0)
 
 
+def shape_area(parts: Column) -> Column:
+    """Area of a shape: that of each part's outline less that of its holes; 0 for null."""
+    def whole(part: Column) -> Column:
+        return 2 * ring_area(F.get(part, 0)) - F.aggregate(part, F.lit(0.0), lambda s, ring: s + ring_area(ring))
+
+    return F.coalesce(F.aggregate(parts, F.lit(0.0), lambda s, part: s + F.when(F.size(part) > 0, whole(part)).otherwise(0.0)), F.lit(0.0))
+
+
 #: The equal-area conic projection of the conterminous United States (EPSG 5070, GRS 80).
 ALBERS = {"a": 6378137.0, "f": 1 / 298.257222101, "lat0": 23.0, "lon0": -96.0, "lat1": 29.5, "lat2": 45.5}
 
@@ -58,33 +80,86 @@ def albers(lon: Column, lat: Column) -> Column:
     return F.struct((rho * F.sin(theta)).alias("x"), (F.lit(rho0) - rho * F.cos(theta)).alias("y"))
 
 
-def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Is a point inside a ring? Counts the edges that a ray to the right crosses; low and left borders are inside."""
+def in_edges(x: Column, y: Column, edges: Column) -> Column:
+    """Is a point inside what the edges enclose, holes left out? Counts those that a ray to the right crosses; low and left borders are inside."""
     def crosses(e: Column) -> Column:
         p, q = e["p"], e["q"]
         at = p["x"] + (y - p["y"]) * F.try_divide(q["x"] - p["x"], q["y"] - p["y"])
         return F.coalesce(((p["y"] > y) != (q["y"] > y)) & (x < at), F.lit(False))
 
-    return F.aggregate(_edges(ring), F.lit(0), lambda n, e: n + crosses(e).cast("int")) % 2 == 1
+    return F.aggregate(edges, F.lit(0), lambda n, e: n + crosses(e).cast("int")) % 2 == 1
 
 
-def points_in_districts(points: DataFrame, districts: DataFrame, cell: float) -> DataFrame:
-    """points (id, x, y) with the district (district, ring) that holds each; null outside all.
+def in_ring(x: Column, y: Column, ring: Column) -> Column:
+    return in_edges(x, y, _edges(ring))
 
-    Points and the cells of each district's bounding box meet by cell, then the ring decides.
-    Pick cell so that a district covers some hundreds. On a shared border the first district wins.
-    """
-    def index(v: Column) -> Column:
-        return F.floor(v / cell).cast("long")
 
-    def span(axis: str) -> Column:
-        values = F.transform(F.col("ring"), lambda p: p[axis])
-        return F.explode(F.sequence(index(F.array_min(values)), index(F.array_max(values))))
+def in_shape(x: Column, y: Column, parts: Column) -> Column:
+    """Is a point in one of a shape's parts and in none of its holes?"""
+    return in_edges(x, y, F.flatten(F.transform(F.flatten(parts), _edges)))
+
+
+#: Cells of one level are cut in so many, as a power of two, along x and along y for the next.
+FACTOR_BITS = 2
+#: A border cell that so few edges matter to isn't cut further.
+FEW_EDGES = 24
+#: Points of one cell that one task tests at most, on average of the parts that they are dealt to.
+POINTS_A_PART = 65_536
+
 
-    cells = districts.select("district", "ring").withColumn("cx", span("x")).withColumn("cy", span("y"))
-    placed = points.withColumns({"cx": index(F.col("x")), "cy": index(F.col("y"))})
-    hits = placed.join(cells, ["cx", "cy"]).where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).groupBy("id").agg(F.min("district").alias("district"))
-    return points.join(hits, "id", "left")
+def district_cells(districts: DataFrame, cell: float, levels: int = 3) -> DataFrame:
+    """(district, level, cx, cy, edges): cells that cover each district's shape; edges are null where the cell lies inside.
+
+    Cells of level 0 are the largest, those of the last `cell` wide. A cell without an edge is
+    inside or goes, so a large district is few large cells and a seam of small ones. A border
+    cell keeps the edges that a ray to the right from a point in it can cross. It is a chain of
+    projections: nothing is shuffled.
+    """
+    edges = F.flatten(F.transform(F.flatten(shape_of(districts)), _edges))
+    rows = districts.select("district", edges.alias("edges")).where(F.size("edges") > 0)
+    top = cell * (1 << FACTOR_BITS * (levels - 1))
+    for axis in "xy":
+        values = F.transform("edges", lambda e: e["p"][axis])  # noqa: B023
+        rows = rows.withColumn(f"c{axis}", F.explode(F.sequence(F.floor(F.array_min(values) / top), F.floor(F.array_max(values) / top))))
+    rows = rows.withColumn("level", F.lit(0))
+    for level in range(levels):
+        width = cell * (1 << FACTOR_BITS * (levels - 1 - level))
+        if level:
+            steps = range(1 << FACTOR_BITS)
+            child = lambda i, j: F.struct((F.col("level") + 1).alias("level"), (F.shiftleft("cx", FACTOR_BITS) + i).alias("cx"), (F.shiftleft("cy", FACTOR_BITS) + j).alias("cy"))
+            goes_on = F.col("edges").isNotNull() & (F.size("edges") > FEW_EDGES)
+            cells = F.when(goes_on, F.array(*[child(i, j) for i in steps for j in steps])).otherwise(F.array(F.struct("level", "cx", "cy")))
+            rows = rows.select("district", "edges", F.explode(cells).alias("c")).select("district", "edges", "c.*")
+        # A hair more than the cell, for points whose cell a rounding decides.
+        left, low, right, high = (F.col(c) * width + shift for c, shift in (("cx", -1e-9 * width), ("cy", -1e-9 * width), ("cx", (1 + 1e-9) * width), ("cy", (1 + 1e-9) * width)))
+        current = (F.col("level") == level) & F.col("edges").isNotNull()
+        near = F.filter("edges", lambda e: (F.greatest(e["p"]["y"], e["q"]["y"]) >= low) & (F.least(e["p"]["y"], e["q"]["y"]) <= high) & (F.greatest(e["p"]["x"], e["q"]["x"]) >= left))
+        rows = rows.withColumns({"current": current, "edges": F.when(current, near).otherwise(F.col("edges"))})
+        border = F.exists("edges", lambda e: F.least(e["p"]["x"], e["q"]["x"]) <= right)
+        inside = in_edges((F.col("cx") + 0.5) * width, (F.col("cy") + 0.5) * width, F.col("edges"))
+        rows = rows.withColumn("border", border).where(~F.col("current") | F.col("border") | inside)
+        rows = rows.withColumn("edges", F.when(~F.col("current") | F.col("border"), F.col("edges"))).drop("current", "border")
+    return rows
+
+
+def points_in_districts(points: DataFrame, districts: DataFrame, cell: float, levels: int = 3, most: int = POINTS_A_PART) -> DataFrame:
+    """points (id, x, y) with the district (district, parts or ring) that holds each; null outside all.
+
+    Points meet the cells of district_cells by their own cell at each level; only in border
+    cells do edges decide. A cell with more than `most` points is copied and its points are
+    dealt to the copies by a hash of their id. Pick cell so that a district covers some hundreds
+    of the smallest. On a shared border the first district wins; a point in a hole is in no district.
+    Points with a null coordinate and shapes that are null or have no edges meet nothing.
+    """
+    keys = ["level", "cx", "cy"]
+    at = {axis: F.floor(F.col(axis) / cell).cast("long") for axis in "xy"}
+    up = [F.struct(F.lit(k).alias("level"), *[F.shiftright(at[axis], FACTOR_BITS * (levels - 1 - k)).alias(f"c{axis}") for axis in "xy"]) for k in range(levels)]
+    placed = points.where("x is not null and y is not null").select("id", "x", "y", F.explode(F.array(*up)).alias("c")).select("id", "x", "y", "c.*")
+    hot = placed.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*keys, F.ceil(F.col("n") / most).alias("copies"))
+    cells = district_cells(districts, cell, levels).join(hot, keys, "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
+    dealt = placed.join(hot, keys, "left").withColumn("copy", F.pmod(F.xxhash64("id"), F.coalesce("copies", F.lit(1)))).drop("copies")
+    hits = dealt.join(cells, [*keys, "copy"]).where(F.col("edges").isNull() | in_edges(F.col("x"), F.col("y"), F.col("edges")))
+    return points.join(hits.groupBy("id").agg(F.min("district").alias("district")), "id", "left")
 
 
 def _sides(ring: Column) -> Column:
@@ -98,21 +173,25 @@ def _sides(ring: Column) -> Column:
 
 
 def overlay(first: DataFrame, second: DataFrame, keys: list[str], cell: float) -> DataFrame:
-    """(keys, district, area): the exact common areas of polygons first (keys, ring) and second (district, ring).
+    """(keys, district, area): the exact common areas of shapes first (keys, parts or ring) and second (district, parts or ring).
 
     A ring is the signed sum of what lies under its edges, so the common part of two rings is the
     signed sum, over pairs of their edges, of what lies under both: half of the two areas less
-    what lies between the edges. Rings are simple, convex or not, closed or open, in either
-    direction; parts of a key in several rows add up; holes aren't known. Null rings and those
-    of fewer than three points have no area.
+    what lies between the edges; a hole counts against its part. Rings are simple, convex or not,
+    closed or open, in either direction; parts of a key in one row or several add up. Null
+    shapes and rings of fewer than three points have no area.
 
     Only rings whose boxes share a cell meet, each pair in one cell (that of the lower left
-    corner of their boxes' common part), so nothing is made distinct. Work for a pair is the
-    product of its edges. Pick cell so that the smaller polygons cover a few.
+    corner of their boxes' common part), so nothing is made distinct. The edges of a pair are cut
+    to columns of the common part, as many as the ring with fewer edges has, and meet by
+    column: work follows edges that lie over each other, not the product of two outlines. Pick
+    cell so that the smaller shapes cover a few.
     """
     def placed(rows: DataFrame, names: list[str], side: str) -> DataFrame:
-        ends = [pick(F.col("ring").getField(axis)).alias(f"{side}_{axis}_{name}") for axis in "xy" for name, pick in (("from", F.array_min), ("to", F.array_max))]
-        rows = rows.where(F.size("ring") >= 3).select(*names, _sides(F.col("ring")).alias(f"{side}_sides"), _turn(F.col("ring")).alias(f"{side}_turn"), *ends)
+        rows = rows.select(*names, F.posexplode(shape_of(rows)).alias("__part_no", "__part")).select(*names, "__part_no", F.posexplode("__part").alias("__ring_no", "__ring"))
+        ends = [pick(F.col("__ring").getField(axis)).alias(f"{side}_{axis}_{name}") for axis in "xy" for name, pick in (("from", F.array_min), ("to", F.array_max))]
+        role = F.when(F.col("__ring_no") == 0, 1.0).otherwise(-1.0)
+        rows = rows.where(F.size("__ring") >= 3).select(*names, F.struct("__part_no", "__ring_no").alias(f"{side}_no"), role.alias(f"{side}_role"), _sides(F.col("__ring")).alias(f"{side}_sides"), _turn(F.col("__ring")).alias(f"{side}_turn"), *ends)
         for axis in "xy":
             rows = rows.withColumn(f"__c{axis}", F.explode(F.sequence(F.floor(F.col(f"{side}_{axis}_from") / cell), F.floor(F.col(f"{side}_{axis}_to") / cell))))
         return rows
@@ -120,20 +199,36 @@ def overlay(first: DataFrame, second: DataFrame, keys: list[str], cell: float) -
     pairs = placed(first, keys, "__a").join(placed(second, ["district"], "__b"), ["__cx", "__cy"])
     for axis in "xy":
         start, end = F.greatest(f"__a_{axis}_from", f"__b_{axis}_from"), F.least(f"__a_{axis}_to", f"__b_{axis}_to")
-        pairs = pairs.where((start < end) & (F.floor(start / cell) == F.col(f"__c{axis}")))
-    same_way = F.signum("__a_turn") * F.signum("__b_turn")
-    pairs = pairs.select(*keys, "district", same_way.alias("__sign"), F.least("__a_y_from", "__b_y_from").alias("__floor"), F.least(F.abs("__a_turn"), F.abs("__b_turn")).alias("__twice"), "__b_sides", F.explode("__a_sides").alias("__a"))
-    pairs = pairs.select(*keys, "district", "__sign", "__floor", "__twice", "__a", F.explode("__b_sides").alias("__b"))
-    pairs = pairs.withColumns({"__left": F.greatest("__a.left", "__b.left"), "__right": F.least("__a.right", "__b.right")}).where("__left < __right")
+        pairs = pairs.withColumns({f"__{axis}_from": start, f"__{axis}_to": end}).where((start < end) & (F.floor(start / cell) == F.col(f"__c{axis}")))
+    sign = F.signum("__a_turn") * F.signum("__b_turn") * F.col("__a_role") * F.col("__b_role")
+    columns = F.greatest(F.least(F.size("__a_sides"), F.size("__b_sides")), F.lit(1))
+    pairs = pairs.withColumns({"__sign": sign, "__floor": F.least("__a_y_from", "__b_y_from"), "__twice": F.least(F.abs("__a_turn"), F.abs("__b_turn")), "__columns": columns, "__step": (F.col("__x_to") - F.col("__x_from")) / columns})
+
+    # Each side cut to the common part, then to its columns; the cuts of one column meet, of the one ring with the other.
+    def cut(side: str) -> Column:
+        inner = F.filter(f"{side}_sides", lambda e: (e["left"] < F.col("__x_to")) & (e["right"] > F.col("__x_from")))
+        index = lambda x: F.least(F.greatest(F.floor((x - F.col("__x_from")) / F.col("__step")), F.lit(0)), F.col("__columns") - 1)
+        return F.transform(inner, lambda e: F.struct(F.lit(side == "__a").alias("a"), e.alias("e"), index(e["left"]).alias("from"), index(e["right"]).alias("to")))
+
+    # Repeated rows of a pair fall into one group, in which each edge comes as often as the pair does.
+    name = ["__a_no", "__b_no", "__a_role", "__b_role", "__sign", "__floor", "__twice", "__x_from", "__x_to", "__y_from", "__y_to", "__a_turn", "__b_turn", "__step", "__columns"]
+    sides = pairs.select(*keys, "district", *name, F.explode(F.concat(cut("__a"), cut("__b"))).alias("__s"))
+    sides = sides.select(*keys, "district", *name, "__s.a", "__s.e", F.explode(F.sequence("__s.from", "__s.to")).alias("__column"))
+    low, high = F.col("__x_from") + F.col("__column") * F.col("__step"), F.when(F.col("__column") == F.col("__columns") - 1, F.col("__x_to")).otherwise(F.col("__x_from") + (F.col("__column") + 1) * F.col("__step"))
+    met = sides.groupBy(*keys, "district", *name, "__column").agg(F.collect_set(F.when(F.col("a"), F.col("e"))).alias("__as"), F.collect_set(F.when(~F.col("a"), F.col("e"))).alias("__bs"), F.count_if("a").alias("__n"))
+    times = F.col("__n") / F.size("__as")
+    met = met.withColumns({"__low": low, "__high": high, "__sign": F.col("__sign") * times}).select(*keys, "district", "__sign", "__floor", "__twice", "__low", "__high", "__bs", F.explode("__as").alias("__a"))
+    met = met.select("*", F.explode("__bs").alias("__b")).drop("__bs")
+    met = met.withColumns({"__left": F.greatest("__a.left", "__b.left", "__low"), "__right": F.least("__a.right", "__b.right", "__high")}).where("__left < __right")
     heights = {f"__{s}_{end}": F.col(f"__{s}.y") + F.col(f"__{s}.slope") * (F.col(f"__{end}") - F.col(f"__{s}.left")) - F.col("__floor") for s in "ab" for end in ("left", "right")}
-    pairs = pairs.withColumns(heights).withColumns({"__gap_left": F.col("__a_left") - F.col("__b_left"), "__gap_right": F.col("__a_right") - F.col("__b_right")})
+    met = met.withColumns(heights).withColumns({"__gap_left": F.col("__a_left") - F.col("__b_left"), "__gap_right": F.col("__a_right") - F.col("__b_right")})
     apart = F.abs("__gap_left") + F.abs("__gap_right")
     crossed = F.signum("__gap_left") * F.signum("__gap_right") < 0
     between = F.when(crossed, (F.col("__gap_left") * F.col("__gap_left") + F.col("__gap_right") * F.col("__gap_right")) / apart).otherwise(apart)
     both = F.col("__a_left") + F.col("__a_right") + F.col("__b_left") + F.col("__b_right") - between
     piece = F.col("__sign") * F.col("__a.way") * F.col("__b.way") * (F.col("__right") - F.col("__left")) * both / 4
-    areas = pairs.groupBy(*keys, "district").agg(F.sum(piece).alias("area"), F.max("__twice").alias("__twice"))
-    # Rings that only touch have a common area of a rounding error.
+    areas = met.groupBy(*keys, "district").agg(F.sum(piece).alias("area"), F.max("__twice").alias("__twice"))
+    # Shapes that only touch have a common area of a rounding error.
     return areas.where("area > 1e-9 * __twice").drop("__twice")
 
 

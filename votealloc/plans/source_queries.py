@@ -12,6 +12,9 @@ from votealloc.plans.report_queries import _points, _rings
 from votealloc.sources import readers as S
 
 
+_RECT = "rect AS (SELECT upper(n_name) AS district, (n_nationkey % 5)::DOUBLE AS x0, (n_nationkey // 5)::DOUBLE AS y0 FROM nation)"
+
+
 @register("s1_scan_results_csv", B.oracle(B.RES, select="SELECT county, precinct, office, party, candidate, votes, year FROM res"))
 def scan_results_csv(spark, sf_dir):
     path = folder(spark)
@@ -70,10 +73,70 @@ def scan_geojson_features(spark, sf_dir):
     ring = F.transform("ring", lambda p: F.array(p["x"], p["y"]))
     feature = F.struct(F.struct(F.col("district").alias("name")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     _rings(spark, sf_dir).select(F.to_json(F.struct(F.array(feature).alias("features"))).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
-    return S.scan_geojson(spark, path, "name string").select("name", "shape", F.size(F.get("rings", 0)).alias("corners"))
+    corners = F.size(F.get(F.get("parts", 0), 0))
+    return S.scan_geojson(spark, path, "name string").select("name", "shape", corners.alias("corners"))
 
 
-_RECT = "rect AS (SELECT upper(n_name) AS district, (n_nationkey % 5)::DOUBLE AS x0, (n_nationkey // 5)::DOUBLE AS y0 FROM nation)"
+#: Districts of two parts, a square with a hole and a small rectangle, as signed boxes.
+_BOXES = """box AS (
+  SELECT district, x0 AS l, x0 + 1 AS r, y0 AS b, y0 + 1 AS t, 1 AS sign FROM rect
+  UNION ALL SELECT district, x0 + 0.25, x0 + 0.75, y0 + 0.25, y0 + 0.75, -1 FROM rect
+  UNION ALL SELECT district, 5 + x0 * 0.2, 5.2 + x0 * 0.2, y0, y0 + 0.5, 1 FROM rect)"""
+
+
+def _box(left, right, low, high):
+    return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((left, low), (right, low), (right, high), (left, high))])
+
+
+def _districts(spark, sf_dir):
+    k = F.col("n_nationkey")
+    x, y = (k % 5).cast("double"), F.floor(k / 5).cast("double")
+    outline, hole, island = _box(x, x + 1, y, y + 1), _box(x + 0.25, x + 0.75, y + 0.25, y + 0.75), _box(5 + x * 0.2, 5.2 + x * 0.2, y, y + 0.5)
+    return B.table(spark, sf_dir, "nation").select(F.upper("n_name").alias("district"), F.array(F.array(outline, hole), F.array(island)).alias("parts"))
+
+
+def _written_districts(spark, sf_dir):
+    """The districts as one GeoJSON file of MultiPolygons, with a coordinate system beside the features, read by several tasks."""
+    path = folder(spark)
+    coordinates = F.transform("parts", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"]))))
+    geometry = F.struct(F.lit("MultiPolygon").alias("type"), coordinates.alias("coordinates"))
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("district").alias("name")).alias("properties"), geometry.alias("geometry")))
+    many = _districts(spark, sf_dir).agg(F.concat(F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"x"}},"features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value"))
+    many.write.text(path)
+    return S.scan_geojson(spark, path, "name string").withColumnRenamed("name", "district")
+
+
+@register("s13_scan_geojson_multipart", f"WITH {_RECT}, {_BOXES} SELECT district, 'MultiPolygon' AS shape, 2 AS parts, 1 AS holes, min(l) AS left_end, max(r) AS right_end FROM box GROUP BY 1")
+def scan_geojson_multipart(spark, sf_dir):
+    rows = _written_districts(spark, sf_dir)
+    holes = F.aggregate("parts", F.lit(0), lambda n, part: n + F.size(part) - 1)
+    xs = F.transform("points", lambda p: p["x"])
+    return rows.select("district", "shape", F.size("parts").alias("parts"), holes.alias("holes"), F.array_min(xs).alias("left_end"), F.array_max(xs).alias("right_end"))
+
+
+@register("g1_bbox_multipart", f"WITH {_RECT}, {_BOXES} SELECT district, round((min(l) + max(r)) / 2, 6)::DOUBLE AS x, round((min(b) + max(t)) / 2, 6)::DOUBLE AS y FROM box GROUP BY 1")
+def bbox_multipart(spark, sf_dir):
+    return _written_districts(spark, sf_dir).select("district", G.bbox_point(F.col("points")).alias("p")).select("district", "p.*")
+
+
+@register("g2_shape_area", f"WITH {_RECT}, {_BOXES} SELECT district, round(sum(sign * (r - l) * (t - b)), 9)::DOUBLE AS area FROM box GROUP BY 1")
+def shape_area(spark, sf_dir):
+    return _written_districts(spark, sf_dir).select("district", F.round(G.shape_area(F.col("parts")), 9).alias("area"))
+
+
+_HOLED_PTS = "pts AS (SELECT c_custkey AS id, c_custkey % 611 / 100.0 + 0.005 AS x, c_custkey * 7 % 503 / 100.0 + 0.005 AS y FROM customer), inr AS (SELECT id, min(district) AS district FROM (SELECT id, district FROM pts JOIN box ON x >= l AND x < r AND y >= b AND y < t GROUP BY ALL HAVING sum(sign) = 1) GROUP BY 1)"
+
+
+@register("g3_point_in_multipart", f"WITH {_RECT}, {_BOXES}, {_HOLED_PTS} SELECT id, district FROM pts LEFT JOIN inr USING (id)")
+def point_in_multipart(spark, sf_dir):
+    return G.points_in_districts(_points(spark, sf_dir), _districts(spark, sf_dir), 0.05).select("id", "district")
+
+
+@register("g6_block_assignment_multipart", f"WITH {_RECT}, {_BOXES}, {_HOLED_PTS} SELECT id, coalesce(district, 'ZZ') AS district, CASE WHEN district IS NULL THEN 'overlap' ELSE 'point' END AS method, 1.0 AS area_weight, coalesce(district, 'ZZ') AS district_label FROM pts LEFT JOIN inr USING (id)")
+def block_assignment_multipart(spark, sf_dir):
+    points = _points(spark, sf_dir)
+    pieces = points.select("id", F.lit("ZZ").alias("district"), F.lit(2.0).alias("area")).unionByName(points.select("id", F.lit("AA").alias("district"), F.lit(1.0).alias("area")))
+    return G.assign_blocks(points, _districts(spark, sf_dir), pieces, 0.05, "congressional")
 
 
 @register("j9_spatial_within", f"WITH {_RECT}, pts AS (SELECT c_custkey AS id, c_custkey % 611 / 100.0 + 0.005 AS x, c_custkey * 7 % 503 / 100.0 + 0.005 AS y FROM customer) SELECT district, count(*) AS points FROM pts JOIN rect ON x >= x0 AND x < x0 + 1 AND y >= y0 AND y < y0 + 1 GROUP BY 1")
@@ -94,6 +157,20 @@ def spatial_overlay(spark, sf_dir):
     return G.overlay(precincts, _rings(spark, sf_dir), ["id"], 0.5).withColumn("area", F.round("area", 9))
 
 
+#: Precincts with a hole, as signed boxes, over the districts of two parts.
+_HOLED_CUT = """prc AS (SELECT c_custkey AS id, c_custkey % 611 / 100.0 + 0.005 AS x, c_custkey * 7 % 503 / 100.0 + 0.005 AS y, 0.3 + c_custkey % 4 / 10.0 AS w FROM customer),
+pbox AS (SELECT id, x AS pl, x + w AS pr, y AS pb, y + 0.2 AS pt, 1 AS ps FROM prc UNION ALL SELECT id, x + 0.1, x + 0.2, y + 0.05, y + 0.15, -1 FROM prc),
+cut AS (SELECT id, district, round(sum(sign * ps * greatest(least(pr, r) - greatest(pl, l), 0) * greatest(least(pt, t) - greatest(pb, b), 0)), 9)::DOUBLE AS area FROM pbox JOIN box ON pl < r AND pr > l AND pb < t AND pt > b GROUP BY 1, 2)"""
+
+
+@register("j10_overlay_multipart", f"WITH {_RECT}, {_BOXES}, {_HOLED_CUT} SELECT * FROM cut WHERE area > 0.000001")
+def overlay_multipart(spark, sf_dir):
+    x, y, width = F.col("x"), F.col("y"), F.lit(0.3) + F.col("id") % 4 / 10.0
+    shape = F.array(F.array(_box(x, x + width, y, y + 0.2), _box(x + 0.1, x + 0.2, y + 0.05, y + 0.15)))
+    found = G.overlay(_points(spark, sf_dir).select("id", shape.alias("parts")), _districts(spark, sf_dir), ["id"], 0.5)
+    return found.withColumn("area", F.round("area", 9)).where("area > 0.000001")
+
+
 @register("g5_overlay_max", f"WITH {_RECT}, {_CUT} SELECT id, min_by(district, struct_pack(a := -round(area, 6), d := district)) AS district FROM cut GROUP BY id")
 def overlay_max(spark, sf_dir):
     pieces = spatial_overlay(spark, sf_dir).withColumn("area", F.round("area", 6))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from votealloc.functions import keys as K
+from votealloc.sources.json_records import json_records
 
 RESULT_COLUMNS = ("county", "precinct", "office", "district", "party", "candidate", "votes")
 RESULTS = ", ".join(f"{c} string" for c in RESULT_COLUMNS)
@@ -73,11 +74,15 @@ def clean_district_stats(rows: DataFrame) -> DataFrame:
 
 
 def scan_nested_results(spark: SparkSession, path: str) -> DataFrame:
-    """A consolidated file as rows (year, office, key, votes and candidates)."""
-    row = "struct<dem_votes:bigint,rep_votes:bigint,other_votes:bigint,total_votes:bigint,dem_candidate:string,rep_candidate:string>"
-    nested = spark.read.schema(f"results_by_year map<string, map<string, struct<general: struct<results: map<string, {row}>>>>>").json(path, multiLine=True)
-    years = nested.select(F.explode("results_by_year").alias("year", "offices")).select("year", F.explode("offices").alias("office", "body"))
-    return years.select(F.col("year").cast("int").alias("year"), "office", F.explode("body.general.results").alias("key", "row")).select("year", "office", "key", "row.*")
+    """Consolidated files (results_by_year, year, office, general, results, key) as rows (year, office, key, votes and candidates).
+
+    A file of any size is read by several tasks; objects that other keys lead to are left out.
+    """
+    row = "dem_votes bigint, rep_votes bigint, other_votes bigint, total_votes bigint, dem_candidate string, rep_candidate string"
+    found = json_records(spark, path, 7, keys=True)
+    at = lambda depth: F.get("keys", F.lit(depth - 2))
+    rows = found.where((at(2) == "results_by_year") & (at(5) == "general") & (at(6) == "results"))
+    return rows.select(at(3).cast("int").alias("year"), at(4).alias("office"), at(7).alias("key"), F.from_json("value", row).alias("row")).select("year", "office", "key", "row.*")
 
 
 SLICE_NAME = r"^(congressional|state_house|state_senate)_(.+)_(\d{4})\.json$"
@@ -113,11 +118,51 @@ def rebuild_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("year", "scope", "contest_type").agg(F.sum(F.greatest("n", F.lit(0))).cast("long").alias("districts"))
 
 
+def _point(p):
+    return F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
+
+
+def _nested(text, depth: int):
+    """Coordinates of a depth as arrays of points: 0 a point, 1 a list of them..."""
+    def points(value, level: int):
+        return _point(value) if level == 0 else F.transform(value, lambda v: points(v, level - 1))
+
+    return points(F.from_json(text, "array<" * depth + "array<double>" + ">" * depth), depth)
+
+
+def geometry_parts(geometry):
+    """(parts, points) of a geometry (type, coordinates as text): the shape of polygons, and all points of any type.
+
+    Polygon and MultiPolygon have parts, also within a GeometryCollection; other types have null.
+    """
+    text, kind = geometry["coordinates"], geometry["type"]
+    one = lambda g: (
+        F.when(g["type"] == "MultiPolygon", _nested(g["coordinates"], 3)).when(g["type"] == "Polygon", F.array(_nested(g["coordinates"], 2)))
+    )
+    lines = lambda g: (
+        F.when(g["type"] == "Point", F.array(_nested(g["coordinates"], 0)))
+        .when(g["type"].isin("MultiPoint", "LineString"), _nested(g["coordinates"], 1))
+        .when(g["type"] == "MultiLineString", F.flatten(_nested(g["coordinates"], 2)))
+        .otherwise(F.flatten(F.flatten(one(g))))
+    )
+    several = geometry["geometries"]
+    mixed = F.flatten(F.filter(F.transform(several, one), lambda x: x.isNotNull()))
+    parts = F.when(kind == "GeometryCollection", F.when(F.size(mixed) > 0, mixed)).otherwise(F.when(text.isNotNull(), one(geometry)))
+    points = F.when(kind == "GeometryCollection", F.flatten(F.filter(F.transform(several, lines), lambda x: x.isNotNull()))).otherwise(lines(geometry))
+    return F.struct(parts.alias("parts"), points.alias("points"))
+
+
 def scan_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Features of GeoJSON files as rows: their properties (a DDL list) and rings of (x, y) numbers for polygons."""
-    schema = f"features array<struct<properties: struct<{properties}>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>>"
-    rows = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f"))
-    return rows.select("f.properties.*", F.col("f.geometry.type").alias("shape"), F.col("f.geometry.coordinates").alias("rings"))
+    """Features of GeoJSON files as rows: their properties (a DDL list), shape (the geometry's type), parts and points.
+
+    parts is the shape of polygons (parts of an outline and its holes, of points x and y), null for
+    other types; points are all points of any type, null where there is no geometry. A file of
+    any size is read by several tasks. Objects beside the features (such as crs) are left out.
+    """
+    one = "type: string, coordinates: string"
+    schema = f"type string, properties struct<{properties}>, geometry struct<{one}, geometries: array<struct<{one}>>>"
+    rows = json_records(spark, path, 2).select(F.from_json("value", schema).alias("f")).where("f.type is null or f.type = 'Feature'")
+    return rows.select("f.properties.*", F.col("f.geometry.type").alias("shape"), geometry_parts(F.col("f.geometry")).alias("g")).select("*", "g.*").drop("g")
 
 
 def parse_log_totals(lines: DataFrame) -> DataFrame:
