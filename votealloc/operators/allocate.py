@@ -16,13 +16,26 @@ CONTEST = ["year", "office"]
 
 
 def override_party(results: DataFrame, rules: DataFrame | None = None) -> DataFrame:
-    """party_group of each row, replaced where a rule (year, candidate_like, office_like, to_group) fits; a few rules only."""
+    """party_group of each row, replaced by the first rule (year, candidate_like, office_like, to_group) that fits; rows stay one each.
+
+    Rules come by place, then by their patterns, where both columns are optional: place, and token, a
+    word in capitals that the candidate's name holds. Distinct names are tried, and a rule with a
+    token only meets the names that have the word, so thousands of such rules are an equi-join.
+    """
     rows = results.withColumn("party_group", party_group(F.col("party")))
     if rules is None:
         return rows
-    r = rules.select(F.col("year").alias("rule_year"), "candidate_like", "office_like", "to_group")
-    fits = (F.col("year") == F.col("rule_year")) & F.expr("upper(candidate) rlike candidate_like") & F.expr("office rlike office_like")
-    return rows.join(r, fits, "left").withColumn("party_group", F.coalesce("to_group", "party_group")).drop("rule_year", "candidate_like", "office_like", "to_group")
+    place = F.coalesce(F.col("place").cast("double"), F.lit(float("inf"))) if "place" in rules.columns else F.lit(0.0)
+    token = F.col("token") if "token" in rules.columns else F.lit(None).cast("string")
+    order = F.struct(place.alias("place"), "candidate_like", "office_like", "to_group")
+    r = rules.select(F.col("year"), token.alias("token"), "candidate_like", "office_like", "to_group", order.alias("order"))
+    names = results.select("year", "candidate", "office").distinct()
+    words = F.array_distinct(F.regexp_extract_all(F.upper("candidate"), F.lit(r"[^\s]+"), F.lit(0)))
+    by_word = names.withColumn("token", F.explode(words)).join(r.where("token is not null"), ["year", "token"]).drop("token")
+    by_year = names.join(r.where("token is null").drop("token"), "year")
+    fits = by_word.unionByName(by_year).where(F.expr("upper(candidate) rlike candidate_like") & F.expr("office rlike office_like"))
+    first = fits.groupBy("year", "candidate", "office").agg(F.min_by("to_group", "order").alias("__to_group"))
+    return rows.join(first, ["year", "candidate", "office"], "left").withColumn("party_group", F.coalesce("__to_group", "party_group")).drop("__to_group").select(*rows.columns)
 
 
 def spread_non_geographic(results: DataFrame, contest: list[str] = CONTEST, keep_candidate: bool = False) -> tuple[DataFrame, DataFrame]:

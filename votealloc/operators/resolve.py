@@ -6,21 +6,87 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from votealloc.functions import keys as K
+from votealloc.sources.scratch import remove, written
+
+
+#: Kinds of rules, the first ones first.
+KINDS = ("manual", "auto")
+
+
+def _of_any_year(year: Column) -> Column:
+    return F.trim(F.coalesce(year, F.lit(""))).isin("", "*")
+
+
+def _rank(rules: DataFrame) -> Column:
+    """The order in which rules for one key come: of the year, manual, by place; what is left ties by name."""
+    kind = F.col("kind") if "kind" in rules.columns else F.lit(None).cast("string")
+    place = F.col("place").cast("double") if "place" in rules.columns else F.lit(0.0)
+    later = F.when(kind == KINDS[-1], 1).otherwise(0)
+    return F.struct(_of_any_year(F.col("year")).cast("int").alias("any"), later.alias("kind"), F.coalesce(place, F.lit(float("inf"))).alias("place"), F.col("canonical").alias("name"))
 
 
 def load_overrides(rules: DataFrame, year: int) -> DataFrame:
-    """Manual rules (year, raw, canonical) of a year, or of all (blank or *); null keys go."""
-    when = F.trim(F.coalesce("year", F.lit("")))
-    rows = rules.where(when.isin("", "*", str(year)) & F.col("raw").isNotNull() & F.col("canonical").isNotNull())
-    return rows.select(K.norm(F.col("raw")).alias("raw"), K.norm(F.col("canonical")).alias("canonical")).dropDuplicates(["raw"])
+    """(raw, canonical) of a year, once a key: from rules (year, raw, canonical) of that year or of all (blank, null or *).
+
+    Where several rules fit a key, one of the year comes before one of all years, manual (kind)
+    before auto, the lower place before the higher, then the first canonical key. kind and
+    place are optional columns. Rules with a null key go.
+    """
+    rows = rules.where((_of_any_year(F.col("year")) | (F.trim("year") == str(year))) & F.col("raw").isNotNull() & F.col("canonical").isNotNull())
+    rows = rows.withColumns({"raw": K.norm(F.col("raw")), "canonical": K.norm(F.col("canonical"))})
+    return rows.groupBy("raw").agg(F.min_by("canonical", _rank(rows)).alias("canonical"))
 
 
-def apply_overrides(rows: DataFrame, rules: DataFrame, key: str = "precinct_id") -> DataFrame:
-    """Keys replaced by rules (year, raw, canonical): those of the row's year come before those of any (*)."""
-    of_year = rules.where(~F.trim("year").isin("", "*")).select(F.col("year").try_cast("int").alias("year"), F.col("raw").alias(key), F.col("canonical").alias("__by_year"))
-    of_any = rules.where(F.trim("year").isin("", "*")).select(F.col("raw").alias(key), F.col("canonical").alias("__by_any"))
-    out = rows.join(of_year, ["year", key], "left").join(of_any, key, "left")
-    return out.withColumn(key, F.coalesce("__by_year", "__by_any", key)).drop("__by_year", "__by_any")
+def rules_by_year(rules: DataFrame, years: DataFrame) -> DataFrame:
+    """(year, raw, canonical) once a year and key, of the given years (year): each year's own rules and those of all years, by precedence.
+
+    Rules: year, raw, canonical; kind (manual or auto) and place are optional.
+    """
+    rules = rules.where("raw is not null and canonical is not null")
+    rules = rules.withColumn("rank", _rank(rules)).select("year", "raw", "canonical", "rank")
+    own = rules.where(~_of_any_year(F.col("year"))).select(F.trim("year").try_cast("int").alias("year"), "raw", "canonical", "rank").join(years, "year", "left_semi")
+    always = rules.where(_of_any_year(F.col("year"))).select(F.lit(1).alias("one"), "raw", "canonical", "rank")
+    every = years.select("year", F.lit(1).alias("one")).join(always, "one").select("year", "raw", "canonical", "rank")
+    return own.unionByName(every).groupBy("year", "raw").agg(F.min_by("canonical", "rank").alias("canonical"))
+
+
+def follow_overrides(rules: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Rules (year, raw, canonical, one a year and key) as (year, raw, canonical) with canonical where their chains end.
+
+    With known (precinct_id: the keys of the map), a rule holds only where its key isn't known,
+    and a chain ends at the first known key; one that ends elsewhere is left out. A chain that
+    never ends, as a pair in both directions, is left out too, so two keys never swap. Each
+    round jumps twice as far as the last; rounds stop when one ends no more chains.
+    """
+    keys = ["year", "raw"]
+    edges = rules.select(*keys, F.col("canonical").alias("to")).where("raw <> to")
+    ends = None
+    if known is not None:
+        ends = known.select(F.col("precinct_id").alias("to")).distinct()
+        edges = edges.join(ends.withColumnRenamed("to", "raw"), "raw", "left_anti")
+    jumps, endless = written(edges), None
+    while True:
+        onward = jumps.select("year", F.col("raw").alias("to"), F.col("to").alias("further"))
+        ahead = jumps.join(onward, ["year", "to"], "left").select(*keys, F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("open"))
+        further = written(ahead)
+        remove(jumps)
+        still = further.where("open").count()
+        if still in (0, endless):
+            break
+        jumps, endless = further, still
+    found = further.where("not open").select(*keys, F.col("to").alias("canonical"))
+    return found if ends is None else found.join(ends.withColumnRenamed("to", "canonical"), "canonical", "left_semi").select(*keys, "canonical")
+
+
+def apply_overrides(rows: DataFrame, rules: DataFrame, key: str = "precinct_id", known: DataFrame | None = None) -> DataFrame:
+    """rows (year, key) with keys replaced by rules (year, raw, canonical; optional kind, place): one key a row, so no vote is lost or counted twice.
+
+    Rules of the row's year come before those of all years (see rules_by_year), chains are
+    followed to their end, and with known, keys of the map stay (see follow_overrides).
+    """
+    years = rows.select("year").where("year is not null").distinct()
+    found = follow_overrides(rules_by_year(rules, years), known).withColumnsRenamed({"raw": key, "canonical": "__canonical"})
+    return rows.join(found, ["year", key], "left").withColumn(key, F.coalesce("__canonical", key)).drop("__canonical")
 
 
 def auto_overrides(raw: DataFrame, canonical: DataFrame, official: DataFrame | None = None) -> DataFrame:
@@ -113,7 +179,10 @@ def bridge_to_vtd(canonical: DataFrame, overlaps: DataFrame) -> DataFrame:
 
 
 def two_way(pairs: DataFrame) -> DataFrame:
-    """Bridge pairs (county, a, b, both) as override rows; pairs with both hold in either direction."""
+    """Bridge pairs (county, a, b, both) as override rows; pairs with both hold in either direction.
+
+    Given to apply_overrides with the map's keys, only the direction towards a known key holds.
+    """
     rows = pairs.select("county", F.col("a").alias("raw"), F.col("b").alias("canonical"))
     back = pairs.where("both").select("county", F.col("b").alias("raw"), F.col("a").alias("canonical"))
     return rows.unionByName(back).select(F.lit("*").alias("year"), F.concat_ws(" - ", "county", "raw").alias("raw"), F.concat_ws(" - ", "county", "canonical").alias("canonical"))

@@ -151,6 +151,17 @@ def party_override(spark, sf_dir):
     return override_party(B.results(spark, sf_dir), rules).groupBy("year", "office", "party_group").agg(F.sum("votes").alias("votes"))
 
 
+@register("k15_rules_by_token", B.oracle(B.RES, select="SELECT year, office, county, CASE WHEN candidate LIKE '% Ash' AND year = 1996 THEN 'other' WHEN year = 1997 AND starts_with(office, '1-') THEN 'rep' ELSE CASE party WHEN 'DEM' THEN 'dem' WHEN 'REP' THEN 'rep' ELSE 'other' END END AS party_group, sum(votes) AS votes FROM res GROUP BY 1, 2, 3, 4"))
+def rules_by_token(spark, sf_dir):
+    """Rules by words that many parts' numbers stand in for, of which three fit; two fit the same rows, and the lower place wins."""
+    from votealloc.operators.allocate import override_party
+
+    idle = B.table(spark, sf_dir, "part").select(F.lit(1996).alias("year"), F.concat(F.lit("PART"), F.col("p_partkey").cast("string")).alias("token"), F.lit("^X").alias("candidate_like"), F.lit("").alias("office_like"), F.lit("dem").alias("to_group"), F.lit(0).alias("place"))
+    rules = spark.createDataFrame([(1996, "ASH", " ASH$", "", "other", 1), (1996, "ASH", "^REP ASH", "", "dem", 2), (1997, None, "", "^1-", "rep", 1)], "year int, token string, candidate_like string, office_like string, to_group string, place int")
+    rows = override_party(B.results(spark, sf_dir), rules.unionByName(idle))
+    return rows.groupBy("year", "office", "county", "party_group").agg(F.sum("votes").alias("votes"))
+
+
 _named("k16_ticket_head", B.CAN, B.candidates, "CASE k % 9 WHEN 0 THEN 'DONALD J. TRUMP' WHEN 1 THEN 'A. Gore' WHEN 2 THEN trim(name) WHEN 4 THEN 'X' WHEN 7 THEN 'BUSH' WHEN 8 THEN 'Obama' ELSE trim(name) END AS head", head=lambda: K.ticket_head(F.col("name")))
 _named("k17_canonical_candidate", B.CAN, B.candidates, "CASE WHEN k % 9 = 2 THEN 'Phil Berger, Jr.' ELSE trim(name) END AS canonical", canonical=lambda: K.canonical_candidate(F.col("name")))
 _named("k18_candidate_fallback", B.CAN, B.candidates, "CASE WHEN trim(name) <> '' THEN trim(name) WHEN votes > 0 THEN 'Democratic (Unspecified)' ELSE 'No Democratic Candidate' END AS candidate", candidate=lambda: K.candidate_or_default(F.col("name"), F.col("votes"), "Democratic"))

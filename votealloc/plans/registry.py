@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from votealloc.sources.scratch import folder
+
+__all__ = ["ORACLES", "QUERIES", "Query", "folder", "register"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -21,13 +23,3 @@ def register(key: str, sql: str | None = None) -> Callable[[Query], Query]:
         return query
 
     return add
-
-
-def folder(spark: SparkSession) -> str:
-    """A new folder in the shared one that spark.checkpoint.dir names; where none is set, a local master (tests) gets a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -137,6 +137,71 @@ def load_overrides(spark, sf_dir):
     return X.load_overrides(rules, 2020)
 
 
+#: Every nation has rules that clash: of a year and of all, manual and automatic, by place; the SQL states the same order.
+_CLASH = """rul AS (
+  SELECT CASE n_nationkey % 3 WHEN 0 THEN '*' WHEN 1 THEN '1996' ELSE '' END AS year, 'auto' AS kind, 1 AS place, upper(n_name) AS raw, concat('A', CAST(n_nationkey AS VARCHAR)) AS canonical FROM nation
+  UNION ALL SELECT '*', 'manual', 2, upper(n_name), concat('M', CAST(n_nationkey AS VARCHAR)) FROM nation WHERE n_nationkey % 2 = 0
+  UNION ALL SELECT '*', 'manual', 1, upper(n_name), concat('N', CAST(n_nationkey AS VARCHAR)) FROM nation WHERE n_nationkey % 4 = 0
+  UNION ALL SELECT '1997', 'auto', 1, upper(n_name), concat('Y', CAST(n_nationkey AS VARCHAR)) FROM nation WHERE n_nationkey % 5 = 0),
+yrs AS (SELECT DISTINCT year FROM res),
+fit AS (SELECT y.year, raw, canonical, row_number() OVER (PARTITION BY y.year, raw ORDER BY rul.year IN ('*', ''), kind <> 'manual', place, canonical) AS n FROM rul JOIN yrs y ON rul.year IN ('*', '', CAST(y.year AS VARCHAR))),
+pick AS (SELECT year, raw, canonical FROM fit WHERE n = 1)"""
+
+
+def _clashing(spark, sf_dir):
+    k = F.col("n_nationkey")
+    rule = lambda fits, year, kind, place, letter: F.when(fits, F.struct(year.alias("year"), F.lit(kind).alias("kind"), F.lit(place).alias("place"), F.concat(F.lit(letter), k.cast("string")).alias("canonical")))
+    some_year = F.when(k % 3 == 0, "*").when(k % 3 == 1, "1996").otherwise("")
+    rules = F.array(rule(F.lit(True), some_year, "auto", 1, "A"), rule(k % 2 == 0, F.lit("*"), "manual", 2, "M"), rule(k % 4 == 0, F.lit("*"), "manual", 1, "N"), rule(k % 5 == 0, F.lit("1997"), "auto", 1, "Y"))
+    return B.table(spark, sf_dir, "nation").select(F.upper("n_name").alias("raw"), F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("r")).select("raw", "r.*")
+
+
+@register("x3_override_precedence", B.oracle(B.RES, _CLASH, select="SELECT year, raw, canonical FROM pick"))
+def override_precedence(spark, sf_dir):
+    return X.rules_by_year(_clashing(spark, sf_dir), B.results(spark, sf_dir).select("year").distinct())
+
+
+@register("x2_clashing_overrides", B.oracle(B.RES, _CLASH, select="SELECT r.year, coalesce(canonical, county) AS precinct_id, sum(votes) AS votes FROM res r LEFT JOIN pick p ON r.year = p.year AND county = raw GROUP BY 1, 2"))
+def clashing_overrides(spark, sf_dir):
+    rows = A.sum_by(B.results(spark, sf_dir).withColumnRenamed("county", "precinct_id"), ["year", "precinct_id"], "votes")
+    return A.sum_by(X.apply_overrides(rows, _clashing(spark, sf_dir)), ["year", "precinct_id"], "votes")
+
+
+#: Chains of up to 25 rules NATION_k to NATION_(k - 1), cycles of NATION_20 to 22 and of the pair 23, 24; every fifth key is on the map.
+_CHAIN = """WITH RECURSIVE hop AS (
+  SELECT upper(n_name) AS raw, CASE n_nationkey WHEN 20 THEN 'NATION_22' WHEN 23 THEN 'NATION_24' WHEN 0 THEN 'NOWHERE' ELSE concat('NATION_', CAST(n_nationkey - 1 AS VARCHAR)) END AS goal,
+         n_nationkey % 5 = 1 AND n_nationkey < 20 AS known FROM nation),
+walk AS (
+  SELECT raw, goal, 1 AS n FROM hop WHERE NOT known
+  UNION ALL SELECT w.raw, h.goal, n + 1 FROM walk w JOIN hop h ON w.goal = h.raw WHERE NOT h.known AND n < 30),
+done AS (SELECT w.raw, w.goal FROM walk w JOIN hop h ON h.raw = w.goal AND h.known)"""
+
+
+def _chained(spark, sf_dir):
+    k = F.col("n_nationkey")
+    goal = F.when(k == 20, "NATION_22").when(k == 23, "NATION_24").when(k == 0, "NOWHERE").otherwise(F.concat(F.lit("NATION_"), (k - 1).cast("string")))
+    nation = B.table(spark, sf_dir, "nation")
+    return nation.select(F.lit("*").alias("year"), F.upper("n_name").alias("raw"), goal.alias("canonical")), nation.where("n_nationkey % 5 = 1 and n_nationkey < 20").select(F.upper("n_name").alias("precinct_id"))
+
+
+@register("x8_bridge_chains", _CHAIN + ",\n" + B.RES + " SELECT year, coalesce(goal, county) AS precinct_id, sum(votes) AS votes FROM res LEFT JOIN done ON county = raw GROUP BY 1, 2")
+def bridge_chains(spark, sf_dir):
+    rules, known = _chained(spark, sf_dir)
+    rows = A.sum_by(B.results(spark, sf_dir).withColumnRenamed("county", "precinct_id"), ["year", "precinct_id"], "votes")
+    return A.sum_by(X.apply_overrides(rows, rules, known=known), ["year", "precinct_id"], "votes")
+
+
+@register("x8_two_way_pairs", B.oracle(B.RES, select="SELECT year, office, CASE WHEN precinct = 'BUILDING' THEN 'HOUSEHOLD' ELSE precinct END AS precinct, county, sum(votes) AS votes FROM res GROUP BY 1, 2, 3, 4"))
+def two_way_pairs(spark, sf_dir):
+    """Pairs in both directions of keys that the map has (MACHINERY, AUTOMOBILE) never swap; of BUILDING and HOUSEHOLD it has the latter."""
+    rows = B.results(spark, sf_dir).groupBy("year", "office", "county", "precinct").agg(F.sum("votes").alias("votes")).withColumn("precinct_id", F.concat_ws(" - ", "county", "precinct"))
+    counties = B.table(spark, sf_dir, "nation").select(F.upper("n_name").alias("county"))
+    pairs = counties.select("county", F.explode(F.array(F.struct(F.lit("MACHINERY").alias("a"), F.lit("AUTOMOBILE").alias("b")), F.struct(F.lit("HOUSEHOLD").alias("a"), F.lit("BUILDING").alias("b")))).alias("p"), F.lit(True).alias("both")).select("county", "p.*", "both")
+    known = counties.select(F.explode(F.array(*[F.concat(F.col("county"), F.lit(f" - {p}")) for p in ("MACHINERY", "AUTOMOBILE", "HOUSEHOLD")])).alias("precinct_id"))
+    moved = X.apply_overrides(rows, X.two_way(pairs), known=known).withColumn("precinct", F.element_at(F.split("precinct_id", " - "), -1))
+    return moved.groupBy("year", "office", "county", "precinct").agg(F.sum("votes").alias("votes"))
+
+
 _MORE = (
     "mf AS (SELECT row_number() OVER (ORDER BY county, code, name) AS k, * FROM (SELECT DISTINCT upper(trim(county)) AS county, label AS code, concat('NEW ', CAST(k % 97 AS VARCHAR)) AS name FROM lab))",
     "mt AS (SELECT k * 3 AS k, upper(trim(code)) AS label FROM mf UNION ALL SELECT k * 3 + 1, upper(trim(name)) FROM mf UNION ALL SELECT k * 3 + 2, concat(upper(trim(code)), ' ', upper(trim(name))) FROM mf)",
