@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from votealloc.functions.measures import half_even, margin_pct, winner
 from votealloc.operators.aggregate import VOTES, top_per_key
+from votealloc.operators.identity import with_identity
 
 GEO = ["county", "office"]
 
@@ -187,12 +188,12 @@ def backfill(rows: DataFrame, shapes: DataFrame, counties: DataFrame, until: int
 TURNOUT = 0.575
 
 
-def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int, str], weight: float = 0.5, bonus: float = 0.0, turnout: float = TURNOUT, need_both: bool = False) -> DataFrame:
+def modeled_contest(rows: DataFrame, first: tuple[int, str], second: tuple[int, str], weight: float = 0.5, bonus: float = 0.0, turnout: float = TURNOUT, need_both: bool = True) -> DataFrame:
     """A contest that wasn't held: two past ones blended by county, turnout scaled, margins kept.
 
     weight is the first's part of the two-party share; bonus in points goes to DEM. Both, and
-    the blend itself, are parameters of ours. Where a county has no two-party votes in one of
-    the two, the blend counts as 0 for DEM; with need_both the county gets no row.
+    the blend itself, are parameters of ours. A county without two-party votes in one of the two gets
+    no row; without need_both, the blend counts as 0 for DEM there.
     """
     def share(which: tuple[int, str], name: str) -> DataFrame:
         picked = rows.where((F.col("year") == which[0]) & (F.col("office") == which[1]))
@@ -217,10 +218,27 @@ def census_check(trend: DataFrame, people: DataFrame, fast: float = 5.0) -> Data
     return rows.withColumn("note", note)
 
 
-def trend_series(rows: DataFrame, precinct_rows: DataFrame, names: DataFrame) -> DataFrame:
-    """Margin history of each precinct (names: county, precinct_id) by contest; the county's where it has none of its own."""
+def trend_series(rows: DataFrame, precinct_rows: DataFrame, names: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """Margin history of each precinct by contest (year and margin_pct in order); the county's where it has none of its own in that contest.
+
+    names (county, precinct_id) are the precincts asked for; those of precinct_rows with a
+    county count as asked for too. With roots (county, name, root; see identity.identities), a
+    precinct's history is that of all its spellings, votes of one year added up.
+    """
     point = F.array_sort(F.collect_list(F.struct("year", "margin_pct")))
-    own = precinct_rows.groupBy("precinct_id", "office").agg(point.alias("series")).withColumn("level", F.lit("precinct"))
     county = rows.groupBy("county", "office").agg(point.alias("series"))
-    lost = names.join(own.select("precinct_id").distinct(), "precinct_id", "left_anti").join(county, "county").select("precinct_id", "office", "series", F.lit("county").alias("level"))
-    return own.unionByName(lost)
+    wanted = names.select("county", "precinct_id")
+    if roots is None:
+        own = precinct_rows.groupBy("precinct_id", "office").agg(point.alias("series"))
+        if "county" in precinct_rows.columns:
+            wanted = wanted.unionByName(precinct_rows.select("county", "precinct_id"))
+        wanted = wanted.distinct()
+    else:
+        by_root = with_identity(precinct_rows, roots)
+        sums = with_margin(by_root.groupBy("county", "root", "office", "year").agg(*[F.sum(c).alias(c) for c in VOTES]))
+        wanted = wanted.unionByName(precinct_rows.select("county", "precinct_id")).distinct()
+        series = sums.groupBy("county", "root", "office").agg(point.alias("series"))
+        own = with_identity(wanted, roots).join(series, ["county", "root"]).select("precinct_id", "office", "series")
+    asked = wanted.join(county, "county")
+    lost = asked.join(own.select("precinct_id", "office"), ["precinct_id", "office"], "left_anti").select("precinct_id", "office", "series", F.lit("county").alias("level"))
+    return own.withColumn("level", F.lit("precinct")).select("precinct_id", "office", "series", "level").unionByName(lost)

@@ -12,6 +12,7 @@ from votealloc.operators import demographics as P
 from votealloc.operators import geometry as G
 from votealloc.operators import reports as Q
 from votealloc.operators import resolve as X
+from votealloc.operators.identity import identities
 from votealloc.plans import binding as B
 from votealloc.plans.allocation_queries import _COLOR, _THREE, _WTS, _precincts, _rounded, _weights
 from votealloc.plans.key_queries import _CLEANED, _TOKEN, _VARIANTS, CT as COUNTY, P as LABEL
@@ -673,7 +674,30 @@ def historical_backfill(spark, sf_dir):
     return Y.backfill(_precincts(spark, sf_dir), B.blocks(spark, sf_dir).select("county", "precinct_id"), counties, 1998)
 
 
-_ty("y16_modeled_contest", f"SELECT {_COLS.replace('year, office, ', '')} FROM ({_CM[len('cm AS ('):-1].replace('FROM cty', 'FROM mc')})", lambda s, d, t: Y.modeled_contest(t, (1996, "1-URGENT"), (1998, "2-HIGH"), 0.6, 1.5), "mx AS (SELECT a.county, least(greatest(a.dem_votes / nullif(a.dem_votes + a.rep_votes, 0) * 0.6 + b.dem_votes / nullif(b.dem_votes + b.rep_votes, 0) * (1 - 0.6) + 1.5 / 100, 0), 1) AS sh, round_even(round(greatest(a.dem_votes + a.rep_votes, b.dem_votes + b.rep_votes) * 0.575, 9), 0) AS size FROM cty a JOIN cty b ON a.county = b.county WHERE a.year = 1996 AND a.office = '1-URGENT' AND b.year = 1998 AND b.office = '2-HIGH'), mc AS (SELECT county, round_even(round(size * sh, 9), 0) AS dem_votes, size - round_even(round(size * sh, 9), 0) AS rep_votes, 0.0 AS other_votes FROM mx WHERE sh IS NOT NULL)")
+_ty("y16_modeled_contest", f"SELECT {_COLS.replace('year, office, ', '')} FROM ({_CM[len('cm AS ('):-1].replace('FROM cty', 'FROM mc')})", lambda s, d, t: Y.modeled_contest(t, (1996, "1-URGENT"), (1998, "2-HIGH"), 0.6, 1.5), "mx AS (SELECT a.county, least(greatest(a.dem_votes / nullif(a.dem_votes + a.rep_votes, 0) * 0.6 + b.dem_votes / nullif(b.dem_votes + b.rep_votes, 0) * (1 - 0.6) + 1.5 / 100, 0), 1) AS sh, round_even(round(greatest(a.dem_votes + a.rep_votes, b.dem_votes + b.rep_votes) * 0.575, 9), 0) AS size, a.dem_votes + a.rep_votes > 0 AND b.dem_votes + b.rep_votes > 0 AS both_held FROM cty a JOIN cty b ON a.county = b.county WHERE a.year = 1996 AND a.office = '1-URGENT' AND b.year = 1998 AND b.office = '2-HIGH'), mc AS (SELECT county, round_even(round(size * sh, 9), 0) AS dem_votes, size - round_even(round(size * sh, 9), 0) AS rep_votes, 0.0 AS other_votes FROM mx WHERE both_held)")
+#: Bisection for each county's factor, then largest remainders; the query finds the same whole votes by Newton steps.
+_FITTED = """bp AS (
+  SELECT county, precinct_id, sum(dem_votes) AS d, sum(dem_votes + rep_votes) AS n, sum(CASE WHEN year = 1998 THEN dem_votes + rep_votes ELSE 0 END) AS size FROM pre
+  WHERE (year = 1996 AND office = '1-URGENT') OR (year = 1998 AND office = '2-HIGH') GROUP BY 1, 2),
+bt AS (SELECT county, precinct_id, (d + 0.5::DOUBLE) / (n + 1) AS seed, round((dem_votes + rep_votes) * size / sum(size) OVER (PARTITION BY county), 9) AS part, dem_votes + rep_votes AS county_size, dem_votes AS county_dem, rep_votes AS county_rep FROM bp JOIN mc USING (county) QUALIFY sum(size) OVER (PARTITION BY county) > 0),
+bs AS (SELECT *, floor(part) + CASE WHEN row_number() OVER (PARTITION BY county ORDER BY round(part - floor(part), 9) DESC, precinct_id) <= county_size - sum(floor(part)) OVER (PARTITION BY county) THEN 1 ELSE 0 END AS turnout FROM bt),
+halves AS (
+  SELECT county, -60::DOUBLE AS low, 60::DOUBLE AS high, 0 AS n FROM (SELECT DISTINCT county FROM bs)
+  UNION ALL
+  SELECT county, CASE WHEN s < county_dem THEN (low + high) / 2 ELSE low END, CASE WHEN s < county_dem THEN high ELSE (low + high) / 2 END, n + 1
+  FROM (SELECT h.county, any_value(low) AS low, any_value(high) AS high, any_value(n) AS n, any_value(county_dem) AS county_dem, sum(turnout / (1 + exp(-(ln(seed / (1 - seed)) + (low + high) / 2)))) AS s FROM halves h JOIN bs USING (county) WHERE n < 70 GROUP BY h.county)),
+fd AS (SELECT bs.*, round(CASE WHEN county_dem = 0 THEN 0 WHEN county_rep = 0 THEN turnout ELSE turnout / (1 + exp(-(ln(seed / (1 - seed)) + (low + high) / 2))) END, 6) AS dem FROM bs JOIN halves h ON bs.county = h.county AND h.n = 70),
+fw AS (SELECT county, precinct_id, turnout, floor(dem) + CASE WHEN row_number() OVER (PARTITION BY county ORDER BY round(dem - floor(dem), 6) DESC, precinct_id) <= county_dem - sum(floor(dem)) OVER (PARTITION BY county) THEN 1 ELSE 0 END AS dem_votes FROM fd)"""
+
+
+def _modeled_precincts(s, d, t):
+    from votealloc.operators.scenarios import modeled_precincts
+
+    return modeled_precincts(t, _precincts(s, d), (1996, "1-URGENT"), (1998, "2-HIGH"), weight=0.6, bonus=1.5).select("county", "precinct_id", "dem_votes", "rep_votes")
+
+
+_MX = "mx AS (SELECT a.county, least(greatest(a.dem_votes / nullif(a.dem_votes + a.rep_votes, 0) * 0.6 + b.dem_votes / nullif(b.dem_votes + b.rep_votes, 0) * (1 - 0.6) + 1.5 / 100, 0), 1) AS sh, round_even(round(greatest(a.dem_votes + a.rep_votes, b.dem_votes + b.rep_votes) * 0.575, 9), 0) AS size, a.dem_votes + a.rep_votes > 0 AND b.dem_votes + b.rep_votes > 0 AS both_held FROM cty a JOIN cty b ON a.county = b.county WHERE a.year = 1996 AND a.office = '1-URGENT' AND b.year = 1998 AND b.office = '2-HIGH'), mc AS (SELECT county, round_even(round(size * sh, 9), 0) AS dem_votes, size - round_even(round(size * sh, 9), 0) AS rep_votes FROM mx WHERE both_held)"
+register("y16_modeled_precincts", "WITH RECURSIVE " + ",\n".join([B.RES, B.CTY, B.PRE, _MX, _FITTED]) + "\nSELECT county, precinct_id, dem_votes::DOUBLE AS dem_votes, (turnout - dem_votes)::DOUBLE AS rep_votes FROM fw")(lambda s, d: _modeled_precincts(s, d, _trend(s, d)))
 _PE = "pe AS (SELECT upper(n_name) AS county, CAST(1000 + n_nationkey AS DOUBLE) AS base, CAST(1010 + n_nationkey * 3 AS DOUBLE) AS before, CAST(1000 + n_nationkey * 6 - 20 AS DOUBLE) AS latest_people FROM nation)"
 
 
@@ -687,9 +711,28 @@ def _growth(s, d, t):
 _ty("y17_census_check", "SELECT county, office, f AS first, l AS latest, base, before, latest_people, round((latest_people - base) / base * 100, 4) AS growth_pct, round((latest_people - before) / before * 100, 4) AS last_year_pct, CASE WHEN (latest_people - base) / base * 100 >= 5 AND l > f THEN 'fast growth, moving right' WHEN (latest_people - base) / base * 100 >= 5 AND l < f THEN 'fast growth, moving left' WHEN latest_people < base THEN 'declining' ELSE 'mixed growth' END AS note FROM h2 JOIN pe USING (county)", _growth, _HI, _PE)
 
 
-@register("y20_trend_series", B.oracle(B.RES, B.BLK, B.CTY, _CM, B.PRE, "pm AS (SELECT precinct_id, office, year, round(coalesce((rep_votes - dem_votes) / nullif(dem_votes + rep_votes + other_votes, 0) * 100, 0), 4) AS m FROM pre)", "n AS (SELECT DISTINCT county, precinct_id FROM blk)", select="SELECT precinct_id, office, string_agg(concat(CAST(year AS VARCHAR), ':', CASE WHEN m > 0 THEN 'R' WHEN m < 0 THEN 'D' ELSE '-' END), ',' ORDER BY year) AS series, 'precinct' AS level FROM pm GROUP BY 1, 2 UNION ALL SELECT n.precinct_id, office, string_agg(concat(CAST(year AS VARCHAR), ':', CASE WHEN margin_pct > 0 THEN 'R' WHEN margin_pct < 0 THEN 'D' ELSE '-' END), ',' ORDER BY year), 'county' FROM n JOIN cm USING (county) WHERE precinct_id NOT IN (SELECT precinct_id FROM pm) GROUP BY 1, 2"))
+@register("y20_trend_series", B.oracle(B.RES, B.BLK, B.CTY, _CM, B.PRE, "pm AS (SELECT precinct_id, office, year, round(coalesce((rep_votes - dem_votes) / nullif(dem_votes + rep_votes + other_votes, 0) * 100, 0), 4) AS m FROM pre)", "n AS (SELECT DISTINCT county, precinct_id FROM blk)", select="SELECT precinct_id, office, string_agg(concat(CAST(year AS VARCHAR), ':', CASE WHEN m > 0 THEN 'R' WHEN m < 0 THEN 'D' ELSE '-' END), ',' ORDER BY year) AS series, 'precinct' AS level FROM pm GROUP BY 1, 2 UNION ALL SELECT n.precinct_id, office, string_agg(concat(CAST(year AS VARCHAR), ':', CASE WHEN margin_pct > 0 THEN 'R' WHEN margin_pct < 0 THEN 'D' ELSE '-' END), ',' ORDER BY year), 'county' FROM (SELECT county, precinct_id FROM n UNION SELECT county, precinct_id FROM pre) n JOIN cm USING (county) WHERE (precinct_id, office) NOT IN (SELECT (precinct_id, office) FROM pm) GROUP BY 1, 2"))
 def trend_series(spark, sf_dir):
     names = B.blocks(spark, sf_dir).select("county", "precinct_id").distinct()
     out = Y.trend_series(_trend(spark, sf_dir), Y.with_margin(_precincts(spark, sf_dir)), names)
     side = lambda p: F.concat(p["year"].cast("string"), F.lit(":"), F.when(p["margin_pct"] > 0, "R").when(p["margin_pct"] < 0, "D").otherwise("-"))
     return out.withColumn("series", F.array_join(F.transform("series", side), ","))
+
+
+#: From 1997 on half of the counties spell BUILDING another way, from 1998 a third of those a third way.
+_SPELL = "CASE WHEN precinct = 'BUILDING' AND year >= 1998 AND n % 6 = 0 THEN 'BLD' WHEN precinct = 'BUILDING' AND year >= 1997 AND n % 2 = 0 THEN 'BLDG' ELSE precinct END"
+
+
+@register("y20_series_by_identity", B.oracle(B.RES, B.CTY, _CM, B.PRE, "pm AS (SELECT county, precinct_id, office, year, round(coalesce((rep_votes - dem_votes) / nullif(dem_votes + rep_votes + other_votes, 0) * 100, 0), 4) AS m FROM pre)", "sp AS (SELECT county, precinct_id, office, string_agg(concat(CAST(year AS VARCHAR), ':', CASE WHEN m > 0 THEN 'R' WHEN m < 0 THEN 'D' ELSE '-' END), ',' ORDER BY year) AS series FROM pm GROUP BY 1, 2, 3)", "nm AS (SELECT DISTINCT county, CAST(substr(county, 8) AS INT) AS n, year, precinct, concat(county, ' - ', precinct) AS precinct_id FROM res WHERE precinct <> 'ABSENTEE')", f"al AS (SELECT DISTINCT county, precinct_id, concat(county, ' - ', {_SPELL}) AS spelled FROM nm)", select="SELECT DISTINCT spelled AS precinct_id, office, series, 'precinct' AS level FROM al JOIN sp USING (county, precinct_id) UNION ALL SELECT DISTINCT spelled, office, string_agg(concat(CAST(year AS VARCHAR), ':', CASE WHEN margin_pct > 0 THEN 'R' WHEN margin_pct < 0 THEN 'D' ELSE '-' END), ',' ORDER BY year) OVER (PARTITION BY spelled, office ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 'county' FROM (SELECT DISTINCT county, precinct_id, spelled FROM al) JOIN cm USING (county) WHERE (precinct_id, office) NOT IN (SELECT (precinct_id, office) FROM sp)"))
+def series_by_identity(spark, sf_dir):
+    """One series spans three spellings that links of a bridge table chain together; every spelling gets the whole."""
+    n = F.substring("county", 8, 9).cast("int")
+    code = F.element_at(F.split("precinct_id", " - "), -1)
+    other = F.when((code == "BUILDING") & (F.col("year") >= 1998) & (n % 6 == 0), "BLD").when((code == "BUILDING") & (F.col("year") >= 1997) & (n % 2 == 0), "BLDG").otherwise(code)
+    rows = _precincts(spark, sf_dir).withColumn("precinct_id", F.concat_ws(" - ", "county", other))
+    county = B.table(spark, sf_dir, "nation").select(F.upper("n_name").alias("county"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in (("BUILDING", "BLDG"), ("BLDG", "BLD"))])).alias("p")
+    links = county.select("county", pairs).select("county", *[F.concat_ws(" - ", "county", f"p.{x}").alias(x) for x in "ab"])
+    out = Y.trend_series(_trend(spark, sf_dir), Y.with_margin(rows), rows.select("county", "precinct_id"), identities(links))
+    side = lambda p: F.concat(p["year"].cast("string"), F.lit(":"), F.when(p["margin_pct"] > 0, "R").when(p["margin_pct"] < 0, "D").otherwise("-"))
+    return out.withColumn("series", F.array_join(F.transform("series", side), ","))
