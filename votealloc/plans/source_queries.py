@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from votealloc.functions.measures import with_measures
 from votealloc.operators import aggregate as A
 from votealloc.operators import geometry as G
 from votealloc.plans import binding as B
 from votealloc.plans.registry import folder, register
 from votealloc.plans.report_queries import _points, _rings
+from votealloc.plans.report_queries import _SH, _SL, _slices
 from votealloc.sources import readers as S
+from votealloc.sources import sinks as K
+from votealloc.sources import slices as L
 
 
 _RECT = "rect AS (SELECT upper(n_name) AS district, (n_nationkey % 5)::DOUBLE AS x0, (n_nationkey // 5)::DOUBLE AS y0 FROM nation)"
@@ -194,3 +198,67 @@ def order_output(spark, sf_dir):
 def except_keys(spark, sf_dir):
     rows = A.require(B.results(spark, sf_dir), "year", "county").select("county").distinct()
     return rows.exceptAll(B.blocks(spark, sf_dir).where("vap > 9900").select("county").distinct())
+
+
+# Slices under their own names.
+def _coverage(spark, sf_dir):
+    """Result rows of a contest as keys, and those with a place as matched ones."""
+    rows = B.results(spark, sf_dir).groupBy("year", F.lit("county").alias("scope"), F.col("office").alias("contest_type")).agg(F.count("*").alias("total_precinct_keys"), F.count_if(F.col("precinct") != "ABSENTEE").alias("matched_precinct_keys"))
+    return L.slice_meta(rows.withColumn("office", F.col("contest_type")), "batch", "by_candidate")
+
+
+def _written_slices(spark, sf_dir):
+    path = folder(spark)
+    L.write_slices(_slices(spark, sf_dir), path, _coverage(spark, sf_dir))
+    return path
+
+
+_MT = "mt AS (SELECT year, office AS contest_type, count(*) AS total_keys, sum(CASE WHEN precinct <> 'ABSENTEE' THEN 1 ELSE 0 END)::BIGINT AS matched_keys FROM res GROUP BY 1, 2)"
+_PCT = "coalesce(round(100.0 * matched_keys / total_keys, 2), 0)::DOUBLE"
+
+
+@register("k_s1_named_slices", B.oracle(B.RES, _MT, select=f"SELECT concat('county_', contest_type, '_', CAST(year AS VARCHAR), '.json') AS file, year, 'county' AS scope, contest_type, contest_type AS office, 'batch' AS source, 'by_candidate' AS nongeo_allocation_mode, matched_keys AS matched_precinct_keys, total_keys AS total_precinct_keys, {_PCT} AS match_coverage_pct FROM mt"))
+def named_slices(spark, sf_dir):
+    """The documents' own keys and meta, by file name."""
+    docs = spark.read.schema(spark.createDataFrame([], L._DOC).schema).option("pathGlobFilter", "county_*.json").json(_written_slices(spark, sf_dir), multiLine=True)
+    return docs.select(L._plain(F.col("_metadata.file_name")).alias("file"), "year", "scope", "contest_type", "meta.*")
+
+
+@register("s12_slices_by_manifest", B.oracle(B.RES, B.CTY, _SL, select="SELECT scope, contest_type, year, count(*) AS districts FROM sl WHERE year <> 1998 OR starts_with(contest_type, '1-') GROUP BY 1, 2, 3"))
+def slices_by_manifest(spark, sf_dir):
+    """A manifest that leaves most slices of 1998 out, has lines without keys and of files that don't exist, leads the listing."""
+    path = _written_slices(spark, sf_dir)
+    lines = L.read_manifest(spark, path)
+    kept = lines.where("year <> '1998' or contest_type like '1-%'").withColumns({c: F.when(F.col("year") != "1996", F.col(c)) for c in ("scope", "contest_type")})
+    other = folder(spark)
+    L.write_slices(_slices(spark, sf_dir), other)
+    spark._jvm.org.apache.hadoop.fs.Path(other, L.MANIFEST_NAME).getFileSystem(spark._jsc.hadoopConfiguration()).delete(spark._jvm.org.apache.hadoop.fs.Path(other, L.MANIFEST_NAME), False)
+    L.write_manifest(kept.unionByName(kept.limit(1).withColumn("file", F.lit("county_9-GONE_1996.json"))), other)
+    found = L.discover_slices(spark, other, ("county",))
+    counts = lines.select(F.col("scope"), "contest_type", F.col("year").cast("int").alias("year"), "districts")
+    return found.join(counts, ["scope", "contest_type", "year"]).select("scope", "contest_type", "year", "districts")
+
+
+@register("k_s8_points_of_slices", B.oracle(B.RES, B.CTY, _SL, _MT, select=f"SELECT 2024 AS lines_year, scope, contest_type, year, district, dem_votes::BIGINT AS dem_votes, rep_votes::BIGINT AS rep_votes, other_votes::BIGINT AS other_votes, total_votes::BIGINT AS total_votes, {_SH}, margin::BIGINT AS margin_votes, round(pct, 2) AS margin_pct, CASE WHEN rep_votes > dem_votes THEN 'REP' WHEN dem_votes > rep_votes THEN 'DEM' ELSE 'TIE' END AS winner, {_PCT} AS match_coverage_pct, matched_keys AS matched_precinct_keys, total_keys AS total_precinct_keys, '' AS dem_candidate, '' AS rep_candidate, concat('county_', contest_type, '_', CAST(year AS VARCHAR), '.json') AS source_file FROM sl JOIN mt USING (year, contest_type)"))
+def points_of_slices(spark, sf_dir):
+    """All 21 columns from files; the source file without its folder, whose name is new each time."""
+    rows = L.export_points(L.scan_slices(spark, [_written_slices(spark, sf_dir)], ("county",)), 2024)
+    return rows.withColumn("source_file", L._plain(F.element_at(F.split("source_file", "/"), -1)))
+
+
+@register("k_s6_split_contents", B.oracle(B.RES, B.CTY, _SL, select="SELECT year, contest_type, district, dem_votes::BIGINT AS dem_votes, rep_votes::BIGINT AS rep_votes, 0::BIGINT AS other_votes FROM sl WHERE dem_votes + rep_votes > 0"))
+def split_contents(spark, sf_dir):
+    """A consolidated file is read, cut to a file a contest and year, and read again; rows without votes are left out."""
+    rows = scan_nested_results(spark, sf_dir).select("year", F.lit("county").alias("scope"), F.col("office").alias("contest_type"), F.col("key").alias("district"), *[F.col(c).cast("double").alias(c) for c in ("dem_votes", "rep_votes")], F.lit(0.0).alias("other_votes"))
+    path = folder(spark)
+    L.write_slices(with_measures(rows).where("total_votes > 0"), path)
+    return L.scan_slices(spark, [path], ("county",)).select("year", "contest_type", "district", *A.VOTES)
+
+
+@register("k_s2_contest_rows", B.oracle(B.RES, B.CTY, _SL, select="SELECT year, contest_type, (row_number() OVER (PARTITION BY year, contest_type ORDER BY district) - 1)::INTEGER AS place, district, dem_votes, rep_votes, other_votes, total_votes, margin, round(pct, 2) AS margin_pct, sum(dem_votes) OVER w AS dem_total, sum(rep_votes) OVER w AS rep_total, sum(other_votes) OVER w AS other_total FROM sl WHERE total_votes > 0 WINDOW w AS (PARTITION BY year, contest_type)"))
+def contest_rows(spark, sf_dir):
+    """The documents' rows, in the order in which they hold them, and their totals."""
+    fields = ["district string", *[f"{c} double" for c in (*A.VOTES, "total_votes", "margin", "margin_pct")]]
+    docs = K.contest_slices(_slices(spark, sf_dir), "district")
+    rows = docs.select("year", "contest_type", *[f"{p}_total" for p in A.PARTIES], F.posexplode(F.from_json("rows", f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in fields)}>>")).alias("place", "r"))
+    return rows.select("year", "contest_type", "place", "r.*", *[f"{p}_total" for p in A.PARTIES])
