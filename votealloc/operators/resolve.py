@@ -140,19 +140,58 @@ def alias_index(features: DataFrame) -> DataFrame:
     return rows.select("county", F.explode(K.alias_variants(F.col("text"))).alias("alias"), "canonical").distinct()
 
 
+def _feature_forms(more: DataFrame, *keep: str) -> DataFrame:
+    """(keep, county, feature, alias): every form of the code, the name and both, of features (county, code, name)."""
+    texts = F.array(K.norm(F.col("code")), K.norm(F.col("name")), F.concat_ws(" ", K.norm(F.col("code")), K.norm(F.col("name"))))
+    rows = more.select(*keep, K.norm(F.col("county")).alias("county"), F.struct("code", "name").alias("feature"), F.explode(texts).alias("text"))
+    return rows.select(*keep, "county", "feature", F.explode(K.alias_variants(F.col("text"))).alias("alias")).distinct()
+
+
+def _new_aliases(forms: DataFrame, hits: DataFrame) -> DataFrame:
+    """(county, alias, canonical): forms of the features whose hits name one canonical key, where one such key has the form."""
+    owner = hits.groupBy("county", "feature").agg(F.count_distinct("canonical").alias("n"), F.min("canonical").alias("canonical")).where("n = 1").drop("n")
+    fresh = forms.join(owner, ["county", "feature"]).select("county", "alias", "canonical").distinct()
+    return fresh.groupBy("county", "alias").agg(F.count("*").alias("n"), F.min("canonical").alias("canonical")).where("n = 1").drop("n")
+
+
 def enrich_alias_index(index: DataFrame, more: DataFrame) -> DataFrame:
     """New aliases of more (county, code, name) that point to exactly one canonical key, to add to index.
 
     A feature belongs to the keys that its code or name already stands for. All features are
     judged against the index as it was, so their order doesn't matter.
     """
-    county = K.norm(F.col("county"))
-    texts = F.array(K.norm(F.col("code")), K.norm(F.col("name")), F.concat_ws(" ", K.norm(F.col("code")), K.norm(F.col("name"))))
-    forms = more.select(county.alias("county"), F.struct("code", "name").alias("feature"), F.explode(texts).alias("text")).select("county", "feature", F.explode(K.alias_variants(F.col("text"))).alias("alias")).distinct()
-    owner = forms.join(index, ["county", "alias"]).groupBy("county", "feature").agg(F.count_distinct("canonical").alias("n"), F.min("canonical").alias("canonical")).where("n = 1")
-    fresh = forms.join(owner.drop("n"), ["county", "feature"]).select("county", "alias", "canonical").distinct()
-    once = fresh.groupBy("county", "alias").agg(F.count("*").alias("n"), F.min("canonical").alias("canonical")).where("n = 1").drop("n")
-    return once.join(index.select("county", "alias"), ["county", "alias"], "left_anti")
+    forms = _feature_forms(more)
+    return _new_aliases(forms, forms.join(index, ["county", "alias"])).join(index.select("county", "alias"), ["county", "alias"], "left_anti")
+
+
+def grow_alias_index(index: DataFrame, vintages: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """New aliases (pass, county, alias, canonical) of vintages (county, code, name) in turn, and how many each pass (from 1) added.
+
+    A pass judges its features against the index and what earlier passes added, as
+    enrich_alias_index does. The index is joined once, with the forms of all vintages; after
+    that, a pass joins only the few aliases that passes before it added. Each pass's aliases are
+    written, so plans don't grow.
+    """
+    tagged = [v.select(F.lit(n).alias("pass"), "county", "code", "name") for n, v in enumerate(vintages, 1)]
+    every = tagged[0]
+    for more in tagged[1:]:
+        every = every.unionByName(more)
+    forms = written(_feature_forms(every, "pass"))
+    at_first = written(forms.join(index, ["county", "alias"]).select("pass", "county", "feature", "canonical", "alias"))
+    # Aliases that the index has already are known by the first join.
+    known = at_first.select("county", "alias").distinct()
+    added = None
+    for n in range(1, len(vintages) + 1):
+        own, hits = forms.where(F.col("pass") == n).drop("pass"), at_first.where(F.col("pass") == n).select("county", "feature", "canonical")
+        old = known
+        if added is not None:
+            hits = hits.unionByName(own.join(added, ["county", "alias"]).select("county", "feature", "canonical"))
+            old = known.unionByName(added.select("county", "alias"))
+        fresh = written(_new_aliases(own, hits).join(old, ["county", "alias"], "left_anti").select(F.lit(n).alias("pass"), "county", "alias", "canonical"))
+        added = fresh if added is None else added.unionByName(fresh)
+    counts = added.groupBy("pass").agg(F.count("*").alias("added"))
+    passes = added.sparkSession.range(1, len(vintages) + 1).select(F.col("id").cast("int").alias("pass"))
+    return added, passes.join(counts, "pass", "left").select("pass", F.coalesce("added", F.lit(0).cast("long")).alias("added"))
 
 
 def resolve_keys(keys: DataFrame, index: DataFrame) -> DataFrame:

@@ -220,6 +220,23 @@ def theta_join(spark, sf_dir):
     return A.sum_by(vintage_by_year(B.results(spark, sf_dir), [(1995, 1996, "old"), (1997, 1999, "mid"), (2000, 9999, "new")]), ["vintage"], "votes")
 
 
+@register("j7_first_range", """WITH rng AS (
+  SELECT p_partkey * 3 % 1501 AS low, p_partkey * 3 % 1501 + CASE p_partkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 40 WHEN 2 THEN 0 ELSE 700 END AS high, p_partkey % 9 AS place, p_name AS name FROM part
+  UNION ALL SELECT NULL, 60, 3, 'low end' UNION ALL SELECT 1450, NULL, 0, 'high end')
+SELECT c_custkey AS k, name FROM customer LEFT JOIN rng ON (low IS NULL OR c_custkey >= low) AND (high IS NULL OR c_custkey <= high)
+QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY place, coalesce(low, -1e9), coalesce(high, 1e9), name) = 1""")
+def first_range_join(spark, sf_dir):
+    """Of very many overlapping ranges, narrow, wide and open, the first by place for each customer."""
+    from votealloc.operators.ranges import first_range
+
+    k = F.col("p_partkey")
+    low = (k * 3 % 1501).cast("long")
+    more = F.when(k % 4 == 0, 2).when(k % 4 == 1, 40).when(k % 4 == 2, 0).otherwise(700)
+    ranges = B.table(spark, sf_dir, "part").select(low.alias("low"), (low + more).alias("high"), (k % 9).alias("place"), F.col("p_name").alias("name"))
+    ends = spark.createDataFrame([(None, 60, 3, "low end"), (1450, None, 0, "high end")], "low long, high long, place long, name string")
+    return first_range(B.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), ranges.unionByName(ends), "k", how="left")
+
+
 @register("j8_prefix_join", B.oracle(B.BLK, select="""SELECT a.county, a.short, min(b.precinct_id) AS precinct_id FROM (SELECT DISTINCT county, substr(precinct_id, 1, length(county) + 5) AS short FROM blk) a
   JOIN (SELECT DISTINCT county, precinct_id FROM blk) b ON a.county = b.county AND starts_with(b.precinct_id, a.short) GROUP BY 1, 2 HAVING count(*) = 1"""))
 def prefix_join(spark, sf_dir):

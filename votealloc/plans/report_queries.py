@@ -219,6 +219,44 @@ def enrich_alias_index(spark, sf_dir):
     return X.enrich_alias_index(X.alias_index(_features(spark, sf_dir)), more)
 
 
+def _pass(n: int, code: str, name: str, earlier: tuple[int, ...]) -> tuple[str, ...]:
+    """One pass of growth as SQL: features p{n}, their forms, owners by the index and earlier passes, and the new aliases a{n}."""
+    known = "SELECT county, alias, canonical FROM idx" + "".join(f" UNION ALL SELECT county, alias, canonical FROM a{k}" for k in earlier)
+    return (
+        f"p{n} AS (SELECT row_number() OVER (ORDER BY county, code, name) AS k, * FROM (SELECT DISTINCT upper(trim(county)) AS county, {code} AS code, {name} AS name FROM lab))",
+        f"t{n} AS (SELECT k * 3 AS k, upper(trim(code)) AS label FROM p{n} UNION ALL SELECT k * 3 + 1, upper(trim(name)) FROM p{n} UNION ALL SELECT k * 3 + 2, concat(upper(trim(code)), ' ', upper(trim(name))) FROM p{n})",
+        _forms(f"t{n}", f"p{n}"),
+        f"""f{n} AS (SELECT DISTINCT m.county, m.k AS f, vp{n}.a AS alias FROM vp{n} JOIN p{n} m ON m.k = vp{n}.k // 3 WHERE vp{n}.a <> ''),
+k{n} AS ({known}),
+o{n} AS (SELECT f, min(canonical) AS canonical FROM f{n} JOIN k{n} USING (county, alias) GROUP BY f HAVING count(DISTINCT canonical) = 1),
+a{n} AS (SELECT county, alias, min(canonical) AS canonical FROM (SELECT DISTINCT county, alias, canonical FROM f{n} JOIN o{n} USING (f)) WHERE (county, alias) NOT IN (SELECT (county, alias) FROM k{n}) GROUP BY 1, 2 HAVING count(*) = 1)""",
+    )
+
+
+_NEW, _OLD, _ELDER = ((f"concat('{w} ', CAST(k % {m} AS VARCHAR))") for w, m in (("NEW", 97), ("OLD", 89), ("ELDER", 83)))
+_PASSES = (*_pass(1, "label", _NEW, ()), *_pass(2, _NEW, _OLD, (1,)), *_pass(3, _OLD, _ELDER, (1, 2)))
+
+
+def _vintages(spark, sf_dir):
+    """Three maps in turn; each knows the names of the one before as codes."""
+    rows, k = B.labels(spark, sf_dir), F.col("k")
+    new, old, elder = (F.concat(F.lit(f"{w} "), (k % m).cast("string")) for w, m in (("NEW", 97), ("OLD", 89), ("ELDER", 83)))
+    return [rows.select("county", code.alias("code"), name.alias("name")) for code, name in ((F.col("label"), new), (new, old), (old, elder))]
+
+
+_GROW = (B.LAB, _FEAT, _TEXTS, _forms("lab2", "1"), _INDEX, *_PASSES)
+
+
+@register("x5_growth_by_vintage", B.oracle(*_GROW, select=" UNION ALL ".join(f"SELECT {n} AS pass, county, alias, canonical FROM a{n}" for n in (1, 2, 3))))
+def growth_by_vintage(spark, sf_dir):
+    return X.grow_alias_index(X.alias_index(_features(spark, sf_dir)), _vintages(spark, sf_dir))[0]
+
+
+@register("x5_growth_counts", B.oracle(*_GROW, select=" UNION ALL ".join(f"SELECT {n} AS pass, (SELECT count(*) FROM a{n}) AS added" for n in (1, 2, 3))))
+def growth_counts(spark, sf_dir):
+    return X.grow_alias_index(X.alias_index(_features(spark, sf_dir)), _vintages(spark, sf_dir))[1]
+
+
 _OVER = "ov AS (SELECT precinct_id, CAST(k % 7 AS VARCHAR) AS vtd, sum(vap)::DOUBLE AS area FROM blk GROUP BY 1, 2)"
 
 

@@ -194,6 +194,8 @@ def vtd_people(rows: DataFrame, state: str, state_col: str, county_col: str, vtd
 
 
 def vintage_by_year(rows: DataFrame, vintages: list[tuple[int, int, str]]) -> DataFrame:
-    """rows with the vintage whose years hold the row's: a range join with a few rows."""
-    table = rows.sparkSession.createDataFrame(vintages, "year_from int, year_to int, vintage string")
-    return rows.join(F.broadcast(table), F.col("year").between(F.col("year_from"), F.col("year_to"))).drop("year_from", "year_to")
+    """rows with the first vintage whose years (from, to, name) hold the row's, once each; rows that none holds go. No join: the few ranges are conditions."""
+    found = F.lit(None).cast("string")
+    for first, last, name in reversed(vintages):
+        found = F.when(F.col("year").between(first, last), name).otherwise(found)
+    return rows.withColumn("vintage", found).where("vintage is not null")
