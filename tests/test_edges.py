@@ -221,3 +221,18 @@ def test_one_stop_and_early_sites(spark, label, full, lines):
 ])
 def test_court_seats(spark, office, key):
     assert spark.createDataFrame([(office,)], "o string").select(K.office_key(F.col("o"))).first()[0] == key
+
+
+def test_compat_rounding_rounds_parts(spark):
+    pool = spark.createDataFrame([(2020, "gov", "A", 1.0, 0.0, 0.0)], f"year int, office string, county string, {VOTES}")
+    shares = spark.createDataFrame([("A", "house", "1", 0.4), ("A", "house", "2", 0.6)], "county string, scope string, district string, share double")
+    districts = spark.createDataFrame([(2020, "gov", "house", "1", 2.4, 0.0, 0.0), (2020, "gov", "house", "3", 0.5, 1.5, 0.0)], f"year int, office string, scope string, district string, {VOTES}")
+    got = lambda compat: {r.district: (r.dem_votes, r.rep_votes) for r in R.add_county_pool(districts, pool, shares, compat_rounding=compat).collect()}
+    assert got(True) == {"1": (2.0, 0.0), "2": (1.0, 0.0), "3": (0.0, 2.0)}
+    assert got(False)["1"] == (pytest.approx(2.8), 0.0)
+
+
+def test_shown_status(spark):
+    rows = spark.createDataFrame([("Durable", "Democratic", "Edge"), ("Realigned", "Republican", "Battleground"), ("Odd", "Republican", "Tilt")], "origin string, side string, position string")
+    assert [r.shown for r in Y.shown_status(rows).collect()] == ["Stable Democratic (Edge)", "Battleground", "Odd Republican (Tilt)"]
+    assert [r.shown for r in Y.shown_status(rows, {}).collect()][0] == "Durable Democratic (Edge)"

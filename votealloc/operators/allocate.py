@@ -189,11 +189,13 @@ def coverage(precincts: DataFrame, weights: DataFrame, contest: list[str] = CONT
     return hit.join(total, contest)
 
 
-def district_results(results: DataFrame, crosswalk: DataFrame, district_map: DataFrame, contest: list[str] = CONTEST) -> DataFrame:
+def district_results(results: DataFrame, crosswalk: DataFrame, district_map: DataFrame, contest: list[str] = CONTEST, compat_rounding: bool = False) -> DataFrame:
     """What every district of every scope would have voted in every contest: the flagship.
 
     Absentee votes go to precincts, precincts to districts by people, precincts that the map
-    lacks by bucket, then county; rounded once, half to even, at the end.
+    lacks by bucket, then county; rounded once, half to even, at the end. With
+    compat_rounding, what the map places and what falls back are rounded each before they are
+    added, as in files made so; sums can then be off by a vote.
     """
     precincts = precinct_party_votes(results, contest)
     direct = precinct_district_weights(crosswalk, district_map).withColumn("method", F.lit("map"))
@@ -203,12 +205,20 @@ def district_results(results: DataFrame, crosswalk: DataFrame, district_map: Dat
     # The precincts' keys come from the rows themselves: their votes aren't needed to tell which the map lacks.
     named = results.where(~is_non_geographic(F.col("precinct"), F.col("county"))).select("county", F.concat_ws(" - ", "county", "precinct").alias("precinct_id"))
     weights = direct.unionByName(fallback_weights(named, direct, county, bucket, scopes))
+    if compat_rounding:
+        stages = weights.withColumn("scope", F.struct("scope", (F.col("method") == "map").alias("by_map")))
+        parts = allocate(precincts, stages, contest=contest).withColumns({"scope": F.col("scope.scope"), **{c: half_even(F.col(c)) for c in VOTES}})
+        return with_measures(sum_by(parts, [*contest, "scope", "district"], *VOTES))
     sums = allocate(precincts, weights, contest=contest)
     return with_measures(sums.withColumns({c: half_even(F.col(c)) for c in VOTES}))
 
 
-def add_county_pool(districts: DataFrame, pool: DataFrame, county_shares: DataFrame, contest: list[str] = CONTEST) -> DataFrame:
-    """District votes plus county votes without a place, by county shares."""
+def add_county_pool(districts: DataFrame, pool: DataFrame, county_shares: DataFrame, contest: list[str] = CONTEST, compat_rounding: bool = False) -> DataFrame:
+    """District votes plus county votes without a place, by county shares; with compat_rounding both are rounded before they are added."""
+    if compat_rounding:
+        pool_parts = add_county_pool(districts.where("false"), pool, county_shares, contest)
+        both = [rows.select(*contest, "scope", "district", *[half_even(F.col(c)).alias(c) for c in VOTES]) for rows in (districts, pool_parts)]
+        return sum_by(both[0].unionByName(both[1]), [*contest, "scope", "district"], *VOTES)
     extra = pool.join(county_shares, "county").groupBy(*contest, "scope", "district").agg(*[F.sum(F.col(c) * F.col("share")).alias(c) for c in VOTES])
     return districts.unionByName(extra).groupBy(*contest, "scope", "district").agg(*[F.sum(c).alias(c) for c in VOTES])
 

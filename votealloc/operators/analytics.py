@@ -184,6 +184,17 @@ def backfill(rows: DataFrame, shapes: DataFrame, counties: DataFrame, until: int
     return with_margin(own.unionByName(tagged))
 
 
+#: The words that are shown for a trajectory's origin; sides and positions are shown as they are.
+SHOWN = {"Durable": "Stable", "Reinforcing": "Strengthening", "Emerging": "Emerging", "Realigned": "Shifted"}
+
+
+def shown_status(rows: DataFrame, words: dict[str, str] | None = None) -> DataFrame:
+    """Rows of trajectory with shown: its status in words for readers, as in Stable Democratic (Edge); Battleground alone, unknown origins as they are."""
+    table = SHOWN if words is None else words
+    origin = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.col("origin")), F.col("origin")) if table else F.col("origin")
+    return rows.withColumn("shown", F.when(F.col("position") == "Battleground", F.col("position")).otherwise(F.concat(origin, F.lit(" "), "side", F.lit(" ("), "position", F.lit(")"))))
+
+
 #: Share of the reference turnout that a modelled contest is set to.
 TURNOUT = 0.575
 

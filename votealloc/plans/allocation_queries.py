@@ -408,6 +408,18 @@ def party_to_scope(spark, sf_dir):
     return R.district_results(B.results(spark, sf_dir), B.blocks(spark, sf_dir), B.district_map(spark, sf_dir))
 
 
+#: The map's part and the fallback's are rounded each, then added.
+_COMPAT = _FLAG.replace("allw AS (SELECT precinct_id, scope, district, weight FROM wts UNION ALL SELECT precinct_id, scope, district, weight FROM fall)", "allw AS (SELECT precinct_id, scope, district, weight, 1 AS stage FROM wts UNION ALL SELECT precinct_id, scope, district, weight, 2 FROM fall)").replace(
+    "sums AS (SELECT year, office, scope, district, sum(dem_votes * weight) AS dv, sum(rep_votes * weight) AS rv, sum(other_votes * weight) AS ov FROM ppv JOIN allw USING (precinct_id) GROUP BY 1, 2, 3, 4)",
+    "parts AS (SELECT year, office, scope, district, stage, round_even(round(sum(dem_votes * weight), 9), 0) AS dv, round_even(round(sum(rep_votes * weight), 9), 0) AS rv, round_even(round(sum(other_votes * weight), 9), 0) AS ov FROM ppv JOIN allw USING (precinct_id) GROUP BY 1, 2, 3, 4, 5),\nsums AS (SELECT year, office, scope, district, sum(dv) AS dv, sum(rv) AS rv, sum(ov) AS ov FROM parts GROUP BY 1, 2, 3, 4)",
+)
+
+
+@register("r11_compat_rounding", _COMPAT)
+def compat_rounding(spark, sf_dir):
+    return R.district_results(B.results(spark, sf_dir), B.blocks(spark, sf_dir), B.district_map(spark, sf_dir), compat_rounding=True)
+
+
 @register("r12_county_fallback_diagnostic", B.oracle(B.RES, B.BLK, B.DMAP, B.PRE, _SHARES, "sh AS (SELECT county, scope, sum(share) AS s FROM cs GROUP BY 1, 2)", "l AS (SELECT year, office, county, sum(dem_votes + rep_votes + other_votes) AS u FROM pre WHERE precinct_id NOT IN (SELECT precinct_id FROM blk) GROUP BY 1, 2, 3)", select="SELECT year, office, county, u AS unmatched_votes, " + ", ".join(f"round(u * coalesce((SELECT s FROM sh WHERE sh.county = l.county AND scope = '{s}'), 0), 4) AS {s}_allocated, round(u * (1 - coalesce((SELECT s FROM sh WHERE sh.county = l.county AND scope = '{s}'), 0)), 4) + 0.0 AS {s}_left" for s in B.SCOPES) + " FROM l"))
 def county_fallback_diagnostic(spark, sf_dir):
     return R.fallback_diagnostic(_precincts(spark, sf_dir), _weights(spark, sf_dir), _county_shares(spark, sf_dir))

@@ -699,6 +699,7 @@ _TRAJ = """tr AS (SELECT county, office, f AS first, l AS latest, cycles, year,
   CASE WHEN sign(f) <> sign(l) AND abs(l) < 10 THEN 'Emerging' WHEN sign(f) <> sign(l) THEN 'Realigned' WHEN (l - f) * sign(l) <= -2 THEN 'Emerging' WHEN (l - f) * sign(l) >= 2 THEN 'Reinforcing' ELSE 'Durable' END AS origin,
   CASE WHEN l > 0 THEN 'Republican' ELSE 'Democratic' END AS side, CASE WHEN abs(l) >= 20 THEN 'Stronghold' WHEN abs(l) >= 10 THEN 'Advantage' WHEN abs(l) >= 4 THEN 'Edge' WHEN abs(l) >= 0.5 THEN 'Tilt' ELSE 'Battleground' END AS position FROM h2)"""
 _ty("y13_trajectory", "SELECT *, CASE WHEN position = 'Battleground' THEN 'Battleground' ELSE concat(origin, ' ', side, ' ', position) END AS status FROM tr", lambda s, d, t: Y.trajectory(t), _HI, _TRAJ)
+_ty("y13_shown_status", "SELECT county, office, status, CASE WHEN position = 'Battleground' THEN 'Battleground' ELSE concat(CASE origin WHEN 'Durable' THEN 'Stable' WHEN 'Reinforcing' THEN 'Strengthening' WHEN 'Realigned' THEN 'Shifted' ELSE origin END, ' ', side, ' (', position, ')') END AS shown FROM (SELECT *, CASE WHEN position = 'Battleground' THEN 'Battleground' ELSE concat(origin, ' ', side, ' ', position) END AS status FROM tr)", lambda s, d, t: Y.shown_status(Y.trajectory(t)).select("county", "office", "status", "shown"), _HI, _TRAJ)
 _ty("y14_momentum", """SELECT county, office, f AS first, l AS latest, cycles, year, previous,
   coalesce(CASE WHEN l - f >= 2 AND l - previous >= 2 AND l - previous > (l - f) / (cycles - 1) THEN 'Moving right faster' WHEN l - f >= 2 AND l - previous >= 2 THEN 'Moving right' WHEN l - f >= 8 THEN 'Long-run move right' WHEN l - previous >= 2 THEN 'Moving right' END,
   CASE WHEN f - l >= 2 AND previous - l >= 2 AND previous - l > (f - l) / (cycles - 1) THEN 'Moving left faster' WHEN f - l >= 2 AND previous - l >= 2 THEN 'Moving left' WHEN f - l >= 8 THEN 'Long-run move left' WHEN previous - l >= 2 THEN 'Moving left' END, 'Stable') AS momentum,
