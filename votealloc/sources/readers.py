@@ -153,16 +153,17 @@ def geometry_parts(geometry):
 
 
 def scan_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Features of GeoJSON files as rows: their properties (a DDL list), shape (the geometry's type), parts and points.
+    """Features of GeoJSON files as rows: their properties (a DDL list), shape (the geometry's type), rings, parts and points.
 
-    parts is the shape of polygons (parts of an outline and its holes, of points x and y), null for
+    rings are a Polygon's, of [x, y] numbers, null for other types. parts is the shape of polygons (parts of an outline and its holes, of points x and y), null for
     other types; points are all points of any type, null where there is no geometry. A file of
     any size is read by several tasks. Objects beside the features (such as crs) are left out.
     """
     one = "type: string, coordinates: string"
     schema = f"type string, properties struct<{properties}>, geometry struct<{one}, geometries: array<struct<{one}>>>"
     rows = json_records(spark, path, 2).select(F.from_json("value", schema).alias("f")).where("f.type is null or f.type = 'Feature'")
-    return rows.select("f.properties.*", F.col("f.geometry.type").alias("shape"), geometry_parts(F.col("f.geometry")).alias("g")).select("*", "g.*").drop("g")
+    rings = F.when(F.col("f.geometry.type") == "Polygon", F.from_json("f.geometry.coordinates", "array<array<array<double>>>"))
+    return rows.select("f.properties.*", F.col("f.geometry.type").alias("shape"), rings.alias("rings"), geometry_parts(F.col("f.geometry")).alias("g")).select("*", "g.*").drop("g")
 
 
 def parse_log_totals(lines: DataFrame) -> DataFrame:
