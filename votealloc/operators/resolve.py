@@ -9,6 +9,12 @@ from votealloc.functions import keys as K
 from votealloc.sources.scratch import remove, written
 
 
+#: The forms of codes that rules look for.
+NUMBER = r"^0*([0-9]{1,4})([A-Z]?)$"
+NUMBER_OR_FIRST_PART = r"^0*([0-9]+)(?:-1)?$"
+PLAIN_CODE = "^[A-Z0-9]+$"
+WAKE_PAIR = r"\b(\d{2}-\d{2})\b"
+
 #: Kinds of rules, the first ones first.
 KINDS = ("manual", "auto")
 
@@ -103,17 +109,16 @@ def auto_overrides(raw: DataFrame, canonical: DataFrame, official: DataFrame | N
     keys = raw.select(K.norm(F.col("precinct_id")).alias("raw")).distinct().where(F.col("raw").contains(" - "))
     keys = keys.join(known, F.col("raw") == F.col("id"), "left_anti").select("raw", part(F.col("raw"), 1).alias("county"), part(F.col("raw"), 2).alias("p"))
     p, county = F.col("p"), F.col("county")
-    number = r"^0*([0-9]{1,4})([A-Z]?)$"
-    n, suffix = F.regexp_extract(p, number, 1).try_cast("int"), F.regexp_extract(p, number, 2)
-    one = F.regexp_extract(p, r"^0*([0-9]+)(?:-1)?$", 1).try_cast("bigint").cast("string")
+    n, suffix = F.regexp_extract(p, NUMBER, 1).try_cast("int"), F.regexp_extract(p, NUMBER, 2)
+    one = F.regexp_extract(p, NUMBER_OR_FIRST_PART, 1).try_cast("bigint").cast("string")
     cleaned = K.clean_precinct(p, county)
     guesses = [
         (2, K.county_alias(p, county)),
         (3, F.when(cleaned != p, cleaned)),
         (4, F.when(p.endswith("A"), F.substring(p, F.lit(1), F.length(p) - 1))),
-        (5, F.when(p.rlike(r"^0*([0-9]+)(?:-1)?$"), F.concat(one, F.lit("A")))),
-        (6, F.when(p.rlike("^[A-Z0-9]+$"), F.concat(p, F.lit("-1")))),
-        *[(7, F.when(p.rlike(number), F.concat(K.pad_number(n, width), suffix))) for width in (1, 2, 3, 4)],
+        (5, F.when(p.rlike(NUMBER_OR_FIRST_PART), F.concat(one, F.lit("A")))),
+        (6, F.when(p.rlike(PLAIN_CODE), F.concat(p, F.lit("-1")))),
+        *[(7, F.when(p.rlike(NUMBER), F.concat(K.pad_number(n, width), suffix))) for width in (1, 2, 3, 4)],
     ]
     rows = keys.select("raw", "county", F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), code.alias("code")) for rule, code in guesses])).alias("g")).select("raw", "county", "g.*")
     if official is not None:
@@ -201,7 +206,7 @@ def resolve_keys(keys: DataFrame, index: DataFrame) -> DataFrame:
     tests = [F.bool_or(F.col("key").contains(" - ")).alias("good"), F.bool_or(K.is_non_geographic(F.col("p"), F.col("county"), "lines")).alias("loose")]
     rows = rows.groupBy("key", "county", "p").agg(*tests)
     good, loose = F.col("good"), F.col("loose")
-    wake = F.when(F.col("county") == "WAKE", K.part(F.col("p"), r"\b(\d{2}-\d{2})\b"))
+    wake = F.when(F.col("county") == "WAKE", K.part(F.col("p"), WAKE_PAIR))
     rows = rows.withColumn("p", F.coalesce(wake, "p"))
     forms = rows.where(good & ~loose).select("key", "county", F.explode(K.alias_variants(F.col("p"))).alias("alias"))
     hits = forms.join(index, ["county", "alias"]).groupBy("key").agg(F.count_distinct("canonical").alias("n"), F.min("canonical").alias("one"))
