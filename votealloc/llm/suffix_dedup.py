@@ -1,4 +1,4 @@
-"""Repeated substrings by bucket-pointer refinement over sampled suffixes."""
+"""Repeated substrings by refining buckets of sampled suffixes."""
 
 from __future__ import annotations
 
@@ -205,9 +205,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are judged on the input. Returns for each row of docs: doc_id, n_bytes, n_removed, n_spans
     (maximal removed runs), kept_sha256 (of the bytes that stay, concatenated), row_key.
 
-    Method: bucket-pointer refinement. Initial buckets are q-grams; suffixes of a bucket are
-    refined by the bucket identifiers of their later and earlier offsets until each is alone or
-    agrees with another over length bytes; refined buckets are reused by the next round. Only
+    Method: initial buckets are q-grams, and a bucket's suffixes are refined by hashes of the bytes
+    after and before the q-gram, over narrowing ranges, until each is alone or agrees with another
+    over length bytes. This departs from bucket-pointer refinement: it looks up no identifiers of
+    buckets at later offsets, and a round starts from the first bucket again. Only
     sampled suffixes are put into buckets: every string of length bytes chooses one by its own
     bytes, so at the same place wherever it occurs. Copies are
     settled at once as a bucket of equal full contexts, of which one goes on.
