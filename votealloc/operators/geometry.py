@@ -147,7 +147,7 @@ def points_in_districts(points: DataFrame, districts: DataFrame, cell: float, le
 
     Points meet the cells of district_cells by their own cell at each level; only in border
     cells do edges decide. A cell with more than `most` points is copied and its points are
-    dealt to the copies by a hash of their id. Pick cell so that a district covers some hundreds
+    dealt to the copies by a hash of their id (no cell has, where there are no more in all). Pick cell so that a district covers some hundreds
     of the smallest. On a shared border the first district wins; a point in a hole is in no district.
     Points with a null coordinate and shapes that are null or have no edges meet nothing.
     """
@@ -155,10 +155,13 @@ def points_in_districts(points: DataFrame, districts: DataFrame, cell: float, le
     at = {axis: F.floor(F.col(axis) / cell).cast("long") for axis in "xy"}
     up = [F.struct(F.lit(k).alias("level"), *[F.shiftright(at[axis], FACTOR_BITS * (levels - 1 - k)).alias(f"c{axis}") for axis in "xy"]) for k in range(levels)]
     placed = points.where("x is not null and y is not null").select("id", "x", "y", F.explode(F.array(*up)).alias("c")).select("id", "x", "y", "c.*")
-    hot = placed.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*keys, F.ceil(F.col("n") / most).alias("copies"))
-    cells = district_cells(districts, cell, levels).join(hot, keys, "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
-    dealt = placed.join(hot, keys, "left").withColumn("copy", F.pmod(F.xxhash64("id"), F.coalesce("copies", F.lit(1)))).drop("copies")
-    hits = dealt.join(cells, [*keys, "copy"]).where(F.col("edges").isNull() | in_edges(F.col("x"), F.col("y"), F.col("edges")))
+    cells = district_cells(districts, cell, levels)
+    if points.select("id").limit(most + 1).count() > most:
+        hot = placed.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*keys, F.ceil(F.col("n") / most).alias("copies"))
+        cells = cells.join(hot, keys, "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
+        placed = placed.join(hot, keys, "left").withColumn("copy", F.pmod(F.xxhash64("id"), F.coalesce("copies", F.lit(1)))).drop("copies")
+        keys = [*keys, "copy"]
+    hits = placed.join(cells, keys).where(F.col("edges").isNull() | in_edges(F.col("x"), F.col("y"), F.col("edges")))
     return points.join(hits.groupBy("id").agg(F.min("district").alias("district")), "id", "left")
 
 
