@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from votealloc.functions.keys import canonical_candidate, candidate_or_default, is_non_geographic, party_group, precinct_bucket, ticket_head, vtd_code
 from votealloc.functions.measures import half_even, largest_remainder, split_pair, with_measures
-from votealloc.operators.aggregate import VOTES, party_columns, share_of_group, sum_by, top_candidate
+from votealloc.operators.aggregate import PARTIES, VOTES, party_columns, share_of_group, sum_by, top_candidate
 
 CONTEST = ["year", "office"]
 
@@ -48,39 +48,67 @@ def spread_non_geographic(results: DataFrame, contest: list[str] = CONTEST, keep
     unallocated).
     """
     county = [*contest, "county"]
-    flag = is_non_geographic(F.col("precinct"), F.col("county"))
-    rows = results.withColumn("precinct_id", F.concat_ws(" - ", "county", "precinct")).withColumn("__loose", flag)
-    geo = sum_by(rows.where(~F.col("__loose")), [*county, "precinct_id", "candidate"], "votes")
-    loose = sum_by(rows.where("__loose"), [*county, "candidate"], "votes").withColumnRenamed("votes", "loose")
-    own = geo.groupBy(*county, "candidate").agg(F.sum("votes").alias("own"))
-    plain = geo.join(own, [*county, "candidate"]).join(loose, [*county, "candidate"], "left")
-    plain = plain.withColumn("votes", F.col("votes") + F.coalesce(F.col("loose") * F.try_divide("votes", "own"), F.lit(0.0))).drop("own", "loose")
-
-    homeless = loose.join(own.where("own > 0"), [*county, "candidate"], "left_anti")
-    pool = homeless.groupBy(*county).agg(F.sum("loose").alias("pool"))
-    by_precinct = geo.groupBy(*county, "precinct_id").agg(F.sum("votes").alias("here"))
-    by_county = by_precinct.groupBy(*county).agg(F.sum("here").alias("there"))
-    extra = by_precinct.join(by_county, county).join(pool, county).where("there > 0").select(*county, "precinct_id", (F.col("pool") * F.col("here") / F.col("there")).alias("extra"))
-    total = plain.groupBy(*county, "precinct_id").agg(F.sum("votes").alias("all"))
-    added = plain.join(total, [*county, "precinct_id"]).join(extra, [*county, "precinct_id"], "left")
+    plain, candidates = _candidate_rows(results, contest)
+    homeless = candidates.where("homeless").select(*county, "candidate", "loose", "there")
+    unplaced = homeless.where("there is null or there <= 0").select(*county, "candidate", F.col("loose").alias("unallocated"))
     if keep_candidate:
-        shares = by_precinct.join(by_county, county).where("there > 0").select(*county, "precinct_id", F.try_divide("here", "there").alias("share"))
-        own_rows = shares.join(homeless, county).select(*county, "precinct_id", "candidate", (F.col("loose") * F.col("share")).alias("votes"))
-        added = sum_by(plain.unionByName(own_rows), [*county, "precinct_id", "candidate"], "votes").withColumns({"extra": F.lit(0.0), "all": F.lit(None).cast("double")})
-    placed = added.select(*county, "precinct_id", "candidate", (F.col("votes") + F.coalesce(F.col("extra") * F.try_divide("votes", "all"), F.lit(0.0))).alias("votes"))
-    unplaced = homeless.join(by_county.where("there > 0"), county, "left_anti").select(*county, "candidate", F.col("loose").alias("unallocated"))
-    return placed, unplaced
+        shares = plain.groupBy(*county, "precinct_id").agg((F.sum("here") / F.max("there")).alias("share"), F.max("there").alias("there")).where("there > 0").drop("there")
+        own_rows = shares.join(homeless.drop("there"), county).select(*county, "precinct_id", "candidate", (F.col("loose") * F.col("share")).alias("votes"))
+        return sum_by(plain.select(*county, "precinct_id", "candidate", "votes").unionByName(own_rows), [*county, "precinct_id", "candidate"], "votes"), unplaced
+    precinct = Window.partitionBy(*county, "precinct_id")
+    extra = F.when(F.col("there") > 0, F.col("pool") * F.sum("here").over(precinct) / F.col("there"))
+    added = plain.withColumns({"extra": extra, "all": F.sum("votes").over(precinct)})
+    return added.select(*county, "precinct_id", "candidate", (F.col("votes") + F.coalesce(F.col("extra") * F.try_divide("votes", "all"), F.lit(0.0))).alias("votes")), unplaced
+
+
+def _candidate_rows(results: DataFrame, contest: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Geographic rows with the county's votes of their candidate added, and the candidates by county.
+
+    Rows: contest, county, precinct_id, candidate, here (own votes), votes (with the spread ones),
+    pool (votes of the county's candidates without own ones), there (the county's own votes), and
+    party, the candidate's first in the contest, if results have party_group. Both read one shuffle
+    of the rows' sums: keys that are null go first and the flag is an aggregate, so that no filter
+    reaches one side alone. Windows hold the candidates of a county, or the counties of a candidate.
+    """
+    county = [*contest, "county"]
+    keys = [*county, "candidate"]
+    has_party = "party_group" in results.columns
+    rows = results.withColumns({"precinct_id": F.concat_ws(" - ", "county", "precinct"), "__loose": is_non_geographic(F.col("precinct"), F.col("county"))})
+    for key in (*keys, "__loose"):
+        rows = rows.where(F.col(key).isNotNull())
+    party = [F.min("party_group").alias("__party")] if has_party else []
+    sums = rows.groupBy(*county, "precinct_id", "candidate").agg(F.sum("votes").alias("here"), F.max("__loose").alias("__loose"), *party)
+
+    totals = [F.sum(F.when(~F.col("__loose"), F.col("here"))).alias("own"), F.sum(F.when(F.col("__loose"), F.col("here"))).alias("loose"), F.max("__loose").alias("has_loose")]
+    candidates = sums.groupBy(*keys).agg(*totals, *([F.min("__party").alias("party")] if has_party else []))
+    candidates = candidates.withColumn("homeless", F.col("has_loose") & ~F.coalesce(F.col("own") > 0, F.lit(False)))
+    in_county = Window.partitionBy(*county)
+    candidates = candidates.withColumns({"pool": F.sum(F.when(F.col("homeless"), F.col("loose"))).over(in_county), "there": F.sum("own").over(in_county)})
+    if has_party:
+        candidates = candidates.withColumn("party", F.min("party").over(Window.partitionBy(*contest, "candidate")))
+
+    plain = sums.where("not __loose").join(candidates.select(*keys, "own", "loose", "pool", "there", *(["party"] if has_party else [])), keys)
+    votes = F.col("here") + F.coalesce(F.col("loose") * F.try_divide("here", "own"), F.lit(0.0))
+    # least() is the candidate's party either way; it keeps the column on this side, so that the shuffle is the same.
+    return plain.select(*county, "precinct_id", "candidate", "here", votes.alias("votes"), "pool", "there", *([F.least("__party", "party").alias("party")] if has_party else [])), candidates
 
 
 def precinct_party_votes(results: DataFrame, contest: list[str] = CONTEST, rules: DataFrame | None = None) -> DataFrame:
     """Precinct rows of three parties, with absentee and early votes spread by candidate.
 
     A candidate's party is that of the candidate's first row by party name.
+    A candidate's part of the county's loose votes is in proportion to the candidate's own, so
+    parties are summed before those votes are added.
     """
     rows = override_party(results, rules).withColumn("candidate", canonical_candidate(ticket_head(F.col("candidate"))))
-    placed, _ = spread_non_geographic(rows, contest)
-    party = rows.groupBy(*contest, "candidate").agg(F.min("party_group").alias("party"))
-    return party_columns(placed.join(party, [*contest, "candidate"]), [*contest, "county", "precinct_id"])
+    plain, _ = _candidate_rows(rows, contest)
+    keys = [*contest, "county", "precinct_id"]
+    group = party_group(F.col("party"))
+    parts = [F.sum(F.when(group == p, F.col("votes")).otherwise(0.0)).alias(f"{p}_votes") for p in PARTIES]
+    sums = plain.groupBy(*keys).agg(*parts, F.sum("here").alias("here"), F.sum("votes").alias("all"), F.max("pool").alias("pool"), F.max("there").alias("there"))
+    extra = F.when(F.col("there") > 0, F.col("pool") * F.col("here") / F.col("there"))
+    grown = F.lit(1.0) + F.coalesce(F.try_divide(extra, F.col("all")), F.lit(0.0))
+    return sums.select(*keys, *[(F.col(c) * grown).alias(c) for c in VOTES])
 
 
 def contest_candidates(results: DataFrame, contest: list[str] = CONTEST) -> DataFrame:
@@ -168,6 +196,58 @@ def fallback_weights(precincts: DataFrame, matched: DataFrame, county_shares: Da
     return by_bucket.unionByName(by_county)
 
 
+LEVELS = ("map", "bucket", "county")
+
+
+def _places(county: Column, precinct_id: Column) -> Column:
+    """The places that may stand for a precinct: itself (level 0), its bucket (1), its county (2)."""
+    bucket = F.concat(county, F.lit("\u0001"), bucket_of(precinct_id))
+    levels = [F.struct(F.lit(n).alias("level"), place.alias("place")) for n, place in enumerate((precinct_id, bucket, county))]
+    return F.filter(F.array(*levels), lambda level: level["place"].isNotNull())
+
+
+def place_weights(crosswalk: DataFrame, district_map: DataFrame) -> DataFrame:
+    """(level, place, scope, district, weight) of precincts, buckets and counties, from one pass over the blocks.
+
+    Weights of precincts are those of precinct_district_weights, the others those of area_shares.
+    A precinct's people count in blocks without a district too. Sums are made to precincts first,
+    then to the wider places; windows hold the districts of one place.
+    """
+    scope, district = (district_map.schema[c].dataType for c in ("scope", "district"))
+    to = district_map.groupBy("block").agg(F.collect_list(F.struct("scope", "district", F.lit(False).alias("whole"))).alias("to"))
+    whole = F.array(F.struct(F.lit(None).cast(scope).alias("scope"), F.lit(None).cast(district).alias("district"), F.lit(True).alias("whole")))
+    rows = crosswalk.select("block", "county", "precinct_id", "vap").join(to, "block", "left")
+    rows = rows.withColumn("to", F.explode(F.when(F.col("to").isNull(), whole).otherwise(F.concat(whole, "to"))))
+    pieces = rows.groupBy("county", "precinct_id", "to.scope", "to.district", "to.whole").agg(F.sum("vap").alias("people"), F.min("block").alias("first"))
+
+    places = F.filter(_places(F.col("county"), F.col("precinct_id")), lambda p: ~F.col("whole") | (p["level"] == 0))
+    sums = pieces.withColumn("at", F.explode(places)).groupBy("at.level", "at.place", "scope", "district", "whole").agg(F.sum("people").alias("people"), F.min("first").alias("first"))
+    here = Window.partitionBy("level", "place")
+    own = F.col("level") == 0
+    total = F.when(own, F.sum(F.when(F.col("whole"), F.col("people"))).over(here)).otherwise(F.sum("people").over(Window.partitionBy("level", "place", "scope")))
+    rows = sums.withColumns({"total": total, "first_of_all": F.min(F.when(F.col("whole"), F.col("first"))).over(here)})
+    alone = F.when(own, (F.col("first") == F.col("first_of_all")).cast("double"))
+    weight = F.when(F.col("total") > 0, F.try_divide(F.col("people").cast("double"), F.col("total").cast("double"))).otherwise(alone)
+    return rows.withColumn("weight", weight).where(~F.col("whole") & (own | F.col("weight").isNotNull())).select("level", "place", "scope", "district", "weight")
+
+
+def placed_weights(precincts: DataFrame, crosswalk: DataFrame, district_map: DataFrame) -> DataFrame:
+    """(precinct_id, scope, district, weight, method) of precincts (county, precinct_id): by the map, else by bucket, else by county.
+
+    As precinct_district_weights with fallback_weights, in one pass over the blocks: each precinct
+    asks for its three places at once and keeps the first that answers. One that the map has
+    doesn't fall back in any scope; for others, every scope is decided by itself.
+    """
+    names = precincts.groupBy("precinct_id").agg(F.min("county").alias("county"))
+    asked = names.select("precinct_id", F.inline(_places(F.col("county"), F.col("precinct_id"))))
+    found = asked.join(place_weights(crosswalk, district_map), ["level", "place"])
+    least = F.min("level").over(Window.partitionBy("precinct_id", "scope"))
+    on_map = F.min("level").over(Window.partitionBy("precinct_id")) == 0
+    kept = found.withColumns({"least": least, "on_map": on_map}).where((F.col("level") == F.col("least")) & (~F.col("on_map") | (F.col("level") == 0)))
+    method = F.element_at(F.array(*[F.lit(name) for name in LEVELS]), F.col("level") + 1)
+    return kept.select("precinct_id", "scope", "district", "weight", method.alias("method"))
+
+
 def allocate(precincts: DataFrame, weights: DataFrame, columns: list[str] = VOTES, contest: list[str] = CONTEST) -> DataFrame:
     """District sums of precinct votes by weights (precinct_id, scope, district, weight), unrounded."""
     rows = precincts.join(weights, "precinct_id")
@@ -198,13 +278,9 @@ def district_results(results: DataFrame, crosswalk: DataFrame, district_map: Dat
     added, as in files made so; sums can then be off by a vote.
     """
     precincts = precinct_party_votes(results, contest)
-    direct = precinct_district_weights(crosswalk, district_map).withColumn("method", F.lit("map"))
-    scopes = district_map.select("scope").distinct()
-    county = area_shares(crosswalk, district_map, ["county"])
-    bucket = area_shares(crosswalk.withColumn("bucket", bucket_of(F.col("precinct_id"))), district_map, ["county", "bucket"])
     # The precincts' keys come from the rows themselves: their votes aren't needed to tell which the map lacks.
     named = results.where(~is_non_geographic(F.col("precinct"), F.col("county"))).select("county", F.concat_ws(" - ", "county", "precinct").alias("precinct_id"))
-    weights = direct.unionByName(fallback_weights(named, direct, county, bucket, scopes))
+    weights = placed_weights(named, crosswalk, district_map)
     if compat_rounding:
         stages = weights.withColumn("scope", F.struct("scope", (F.col("method") == "map").alias("by_map")))
         parts = allocate(precincts, stages, contest=contest).withColumns({"scope": F.col("scope.scope"), **{c: half_even(F.col(c)) for c in VOTES}})

@@ -570,8 +570,7 @@ def precinct_results(spark, sf_dir):
   JOIN (SELECT year, office, scope, count(DISTINCT district) AS districts, round(sum(CASE WHEN method <> 'map' THEN (dem_votes + rep_votes + other_votes) * weight ELSE 0 END), 4) AS fallback_votes FROM pre JOIN allw USING (precinct_id) GROUP BY 1, 2, 3) USING (year, office, scope)"""))
 def batch_contests(spark, sf_dir):
     precincts = _precincts(spark, sf_dir)
-    direct = _weights(spark, sf_dir).withColumn("method", F.lit("map"))
-    return R.batch_summary(precincts, direct.unionByName(_fallback(spark, sf_dir, precincts, direct)))
+    return R.batch_summary(precincts, R.placed_weights(precincts, B.blocks(spark, sf_dir), B.district_map(spark, sf_dir)))
 
 
 _CAL = "dist AS (SELECT year, office, scope, district, round_even(round(sum(dem_votes * weight), 9), 0) AS dem_votes, round_even(round(sum(rep_votes * weight), 9), 0) AS rep_votes, round_even(round(sum(other_votes * weight), 9), 0) AS other_votes FROM pre JOIN wts USING (precinct_id) GROUP BY 1, 2, 3, 4)"
