@@ -159,8 +159,22 @@ def to_districts(blocks: DataFrame, district_map: DataFrame, columns: list[str]
 
 def precinct_district_weights(crosswalk: DataFrame, district_map: DataFrame) -> DataFrame:
     """(precinct_id, scope, district, weight): block weights summed, so votes never go through blocks when only districts are asked for."""
-    rows = block_weights(crosswalk).join(district_map, "block")
-    return rows.groupBy("precinct_id", "scope", "district").agg(F.sum("weight").alias("weight"))
+    pieces = _pieces(crosswalk.where("precinct_id is not null"), district_map, ["precinct_id"])
+    here = Window.partitionBy("precinct_id")
+    rows = pieces.withColumns({"total": F.sum(F.when(F.col("whole"), F.col("people"))).over(here), "first_of_all": F.min(F.when(F.col("whole"), F.col("first"))).over(here)})
+    alone = (F.col("first") == F.col("first_of_all")).cast("double")
+    weight = F.when(F.col("total") > 0, F.try_divide(F.col("people").cast("double"), F.col("total").cast("double"))).otherwise(alone)
+    return rows.where(~F.col("whole")).select("precinct_id", "scope", "district", weight.alias("weight"))
+
+
+def _pieces(crosswalk: DataFrame, district_map: DataFrame, keys: list[str]) -> DataFrame:
+    """people and first block by keys, scope and district, and by keys alone (whole), from one pass over the blocks."""
+    scope, district = (district_map.schema[c].dataType for c in ("scope", "district"))
+    to = district_map.groupBy("block").agg(F.collect_list(F.struct("scope", "district", F.lit(False).alias("whole"))).alias("to"))
+    whole = F.array(F.struct(F.lit(None).cast(scope).alias("scope"), F.lit(None).cast(district).alias("district"), F.lit(True).alias("whole")))
+    rows = crosswalk.select("block", *keys, "vap").join(to, "block", "left")
+    rows = rows.withColumn("to", F.explode(F.when(F.col("to").isNull(), whole).otherwise(F.concat(whole, "to"))))
+    return rows.groupBy(*keys, "to.scope", "to.district", "to.whole").agg(F.sum("vap").alias("people"), F.min("block").alias("first"))
 
 
 def area_shares(crosswalk: DataFrame, district_map: DataFrame, keys: list[str]) -> DataFrame:
@@ -213,13 +227,7 @@ def place_weights(crosswalk: DataFrame, district_map: DataFrame) -> DataFrame:
     A precinct's people count in blocks without a district too. Sums are made to precincts first,
     then to the wider places; windows hold the districts of one place.
     """
-    scope, district = (district_map.schema[c].dataType for c in ("scope", "district"))
-    to = district_map.groupBy("block").agg(F.collect_list(F.struct("scope", "district", F.lit(False).alias("whole"))).alias("to"))
-    whole = F.array(F.struct(F.lit(None).cast(scope).alias("scope"), F.lit(None).cast(district).alias("district"), F.lit(True).alias("whole")))
-    rows = crosswalk.select("block", "county", "precinct_id", "vap").join(to, "block", "left")
-    rows = rows.withColumn("to", F.explode(F.when(F.col("to").isNull(), whole).otherwise(F.concat(whole, "to"))))
-    pieces = rows.groupBy("county", "precinct_id", "to.scope", "to.district", "to.whole").agg(F.sum("vap").alias("people"), F.min("block").alias("first"))
-
+    pieces = _pieces(crosswalk, district_map, ["county", "precinct_id"])
     places = F.filter(_places(F.col("county"), F.col("precinct_id")), lambda p: ~F.col("whole") | (p["level"] == 0))
     sums = pieces.withColumn("at", F.explode(places)).groupBy("at.level", "at.place", "scope", "district", "whole").agg(F.sum("people").alias("people"), F.min("first").alias("first"))
     here = Window.partitionBy("level", "place")
@@ -317,36 +325,51 @@ def ladder_allocate(rows: DataFrame, splits: DataFrame, fixed: DataFrame | None
     shares (kind non_geo for such rows, then county, then legacy for years up to legacy_until).
     With legacy_overwrite a county's matched votes come before the bucket's, as in files made so.
     Candidates carry a priority and the least one of a row counts: no step looks at another's
-    outcome, and both figures of coverage are given.
+    outcome, and both figures of coverage are given. Rows are one a (contest, key). Shares come
+    from the sums by county, bucket and district that the own splits make; only rows without a
+    split meet them. A bucket or county whose matched votes sum to 0 has no shares.
     """
     total = sum(F.col(c) for c in VOTES)
-    keyed = rows.withColumn("bucket", bucket_of(F.col("key"))).withColumn("row_id", F.struct(*contest, "key"))
-    own = keyed.join(splits, "key").select("row_id", *contest, "county", "bucket", "status", "district", F.col("area_weight").alias("weight"), total.alias("total"), F.lit(0).alias("priority"))
-    matched = own.where("status <> 'non_geographic' and total > 0")
-
-    def shares(keys: list[str]) -> DataFrame:
-        sums = matched.groupBy(*contest, *keys, "district").agg(F.sum(F.col("total") * F.col("weight")).alias("v"))
-        return share_of_group(sums, [*contest, *keys], "v", "weight").drop("v")
-
-    lost = keyed.join(splits.select("key").distinct(), "key", "left_anti")
+    lists = splits.groupBy("key").agg(F.collect_list(F.struct("district", F.col("area_weight").alias("weight"))).alias("to"))
+    keyed = rows.select(*contest, "county", "key", "status", *VOTES).join(lists, "key", "left")
+    bucket = bucket_of(F.col("key"))
+
+    # Outer, and without a filter on the split: so that rows with and without one read the same shuffle.
+    own = keyed.select(*contest, "county", bucket.alias("bucket"), "status", *VOTES, "to", F.posexplode_outer("to").alias("pos", "split"))
+    first = F.coalesce(F.array_position("to.district", F.col("split.district")) == F.col("pos") + 1, F.lit(True))
+    counts = F.when(F.col("to").isNotNull(), first.cast("long"))
+    weight = F.col("split.weight")
+    matched = F.when((F.col("status") != "non_geographic") & (total > 0), total * weight)
+    sums = own.groupBy(*contest, "county", "bucket", F.col("split.district").alias("district")).agg(*[F.sum(F.col(c) * weight).alias(c) for c in VOTES], F.sum(matched).alias("v"), F.sum(counts).alias("direct_rows")).where("direct_rows is not null")
+
+    levels = F.array(F.struct(F.lit(False).alias("by_bucket"), F.lit("").alias("bucket")), F.struct(F.lit(True).alias("by_bucket"), F.col("bucket").alias("bucket")))
+    level = [*contest, "county", "by_bucket", "bucket"]
+    wide = sums.where("v is not null").select(*contest, "county", "district", "v", F.explode(levels).alias("at")).groupBy(*contest, "county", "at.by_bucket", "at.bucket", "district").agg(F.sum("v").alias("v"))
+    # One struct as key: single columns would bring filters that part the shuffles of rows with and without a split.
+    at = F.struct(*level)
+    shares = wide.select(at.alias("at"), "district", F.try_divide("v", F.sum("v").over(Window.partitionBy(*level))).alias("weight")).where("weight is not null")
+
+    lost = keyed.where("to is null").drop("to").withColumn("bucket", bucket)
     late = F.col("status").isin("unmatched", "ambiguous", "no_county", "bad_key")
-    out = ["row_id", *contest, "status", "district", "weight", "priority"]
-    steps = [
-        own.select(out),
-        lost.where(late & (F.col("year") < bucket_before) & (F.col("bucket") != "")).join(shares(["county", "bucket"]), [*contest, "county", "bucket"]).withColumn("priority", F.lit(3 if legacy_overwrite else 1)).select(out),
-        lost.where(late | (F.col("status") == "non_geographic")).join(shares(["county"]), [*contest, "county"]).withColumn("priority", F.lit(2)).select(out),
-    ]
+    ask = {
+        "bucket": (late & (F.col("year") < bucket_before) & (F.col("bucket") != ""), F.struct(F.lit(3 if legacy_overwrite else 1).alias("priority"), F.lit(True).alias("by_bucket"), F.col("bucket").alias("bucket"))),
+        "county": (late | (F.col("status") == "non_geographic"), F.struct(F.lit(2).alias("priority"), F.lit(False).alias("by_bucket"), F.lit("").alias("bucket"))),
+    }
+    asks = F.filter(F.array(*[F.when(when & F.col("county").isNotNull(), to) for when, to in ask.values()]), lambda x: x.isNotNull())
+    plain = [*contest, "county", "key", "status", *VOTES]
+    out = [*contest, "key", *VOTES, "district", "weight", "priority"]
+    steps = [lost.select(*plain, F.inline(asks)).withColumn("at", at).join(shares, "at").select(out)]
     if fixed is not None:
         limits = {"non_geo": (F.col("status") == "non_geographic", 4), "county": (F.lit(True), 5), "legacy": (late & (F.col("year") <= legacy_until), 6)}
-        for kind, (when, priority) in limits.items():
-            steps.append(lost.where(when).join(fixed.where(F.col("kind") == kind).select("county", "district", F.col("share").alias("weight")), "county").withColumn("priority", F.lit(priority)).select(out))
-    every = steps[0]
-    for step in steps[1:]:
-        every = every.unionByName(step)
-    first = every.groupBy("row_id").agg(F.min("priority").alias("least"))
-    chosen = every.join(first, "row_id").where("priority = least")
-    placed = chosen.join(keyed.select("row_id", *VOTES), "row_id")
-    return placed.groupBy(*contest, "district").agg(*[F.sum(F.col(c) * F.col("weight")).alias(c) for c in VOTES], F.count_distinct(F.when(F.col("least") == 0, F.col("row_id"))).alias("direct_rows"), F.count_distinct("row_id").alias("placed_rows"))
+        kinds = F.filter(F.array(*[F.when(when, F.struct(F.lit(kind).alias("kind"), F.lit(priority).alias("priority"))) for kind, (when, priority) in limits.items()]), lambda x: x.isNotNull())
+        steps.append(lost.select(*plain, F.inline(kinds)).join(fixed.select("county", "kind", "district", F.col("share").alias("weight")), ["county", "kind"]).select(out))
+    every = steps[0] if len(steps) == 1 else steps[0].unionByName(steps[1])
+    row = [*contest, "key"]
+    chosen = every.withColumn("least", F.min("priority").over(Window.partitionBy(*row))).where("priority = least")
+    chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy(*row, "district").orderBy("weight")))
+    fallen = chosen.select(*contest, "district", *[(F.col(c) * F.col("weight")).alias(c) for c in VOTES], F.lit(0).cast("long").alias("direct_rows"), (F.col("n") == 1).cast("long").alias("placed_rows"))
+    placed = sums.select(*contest, "district", *VOTES, "direct_rows", F.col("direct_rows").alias("placed_rows")).unionByName(fallen)
+    return sum_by(placed, [*contest, "district"], *VOTES, "direct_rows", "placed_rows")
 
 
 def dominant_shares(shares: DataFrame, least: float | None = 0.995) -> DataFrame:

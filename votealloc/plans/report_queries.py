@@ -317,7 +317,7 @@ def _ladder_sql(rows: str, steps: str, *tables: str) -> str:
 def _ladder(spark, sf_dir, results, **options):
     splits = _weights(spark, sf_dir).where("scope = 'state_senate'").select(F.col("precinct_id").alias("key"), "district", F.col("weight").alias("area_weight"))
     rows = A.party_columns(results.withColumn("key", F.concat_ws(" - ", "county", "precinct")), ["year", "office", "county", "key"])
-    hit = splits.select("key").distinct().withColumn("hit", F.lit(True))
+    hit = B.blocks(spark, sf_dir).select(F.col("precinct_id").alias("key")).distinct().withColumn("hit", F.lit(True))
     status = F.when(F.col("key").endswith(" - ABSENTEE"), "non_geographic").when(F.col("hit"), "matched").otherwise("unmatched")
     rows = rows.join(hit, "key", "left").withColumn("status", status).drop("hit")
     return _rounded(R.ladder_allocate(rows, splits, **options), *A.VOTES, digits=3)
