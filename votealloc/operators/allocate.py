@@ -203,10 +203,11 @@ def fallback_weights(precincts: DataFrame, matched: DataFrame, county_shares: Da
     Every scope is decided by itself; a precinct may be left without (see unallocated).
     """
     lost = precincts.select("county", "precinct_id").distinct().join(matched.select("precinct_id").distinct(), "precinct_id", "left_anti")
-    asked = lost.crossJoin(F.broadcast(scopes)).withColumn("bucket", bucket_of(F.col("precinct_id")))
-    by_bucket = asked.join(bucket_shares, ["county", "bucket", "scope"]).select("precinct_id", "scope", "district", F.col("share").alias("weight"), F.lit("bucket").alias("method"))
-    rest = asked.join(by_bucket.select("precinct_id", "scope").distinct(), ["precinct_id", "scope"], "left_anti")
-    by_county = rest.join(county_shares, ["county", "scope"]).select("precinct_id", "scope", "district", F.col("share").alias("weight"), F.lit("county").alias("method"))
+    lost = lost.withColumn("bucket", bucket_of(F.col("precinct_id")))
+    out = ["precinct_id", "scope", "district", F.col("share").alias("weight")]
+    by_bucket = lost.join(bucket_shares.join(scopes, "scope", "left_semi"), ["county", "bucket"]).select(*out, F.lit("bucket").alias("method"))
+    by_county = lost.join(county_shares.join(scopes, "scope", "left_semi"), "county").select(*out, F.lit("county").alias("method"))
+    by_county = by_county.join(by_bucket.select("precinct_id", "scope").distinct(), ["precinct_id", "scope"], "left_anti").select(by_bucket.columns)
     return by_bucket.unionByName(by_county)
 
 

@@ -381,7 +381,8 @@ def _fallback(spark, sf_dir, precincts, matched):
 
 @register("r9_unmatched_fallback", B.oracle(B.RES, B.BLK, B.DMAP, B.PRE, _SHARES, _BSH, _FALL.format(src="pre"), select="SELECT precinct_id, scope, district, method, round(weight, 9) AS weight FROM fall"))
 def unmatched_fallback(spark, sf_dir):
-    return _rounded(_fallback(spark, sf_dir, _precincts(spark, sf_dir), _weights(spark, sf_dir)), "weight", digits=9)
+    weights = R.placed_weights(_precincts(spark, sf_dir), B.blocks(spark, sf_dir), B.district_map(spark, sf_dir))
+    return _rounded(weights.where("method <> 'map'"), "weight", digits=9)
 
 
 @register("r10_bucket_then_county_all", B.oracle(B.RES, B.BLK, B.DMAP, B.PRE, _SHARES, _BSH, _FALL.format(src="pre").replace("WHERE precinct_id NOT IN (SELECT precinct_id FROM blk)", ""), select="SELECT year, office, scope, district, round(sum(dem_votes * weight), 4) AS dem_votes, round(sum(rep_votes * weight), 4) AS rep_votes, round(sum(other_votes * weight), 4) AS other_votes FROM pre JOIN fall USING (precinct_id) GROUP BY 1, 2, 3, 4"))
