@@ -30,6 +30,36 @@ def test_shuffles_without_broadcasts(spark, name, most):
             spark.conf.unset(key)
 
 
+def shuffled_rows(df):
+    """Rows that the plan that ran wrote to shuffles."""
+    df.collect()
+
+    def under(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return under(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return under(node.plan())
+        rows = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        return rows + sum(under(node.children().apply(i)) for i in range(node.children().size()))
+
+    return under(df._jdf.queryExecution().executedPlan())
+
+
+def test_votes_of_blocks_are_in_no_shuffle(spark):
+    """300 blocks with 40 contests: 12,000 votes of blocks, that only the result holds."""
+    blocks = spark.range(300).selectExpr("concat('b', id) as block", "concat('p', id % 3) as precinct_id", "id % 50 as vap")
+    votes = spark.range(120).selectExpr("cast(id div 3 as int) as year", "'gov' as office", "concat('p', id % 3) as precinct_id", *[f"cast(id * {n} + 1 as double) as {c}" for n, c in enumerate(R.VOTES)])
+    dmap = spark.range(300).selectExpr("concat('b', id) as block", "inline(array(struct('x' as scope, cast(id % 7 as string) as district), struct('y' as scope, cast(id % 2 as string) as district)))")
+    shattered, audit = R.shatter(votes, blocks)
+    direct = R.shatter_to_districts(votes, blocks, dmap)
+    assert shattered.count() == 12000 and shuffled_rows(shattered) < 3000
+    assert shuffled_rows(direct) < 6000 and shuffled_rows(audit) < 4000
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, R.to_districts(shattered, dmap).collect()))
+    marked = R.shatter(votes, blocks, with_largest=True)[0].where("largest").select("block").distinct().collect()
+    assert sorted(r.block for r in marked) == ["b149", "b199", "b249"]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_placed_weights_are_those_of_the_single_operators(spark, seed):
     """Precincts without people, blocks that a scope or the whole map lacks, buckets without people, nulls, unknown precincts and counties."""
