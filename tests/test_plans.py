@@ -6,6 +6,7 @@ import re
 import pytest
 
 from votealloc.operators import allocate as R
+from votealloc.operators import resolve as X
 from votealloc.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -30,8 +31,8 @@ def test_shuffles_without_broadcasts(spark, name, most):
             spark.conf.unset(key)
 
 
-def shuffled_rows(df):
-    """Rows that the plan that ran wrote to shuffles."""
+def counted_rows(df, operator, metric):
+    """Rows that the operators of a kind counted in the plan that ran."""
     df.collect()
 
     def under(node):
@@ -40,12 +41,20 @@ def shuffled_rows(df):
             return under(node.executedPlan())
         if kind.endswith("QueryStageExec"):
             return under(node.plan())
-        rows = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+        rows = node.metrics().apply(metric).value() if kind == operator else 0
         return rows + sum(under(node.children().apply(i)) for i in range(node.children().size()))
 
     return under(df._jdf.queryExecution().executedPlan())
 
 
+def shuffled_rows(df):
+    return counted_rows(df, "ShuffleExchangeExec", "shuffleRecordsWritten")
+
+
+def made_rows(df):
+    return counted_rows(df, "GenerateExec", "numOutputRows")
+
+
 def test_votes_of_blocks_are_in_no_shuffle(spark):
     """300 blocks with 40 contests: 12,000 votes of blocks, that only the result holds."""
     blocks = spark.range(300).selectExpr("concat('b', id) as block", "concat('p', id % 3) as precinct_id", "id % 50 as vap")
@@ -60,6 +69,19 @@ def test_votes_of_blocks_are_in_no_shuffle(spark):
     assert sorted(r.block for r in marked) == ["b149", "b199", "b249"]
 
 
+def test_forms_and_tests_of_keys_are_made_once_a_distinct_label(spark):
+    """20,000 rows of 8 labels: neither their forms nor the tests of keys are made row by row, and no more rows come to the explode."""
+    rows = spark.range(20000, numPartitions=4).selectExpr("'WAKE' as county", "concat(id % 8, ' OAK_HILL') as code", "'ELM' as description", "'ELM' as name")
+    index = X.alias_index(rows)
+    more = X.enrich_alias_index(index, rows)
+    keys = rows.selectExpr("concat(county, ' - ', code) as key")
+    for df, most in ((index, 4 * 200), (more, 4 * 500), (X.resolve_keys(keys, index), 4 * 500)):
+        assert made_rows(df) < most
+    assert sorted(map(tuple, X.resolve_keys(keys, index).collect())) == [(f"WAKE - {n} OAK_HILL", None, "ambiguous") for n in range(8)]
+    # The keys' own aggregation stays in the plan, so the tests come after it.
+    assert "count(1) AS rows" in X.resolve_keys(keys, index)._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_placed_weights_are_those_of_the_single_operators(spark, seed):
     """Precincts without people, blocks that a scope or the whole map lacks, buckets without people, nulls, unknown precincts and counties."""

@@ -138,17 +138,19 @@ def auto_overrides(raw: DataFrame, canonical: DataFrame, official: DataFrame | N
 
 
 def alias_index(features: DataFrame) -> DataFrame:
-    """(county, alias, canonical) from features (county, code, description): every form of code, description and both."""
-    county, code, description = (K.norm(F.col(c)) for c in ("county", "code", "description"))
+    """(county, alias, canonical) from features (county, code, description): every form of code, description and both, once a distinct feature."""
+    distinct = features.select(*[K.norm(F.col(c)).alias(c) for c in ("county", "code", "description")]).distinct()
+    county, code, description = (F.col(c) for c in distinct.columns)
     texts = F.array(code, description, F.concat_ws("_", code, description), F.concat_ws(" ", code, description))
-    rows = features.select(county.alias("county"), F.concat_ws(" - ", county, code).alias("canonical"), F.explode(texts).alias("text"))
+    rows = distinct.select("county", F.concat_ws(" - ", county, code).alias("canonical"), F.explode(texts).alias("text")).distinct()
     return rows.select("county", F.explode(K.alias_variants(F.col("text"))).alias("alias"), "canonical").distinct()
 
 
 def _feature_forms(more: DataFrame, *keep: str) -> DataFrame:
     """(keep, county, feature, alias): every form of the code, the name and both, of features (county, code, name)."""
     texts = F.array(K.norm(F.col("code")), K.norm(F.col("name")), F.concat_ws(" ", K.norm(F.col("code")), K.norm(F.col("name"))))
-    rows = more.select(*keep, K.norm(F.col("county")).alias("county"), F.struct("code", "name").alias("feature"), F.explode(texts).alias("text"))
+    distinct = more.select(*keep, K.norm(F.col("county")).alias("county"), "code", "name").distinct()
+    rows = distinct.select(*keep, "county", F.struct("code", "name").alias("feature"), F.explode(texts).alias("text"))
     return rows.select(*keep, "county", "feature", F.explode(K.alias_variants(F.col("text"))).alias("alias")).distinct()
 
 
@@ -201,7 +203,9 @@ def grow_alias_index(index: DataFrame, vintages: list[DataFrame]) -> tuple[DataF
 
 def resolve_keys(keys: DataFrame, index: DataFrame) -> DataFrame:
     """(key, canonical, status) of distinct keys: bad_key, non_geographic, no_county, matched, ambiguous, unmatched."""
-    rows = keys.select(F.col("key")).distinct().withColumn("county", K.norm(F.split_part("key", F.lit(" - "), F.lit(1)))).withColumn("p", K.norm(F.split_part("key", F.lit(" - "), F.lit(2))))
+    # A count that is asked for keeps the keys' own aggregation: a mere distinct() would be dropped as one with the next, and the tests made on every row.
+    distinct = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 0")
+    rows = distinct.select("key").withColumn("county", K.norm(F.split_part("key", F.lit(" - "), F.lit(1)))).withColumn("p", K.norm(F.split_part("key", F.lit(" - "), F.lit(2))))
     # As results of an aggregation the two tests stay here: pushed below distinct(), they would be spelled out in terms of what keys is made from.
     tests = [F.bool_or(F.col("key").contains(" - ")).alias("good"), F.bool_or(K.is_non_geographic(F.col("p"), F.col("county"), "lines")).alias("loose")]
     rows = rows.groupBy("key", "county", "p").agg(*tests)
