@@ -7,6 +7,7 @@ import pytest
 
 from votealloc.operators import allocate as R
 from votealloc.operators import resolve as X
+from votealloc.operators.ranges import first_range
 from votealloc.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -82,6 +83,17 @@ def test_forms_and_tests_of_keys_are_made_once_a_distinct_label(spark):
     assert "count(1) AS rows" in X.resolve_keys(keys, index)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_ranges_with_the_same_ends_meet_values_once(spark):
+    """3,000 ranges with 6 different ends over 100 values: pairs grow with the ends, not with the ranges."""
+    ranges = spark.range(3000).selectExpr("id % 3 * 10 as low", "id % 3 * 10 + if(id % 2 = 0, 60, 70) as high", "(id * 7 + 5) % 1000 as place", "concat('r', id) as name")
+    values = spark.range(100).selectExpr("id as k")
+    found = first_range(values, ranges, "k")
+    assert counted_rows(found, "SortMergeJoinExec", "numOutputRows") + counted_rows(found, "BroadcastHashJoinExec", "numOutputRows") < 3000
+    listed = [tuple(r) for r in ranges.collect()]
+    want = {k: min((place, low, high, name) for low, high, place, name in listed if low <= k <= high)[-1] for k in range(91)}
+    assert {r.k: r.name for r in found.collect()} == want
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_placed_weights_are_those_of_the_single_operators(spark, seed):
     """Precincts without people, blocks that a scope or the whole map lacks, buckets without people, nulls, unknown precincts and counties."""

@@ -22,7 +22,9 @@ def first_range(rows: DataFrame, ranges: DataFrame, value: str, by: list[str] |
     others = [c for c in ranges.columns if c not in ("low", "high", "place", *by)]
     size = F.greatest(F.col("high") - F.col("low"), F.lit(width)) / width
     level = F.when(F.col("low").isNull() | F.col("high").isNull(), -1).otherwise(F.ceil(F.log(float(STEP), size)).cast("int"))
-    entered = ranges.where("low is null or high is null or low <= high").withColumn("__level", level)
+    # Of ranges with the same ends only the first can be any value's, so no others meet values.
+    firsts = ranges.where("low is null or high is null or low <= high").groupBy(*by, "low", "high").agg(F.min(F.struct("place", *others)).alias("__first"))
+    entered = firsts.select(*by, "low", "high", "__first.*").withColumn("__level", level)
     wide = F.pow(F.lit(float(STEP)), F.col("__level")) * width
     ends = [F.floor(F.col(c) / wide).cast("long") for c in ("low", "high")]
     entered = entered.withColumn("__bucket", F.explode(F.when(F.col("__level") < 0, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(*ends))))
