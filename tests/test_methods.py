@@ -71,3 +71,16 @@ def test_hybrid_report_without_benchmark(spark):
     assert (got[2000].margin_pct_37, got[2000].margin_pct_59, got[2000].benchmark, got[2000].ok, got[2000].calibration_source) == (20.0, None, "log", True, None)
     assert 98 < got[2000].accuracy_pct < 100
     assert (got[2004].margin_pct_37, got[2004].benchmark, got[2004].accuracy_pct, got[2004].ok, got[2004].calibration_source) == (None, None, None, False, "file")
+
+
+def test_votes_of_blocks_are_written_without_a_sort_of_all_years(spark, monkeypatch):
+    """A write by partitions sorts what a task makes, which for a file of blocks is all its blocks in all years and contests."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from votealloc.plans.method_queries import YEARS, ladder_sources
+
+    sorted_files, plain = [], DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *by: sorted_files.append(self._df.columns) or plain(self, *by))
+    facts, _ = ladder_sources(spark, "/root/testdata/sf0.001")
+    assert sorted_files and not any("block" in columns for columns in sorted_files)
+    assert sorted(r.year for r in facts.where("method = 'legacy_bridge'").select("year").distinct().collect()) == YEARS["legacy_bridge"]

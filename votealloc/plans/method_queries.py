@@ -39,10 +39,14 @@ def ladder_sources(spark, sf_dir):
     root = folder(spark)
     results, weights, district_map = B.results(spark, sf_dir), _weights(spark, sf_dir), B.district_map(spark, sf_dir)
     geo = R.vtd_totals(results)[0]
+    # Votes of blocks are written year by year: a write by partitions would sort each task's rows of all years in memory.
+    for method, factor in (("block_direct", 7), ("legacy_direct", 3), ("legacy_bridge", 5)):
+        for year in YEARS[method]:
+            votes = _block_votes(spark, sf_dir, [year], factor).drop("year")
+            if method == "legacy_bridge":
+                votes = votes.withColumn("block", F.concat(F.lit("L"), "block"))
+            votes.write.parquet(f"{root}/{method}/year={year}")
     files = {
-        "block_direct": _block_votes(spark, sf_dir, YEARS["block_direct"], 7),
-        "legacy_direct": _block_votes(spark, sf_dir, YEARS["legacy_direct"], 3),
-        "legacy_bridge": _block_votes(spark, sf_dir, YEARS["legacy_bridge"], 5).withColumn("block", F.concat(F.lit("L"), "block")),
         "precinct_shatter": _precincts(spark, sf_dir),
         "vtd10_overlay": geo,
         "vtd00_overlay": geo,
@@ -51,7 +55,7 @@ def ladder_sources(spark, sf_dir):
     for method, rows in files.items():
         kept = rows.where(F.col("year").isin(YEARS[method])) if method in YEARS else rows
         kept.write.partitionBy("year").parquet(f"{root}/{method}")
-    read = {m: spark.read.parquet(f"{root}/{m}") for m in files}
+    read = {m: spark.read.parquet(f"{root}/{m}") for m in H.METHODS}
     of = lambda m, years: read[m].where(F.col("year").isin(years))
     blocks_to_districts = lambda rows: A.sum_by(rows.join(district_map, "block"), ["year", "office", "scope", "district"], *A.VOTES)
     shares = _county_shares(spark, sf_dir).select(F.col("county").alias("precinct_id"), "scope", "district", F.col("share").alias("weight"))
