@@ -136,6 +136,15 @@ def test_overlay_of_long_outlines(spark):
     assert both + overlaid(spark, [("a", [[a]])], around, 200.0)[("a", "n")] == pytest.approx(plain_area(a), rel=1e-9)
 
 
+def test_overlay_is_the_same_in_rows_and_by_columns(spark):
+    rng = random.Random(11)
+    first, second = shapes(rng, 8), shapes(rng, 8)
+    a, b = spark.createDataFrame([*first, *first[:2]], f"id string, {PARTS}"), spark.createDataFrame(second, f"district string, {PARTS}")
+    by_columns, mixed, in_rows = ({(r.id, r.district): r.area for r in G.overlay(a, b, ["id"], 1.5, few).collect()} for few in (0, 18, 1000))
+    assert len(by_columns) > 5
+    assert mixed == pytest.approx(by_columns) and in_rows == pytest.approx(by_columns)
+
+
 def noise(rng):
     return "".join(rng.choice(["a", '"', "\\", "{", "}", "é", "[", "]", ":", ",", "\n", "Feature", '"x": {']) for _ in range(rng.randint(0, 12)))
 

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from votealloc.operators import allocate as R
+from votealloc.operators import geometry as G
 from votealloc.operators import resolve as X
 from votealloc.operators.ranges import first_range
 from votealloc.plans import QUERIES
@@ -94,6 +95,16 @@ def test_ranges_with_the_same_ends_meet_values_once(spark):
     assert {r.k: r.name for r in found.collect()} == want
 
 
+def test_edges_of_short_rings_are_in_no_shuffle(spark):
+    """200 squares over four of 264 districts each: rings are shuffled by their four cells, and common areas, but no edges."""
+    square = lambda x, y, width: [[[(x, y), (x + width, y), (x + width, y + width), (x, y + width)]]]
+    small = spark.createDataFrame([(i, square(i % 20 + 0.5, i // 20 + 0.5, 1.0)) for i in range(200)], "id long, parts array<array<array<struct<x:double,y:double>>>>")
+    districts = spark.createDataFrame([(f"{x}-{y}", square(float(x), float(y), 1.0)) for x in range(22) for y in range(12)], "district string, parts array<array<array<struct<x:double,y:double>>>>")
+    found = G.overlay(small, districts, ["id"], 1.0)
+    assert shuffled_rows(found) <= 4 * 200 + 4 * 264 + 800
+    assert [round(r["area"], 9) for r in found.collect()] == [0.25] * 800
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_placed_weights_are_those_of_the_single_operators(spark, seed):
     """Precincts without people, blocks that a scope or the whole map lacks, buckets without people, nulls, unknown precincts and counties."""

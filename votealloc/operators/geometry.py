@@ -175,7 +175,11 @@ def _sides(ring: Column) -> Column:
     return F.transform(F.filter(_edges(ring), lambda e: e["p"]["x"] != e["q"]["x"]), side)
 
 
-def overlay(first: DataFrame, second: DataFrame, keys: list[str], cell: float) -> DataFrame:
+#: A ring of so few points meets another edge by edge in the pair's own row.
+FEW_POINTS = 16
+
+
+def overlay(first: DataFrame, second: DataFrame, keys: list[str], cell: float, few: int = FEW_POINTS) -> DataFrame:
     """(keys, district, area): the exact common areas of shapes first (keys, parts or ring) and second (district, parts or ring).
 
     A ring is the signed sum of what lies under its edges, so the common part of two rings is the
@@ -185,43 +189,69 @@ def overlay(first: DataFrame, second: DataFrame, keys: list[str], cell: float) -
     shapes and rings of fewer than three points have no area.
 
     Only rings whose boxes share a cell meet, each pair in one cell (that of the lower left
-    corner of their boxes' common part), so nothing is made distinct. The edges of a pair are cut
-    to columns of the common part, as many as the ring with fewer edges has, and meet by
-    column: work follows edges that lie over each other, not the product of two outlines. Pick
-    cell so that the smaller shapes cover a few.
+    corner of their boxes' common part), so nothing is made distinct. Where one ring of a pair has
+    few points, its edges meet the other's in the pair's row, without a shuffle. The edges of two
+    longer rings are cut to columns of the common part, as many as the ring with fewer edges
+    has, and meet by column: work follows edges that lie over each other, not the product of two
+    outlines. Pick cell so that the smaller shapes cover a few.
     """
     def placed(rows: DataFrame, names: list[str], side: str) -> DataFrame:
-        rows = rows.select(*names, F.posexplode(shape_of(rows)).alias("__part_no", "__part")).select(*names, "__part_no", F.posexplode("__part").alias("__ring_no", "__ring"))
         ends = [pick(F.col("__ring").getField(axis)).alias(f"{side}_{axis}_{name}") for axis in "xy" for name, pick in (("from", F.array_min), ("to", F.array_max))]
         role = F.when(F.col("__ring_no") == 0, 1.0).otherwise(-1.0)
-        rows = rows.where(F.size("__ring") >= 3).select(*names, F.struct("__part_no", "__ring_no").alias(f"{side}_no"), role.alias(f"{side}_role"), _sides(F.col("__ring")).alias(f"{side}_sides"), _turn(F.col("__ring")).alias(f"{side}_turn"), *ends)
+        rows = rows.select(*names, F.struct("__part_no", "__ring_no").alias(f"{side}_no"), role.alias(f"{side}_role"), F.size("__ring").alias(f"{side}_n"), _sides(F.col("__ring")).alias(f"{side}_sides"), _turn(F.col("__ring")).alias(f"{side}_turn"), *ends)
         for axis in "xy":
             rows = rows.withColumn(f"__c{axis}", F.explode(F.sequence(F.floor(F.col(f"{side}_{axis}_from") / cell), F.floor(F.col(f"{side}_{axis}_to") / cell))))
         return rows
 
-    pairs = placed(first, keys, "__a").join(placed(second, ["district"], "__b"), ["__cx", "__cy"])
-    for axis in "xy":
-        start, end = F.greatest(f"__a_{axis}_from", f"__b_{axis}_from"), F.least(f"__a_{axis}_to", f"__b_{axis}_to")
-        pairs = pairs.withColumns({f"__{axis}_from": start, f"__{axis}_to": end}).where((start < end) & (F.floor(start / cell) == F.col(f"__c{axis}")))
-    sign = F.signum("__a_turn") * F.signum("__b_turn") * F.col("__a_role") * F.col("__b_role")
-    columns = F.greatest(F.least(F.size("__a_sides"), F.size("__b_sides")), F.lit(1))
-    pairs = pairs.withColumns({"__sign": sign, "__floor": F.least("__a_y_from", "__b_y_from"), "__twice": F.least(F.abs("__a_turn"), F.abs("__b_turn")), "__columns": columns, "__step": (F.col("__x_to") - F.col("__x_from")) / columns})
+    def rings(rows: DataFrame, names: list[str], least: int) -> DataFrame:
+        rows = rows.select(*names, F.posexplode(shape_of(rows)).alias("__part_no", "__part")).select(*names, "__part_no", F.posexplode("__part").alias("__ring_no", "__ring"))
+        return rows.where(F.size("__ring") >= least)
+
+    def paired(least: int) -> DataFrame:
+        """Pairs of rings of at least so many points, with the common part of their boxes."""
+        pairs = placed(rings(first, keys, least), keys, "__a").join(placed(rings(second, ["district"], least), ["district"], "__b"), ["__cx", "__cy"])
+        for axis in "xy":
+            start, end = F.greatest(f"__a_{axis}_from", f"__b_{axis}_from"), F.least(f"__a_{axis}_to", f"__b_{axis}_to")
+            pairs = pairs.withColumns({f"__{axis}_from": start, f"__{axis}_to": end}).where((start < end) & (F.floor(start / cell) == F.col(f"__c{axis}")))
+        sign = F.signum("__a_turn") * F.signum("__b_turn") * F.col("__a_role") * F.col("__b_role")
+        return pairs.withColumns({"__sign": sign, "__floor": F.least("__a_y_from", "__b_y_from"), "__twice": F.least(F.abs("__a_turn"), F.abs("__b_turn"))})
+
+    def inner(side: str) -> Column:
+        """A side's edges over the common part."""
+        return F.filter(f"{side}_sides", lambda e: (e["left"] < F.col("__x_to")) & (e["right"] > F.col("__x_from")))
+
+    # Edges of a pair's rings that meet, with what piece() needs.
+    measured = [*keys, "district", "__sign", "__floor", "__twice", "__low", "__high"]
+
+    def in_rows() -> DataFrame:
+        pairs = paired(3).where((F.col("__a_n") <= few) | (F.col("__b_n") <= few)).withColumns({"__low": F.col("__x_from"), "__high": F.col("__x_to")})
+        # What two edges have under both is the same either way round: the ring with fewer points comes first, so that few rows carry the other's edges.
+        swap = F.col("__a_n") > F.col("__b_n")
+        fewer, more = F.when(swap, F.col("__b_sides")).otherwise(F.col("__a_sides")), F.when(swap, inner("__a")).when(F.col("__b_n") > few, inner("__b")).otherwise(F.col("__b_sides"))
+        # Outer, and nulls left out: of a plain explode Spark makes a test of the array's size, which is made of every pair before the join's own.
+        met = pairs.select(*measured, more.alias("__bs"), F.explode_outer(fewer).alias("__a"))
+        return met.select(*measured, "__a", F.explode_outer("__bs").alias("__b")).where("__a is not null and __b is not null")
 
     # Each side cut to the common part, then to its columns; the cuts of one column meet, of the one ring with the other.
-    def cut(side: str) -> Column:
-        inner = F.filter(f"{side}_sides", lambda e: (e["left"] < F.col("__x_to")) & (e["right"] > F.col("__x_from")))
-        index = lambda x: F.least(F.greatest(F.floor((x - F.col("__x_from")) / F.col("__step")), F.lit(0)), F.col("__columns") - 1)
-        return F.transform(inner, lambda e: F.struct(F.lit(side == "__a").alias("a"), e.alias("e"), index(e["left"]).alias("from"), index(e["right"]).alias("to")))
-
-    # Repeated rows of a pair fall into one group, in which each edge comes as often as the pair does.
-    name = ["__a_no", "__b_no", "__a_role", "__b_role", "__sign", "__floor", "__twice", "__x_from", "__x_to", "__y_from", "__y_to", "__a_turn", "__b_turn", "__step", "__columns"]
-    sides = pairs.select(*keys, "district", *name, F.explode(F.concat(cut("__a"), cut("__b"))).alias("__s"))
-    sides = sides.select(*keys, "district", *name, "__s.a", "__s.e", F.explode(F.sequence("__s.from", "__s.to")).alias("__column"))
-    low, high = F.col("__x_from") + F.col("__column") * F.col("__step"), F.when(F.col("__column") == F.col("__columns") - 1, F.col("__x_to")).otherwise(F.col("__x_from") + (F.col("__column") + 1) * F.col("__step"))
-    met = sides.groupBy(*keys, "district", *name, "__column").agg(F.collect_set(F.when(F.col("a"), F.col("e"))).alias("__as"), F.collect_set(F.when(~F.col("a"), F.col("e"))).alias("__bs"), F.count_if("a").alias("__n"))
-    times = F.col("__n") / F.size("__as")
-    met = met.withColumns({"__low": low, "__high": high, "__sign": F.col("__sign") * times}).select(*keys, "district", "__sign", "__floor", "__twice", "__low", "__high", "__bs", F.explode("__as").alias("__a"))
-    met = met.select("*", F.explode("__bs").alias("__b")).drop("__bs")
+    def by_columns() -> DataFrame:
+        columns = F.greatest(F.least(F.size("__a_sides"), F.size("__b_sides")), F.lit(1))
+        pairs = paired(max(few + 1, 3)).withColumns({"__columns": columns, "__step": (F.col("__x_to") - F.col("__x_from")) / columns})
+
+        def cut(side: str) -> Column:
+            index = lambda x: F.least(F.greatest(F.floor((x - F.col("__x_from")) / F.col("__step")), F.lit(0)), F.col("__columns") - 1)
+            return F.transform(inner(side), lambda e: F.struct(F.lit(side == "__a").alias("a"), e.alias("e"), index(e["left"]).alias("from"), index(e["right"]).alias("to")))
+
+        # Repeated rows of a pair fall into one group, in which each edge comes as often as the pair does.
+        name = ["__a_no", "__b_no", "__a_role", "__b_role", "__sign", "__floor", "__twice", "__x_from", "__x_to", "__y_from", "__y_to", "__a_turn", "__b_turn", "__step", "__columns"]
+        sides = pairs.select(*keys, "district", *name, F.explode(F.concat(cut("__a"), cut("__b"))).alias("__s"))
+        sides = sides.select(*keys, "district", *name, "__s.a", "__s.e", F.explode(F.sequence("__s.from", "__s.to")).alias("__column"))
+        low, high = F.col("__x_from") + F.col("__column") * F.col("__step"), F.when(F.col("__column") == F.col("__columns") - 1, F.col("__x_to")).otherwise(F.col("__x_from") + (F.col("__column") + 1) * F.col("__step"))
+        met = sides.groupBy(*keys, "district", *name, "__column").agg(F.collect_set(F.when(F.col("a"), F.col("e"))).alias("__as"), F.collect_set(F.when(~F.col("a"), F.col("e"))).alias("__bs"), F.count_if("a").alias("__n"))
+        times = F.col("__n") / F.size("__as")
+        met = met.withColumns({"__low": low, "__high": high, "__sign": F.col("__sign") * times}).select(*measured, "__bs", F.explode("__as").alias("__a"))
+        return met.select(*measured, "__a", F.explode("__bs").alias("__b"))
+
+    met = in_rows().unionByName(by_columns())
     met = met.withColumns({"__left": F.greatest("__a.left", "__b.left", "__low"), "__right": F.least("__a.right", "__b.right", "__high")}).where("__left < __right")
     heights = {f"__{s}_{end}": F.col(f"__{s}.y") + F.col(f"__{s}.slope") * (F.col(f"__{end}") - F.col(f"__{s}.left")) - F.col("__floor") for s in "ab" for end in ("left", "right")}
     met = met.withColumns(heights).withColumns({"__gap_left": F.col("__a_left") - F.col("__b_left"), "__gap_right": F.col("__a_right") - F.col("__b_right")})

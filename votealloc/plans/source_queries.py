@@ -157,7 +157,8 @@ cut AS (SELECT id, district, round((least(x + w, x0 + 1) - greatest(x, x0)) * (l
 def spatial_overlay(spark, sf_dir):
     width = F.lit(0.3) + F.col("id") % 4 / 10.0
     corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
-    precincts = _points(spark, sf_dir).select("id", F.array(corner(0.0, 0.0), corner(width, 0.0), corner(width, 0.2), corner(0.0, 0.2)).alias("ring"))
+    # Dealt before their shapes are made: the file has few bytes a row, and so few splits for the work that is done on each.
+    precincts = _points(spark, sf_dir).repartition("id").select("id", F.array(corner(0.0, 0.0), corner(width, 0.0), corner(width, 0.2), corner(0.0, 0.2)).alias("ring"))
     return G.overlay(precincts, _rings(spark, sf_dir), ["id"], 0.5).withColumn("area", F.round("area", 9))
 
 
@@ -171,7 +172,8 @@ cut AS (SELECT id, district, round(sum(sign * ps * greatest(least(pr, r) - great
 def overlay_multipart(spark, sf_dir):
     x, y, width = F.col("x"), F.col("y"), F.lit(0.3) + F.col("id") % 4 / 10.0
     shape = F.array(F.array(_box(x, x + width, y, y + 0.2), _box(x + 0.1, x + 0.2, y + 0.05, y + 0.15)))
-    found = G.overlay(_points(spark, sf_dir).select("id", shape.alias("parts")), _districts(spark, sf_dir), ["id"], 0.5)
+    # Dealt as in spatial_overlay.
+    found = G.overlay(_points(spark, sf_dir).repartition("id").select("id", shape.alias("parts")), _districts(spark, sf_dir), ["id"], 0.5)
     return found.withColumn("area", F.round("area", 9)).where("area > 0.000001")
 
 
