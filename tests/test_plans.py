@@ -84,6 +84,16 @@ def test_forms_and_tests_of_keys_are_made_once_a_distinct_label(spark):
     assert "count(1) AS rows" in X.resolve_keys(keys, index)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_keys_are_read_once(spark):
+    """Nulls among the keys too: they are a status of their own, and both uses of the keys come from one pass over their rows."""
+    keys = spark.range(20000, numPartitions=4).selectExpr("if(id % 9 = 8, null, concat('WAKE - ', id % 9, ' OAK_HILL')) as key")
+    index = spark.createDataFrame([("WAKE", f"{n}", f"WAKE - {n}") for n in range(5)], "county string, alias string, canonical string")
+    found = X.resolve_keys(keys, index)
+    assert counted_rows(found, "RangeExec", "numOutputRows") == 20000
+    expected = [(f"WAKE - {n} OAK_HILL", f"WAKE - {n}" if n < 5 else None, "matched" if n < 5 else "unmatched") for n in range(8)]
+    assert sorted(tuple(r) for r in found.where("key is not null").collect()) == expected
+
+
 def test_ranges_with_the_same_ends_meet_values_once(spark):
     """3,000 ranges with 6 different ends over 100 values: pairs grow with the ends, not with the ranges."""
     ranges = spark.range(3000).selectExpr("id % 3 * 10 as low", "id % 3 * 10 + if(id % 2 = 0, 60, 70) as high", "(id * 7 + 5) % 1000 as place", "concat('r', id) as name")

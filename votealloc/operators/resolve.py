@@ -204,8 +204,9 @@ def grow_alias_index(index: DataFrame, vintages: list[DataFrame]) -> tuple[DataF
 def resolve_keys(keys: DataFrame, index: DataFrame) -> DataFrame:
     """(key, canonical, status) of distinct keys: bad_key, non_geographic, no_county, matched, ambiguous, unmatched."""
     # A count that is asked for keeps the keys' own aggregation: a mere distinct() would be dropped as one with the next, and the tests made on every row.
-    distinct = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 0")
-    rows = distinct.select("key").withColumn("county", K.norm(F.split_part("key", F.lit(" - "), F.lit(1)))).withColumn("p", K.norm(F.split_part("key", F.lit(" - "), F.lit(2))))
+    # Named by that count, so that no filter on what is made from a key goes below: both uses of the keys read them by the same plan, once.
+    distinct = keys.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 0").select(F.when(F.col("rows") > 0, F.col("key")).alias("key"))
+    rows = distinct.withColumn("county", K.norm(F.split_part("key", F.lit(" - "), F.lit(1)))).withColumn("p", K.norm(F.split_part("key", F.lit(" - "), F.lit(2))))
     # As results of an aggregation the two tests stay here: pushed below distinct(), they would be spelled out in terms of what keys is made from.
     tests = [F.bool_or(F.col("key").contains(" - ")).alias("good"), F.bool_or(K.is_non_geographic(F.col("p"), F.col("county"), "lines")).alias("loose")]
     rows = rows.groupBy("key", "county", "p").agg(*tests)

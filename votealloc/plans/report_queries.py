@@ -53,8 +53,10 @@ _KEYS = "keys AS (SELECT DISTINCT CASE WHEN k % 11 = 0 THEN label WHEN k % 13 =
 
 def _keys(spark, sf_dir):
     k = F.col("k")
-    county = F.upper(F.trim("county"))
-    key = F.when(k % 11 == 0, F.col("label")).when(k % 13 == 0, F.concat(F.lit("NOWHERE - "), "label")).when(k % 17 == 0, F.concat(county, F.lit(" - "), "label", F.lit(" QQ"))).otherwise(F.concat(county, F.lit(" - "), "label"))
+    # The label is named once: each further place would spell it out again, in code too long for the JVM to compile.
+    place = F.when(k % 11 == 0, "").when(k % 13 == 0, "NOWHERE - ").otherwise(F.concat(F.upper(F.trim("county")), F.lit(" - ")))
+    tail = F.when((k % 11 != 0) & (k % 13 != 0) & (k % 17 == 0), " QQ").otherwise("")
+    key = F.concat(place, "label", tail)
     return B.labels(spark, sf_dir).select("k", key.alias("key"))
 
 
